@@ -135,3 +135,119 @@ def recent_anomalies(spark, sf_dir):
 SELECT anomaly_id, detector_type, {O.SEVERITY_CASE} AS severity FROM anomalies""")
 def severity_q(spark, sf_dir):
     return TB.anomalies(spark, sf_dir).select("anomaly_id", "detector_type", severity().alias("severity"))
+
+
+# ---------------------------------------------------------------- features
+from .operators import features as FT  # noqa: E402
+from .operators.dedup import distinct_values, keep_first  # noqa: E402
+
+FEATURE_WIDTH = "1 hour"   # the data is sparse (one log every few minutes), so hour windows
+TRAIN_END = "2024-01-15 00:00:00"
+
+_KW_DUCK = ", ".join(f"CASE WHEN contains(lower(message), '{k}') THEN 'keyword_{k}' END"
+                     for k in ["error", "exception", "fail", "failed", "timeout", "denied"])
+WINDOW_CELLS = f"""
+window_cells AS (
+  SELECT window_start, feature, count(*) AS n FROM (
+    SELECT date_trunc('hour', event_ts) AS window_start,
+      unnest(list_filter(['log_level_' || log_level, 'component_' || component,
+                          'hour_' || CAST(hour(event_ts) AS VARCHAR), {_KW_DUCK}], lambda x: x IS NOT NULL)) AS feature
+    FROM logs) GROUP BY ALL)"""
+MINUTE_CELLS = f"""
+minute_cells AS (
+  SELECT series_key, minute, feature, count(*) AS n FROM (
+    SELECT source_file AS series_key, date_trunc('minute', event_ts) AS minute,
+      unnest(list_filter([log_level, {_KW_DUCK}, 'component_' || component], lambda x: x IS NOT NULL)) AS feature
+    FROM logs) GROUP BY ALL)"""
+
+
+def _window_cells(spark, sf_dir):
+    return FT.window_features(TB.logs(spark, sf_dir), FEATURE_WIDTH).withColumnRenamed("bucket", "window_start")
+
+
+def _minute_cells(spark, sf_dir):
+    logs = TB.logs(spark, sf_dir).withColumnRenamed("source_file", "series_key")
+    return FT.minute_features(logs, keys=["series_key"]).withColumnRenamed("bucket", "minute")
+
+
+@query("window_features", O.with_ctes(O.LOGS, WINDOW_CELLS) + """
+SELECT window_start, feature, n FROM window_cells""")
+def window_features_q(spark, sf_dir):
+    return _window_cells(spark, sf_dir).select("window_start", "feature", "n")
+
+
+@query("minute_pivot", O.with_ctes(O.LOGS, MINUTE_CELLS) + """
+SELECT series_key, minute, feature, n FROM minute_cells""")
+def minute_pivot_q(spark, sf_dir):
+    return _minute_cells(spark, sf_dir).select("series_key", "minute", "feature", "n")
+
+
+@query("distinct_components", O.with_ctes(O.LOGS) + """
+SELECT DISTINCT component FROM logs""")
+def distinct_components(spark, sf_dir):
+    return distinct_values(TB.logs(spark, sf_dir), "component")
+
+
+@query("dedup_message", O.with_ctes(O.LOGS) + """
+SELECT message, event_id, dup_count FROM (
+  SELECT message, event_id,
+    row_number() OVER (PARTITION BY message ORDER BY collected_at, raw_log, event_id) AS rn,
+    count(*) OVER (PARTITION BY message) AS dup_count
+  FROM logs) WHERE rn = 1""")
+def dedup_message(spark, sf_dir):
+    logs = TB.logs(spark, sf_dir).select("message", "collected_at", "raw_log", "event_id")
+    return keep_first(logs, ["message"], ["collected_at", "raw_log", "event_id"]).select(
+        "message", "event_id", "dup_count")
+
+
+@query("dedup_message_ts", O.with_ctes(O.LOGS) + """
+SELECT message, timestamp, event_id, dup_count FROM (
+  SELECT message, timestamp, event_id,
+    row_number() OVER (PARTITION BY message, timestamp ORDER BY collected_at, raw_log, event_id) AS rn,
+    count(*) OVER (PARTITION BY message, timestamp) AS dup_count
+  FROM logs) WHERE rn = 1""")
+def dedup_message_ts(spark, sf_dir):
+    logs = TB.logs(spark, sf_dir).select("message", "timestamp", "collected_at", "raw_log", "event_id")
+    return keep_first(logs, ["message", "timestamp"], ["collected_at", "raw_log", "event_id"]).select(
+        "message", "timestamp", "event_id", "dup_count")
+
+
+@query("standard_scale", O.with_ctes(O.LOGS, WINDOW_CELLS, """
+nw AS (SELECT count(DISTINCT window_start) AS rows FROM window_cells),
+st AS (SELECT feature, sum(n::DOUBLE) / rows AS mean,
+         greatest(sum(n::DOUBLE * n::DOUBLE) / rows - (sum(n::DOUBLE) / rows) * (sum(n::DOUBLE) / rows), 0.0) AS var
+       FROM window_cells, nw GROUP BY feature, rows)""") + """
+SELECT c.window_start, c.feature, round((c.n - st.mean) / CASE WHEN st.var = 0 THEN 1.0 ELSE sqrt(st.var) END, 6) AS z
+FROM window_cells c JOIN st USING (feature)""")
+def standard_scale(spark, sf_dir):
+    cells = _window_cells(spark, sf_dir)
+    st = FT.standard_stats(cells, ["window_start"])
+    return (FT.apply_scaler(cells, st, "mean", "scale", out="z")
+              .select("window_start", "feature", r6(F.col("z")).alias("z")))
+
+
+@query("minmax_scale", O.with_ctes(O.LOGS, MINUTE_CELLS, """
+nm AS (SELECT series_key, count(DISTINCT minute) AS rows FROM minute_cells GROUP BY 1),
+st AS (SELECT series_key, feature,
+         CASE WHEN count(*) < max(rows) THEN least(min(n), 0)::DOUBLE ELSE min(n)::DOUBLE END AS lo,
+         max(n)::DOUBLE AS hi
+       FROM minute_cells JOIN nm USING (series_key) GROUP BY 1, 2)""") + """
+SELECT c.series_key, c.minute, c.feature,
+  round((c.n - st.lo) / CASE WHEN st.hi - st.lo = 0 THEN 1.0 ELSE st.hi - st.lo END, 6) AS scaled
+FROM minute_cells c JOIN st USING (series_key, feature)""")
+def minmax_scale(spark, sf_dir):
+    cells = _minute_cells(spark, sf_dir)
+    st = FT.minmax_stats(cells, ["minute"], group_keys=["series_key"])
+    return (FT.apply_scaler(cells, st, "min", "range", group_keys=["series_key"])
+              .select("series_key", "minute", "feature", r6(F.col("scaled")).alias("scaled")))
+
+
+@query("align_features", O.with_ctes(O.LOGS, WINDOW_CELLS) + f"""
+SELECT window_start, feature, n FROM window_cells
+WHERE window_start >= TIMESTAMP '{TRAIN_END}'
+  AND feature IN (SELECT feature FROM window_cells WHERE window_start < TIMESTAMP '{TRAIN_END}')""")
+def align_features(spark, sf_dir):
+    cells = _window_cells(spark, sf_dir)
+    cut = F.lit(TRAIN_END).cast("timestamp_ntz")
+    vocab = cells.where(F.col("window_start") < cut)
+    return FT.align_cells(cells.where(F.col("window_start") >= cut), vocab).select("window_start", "feature", "n")
