@@ -251,3 +251,98 @@ def align_features(spark, sf_dir):
     cut = F.lit(TRAIN_END).cast("timestamp_ntz")
     vocab = cells.where(F.col("window_start") < cut)
     return FT.align_cells(cells.where(F.col("window_start") >= cut), vocab).select("window_start", "feature", "n")
+
+
+# ---------------------------------------------------------------- sequences
+from .operators import sequences as SQ  # noqa: E402
+
+
+def _minute_vectors(spark, sf_dir):
+    cells = _minute_cells(spark, sf_dir)
+    vocab = FT.fit_vocabulary(cells)
+    return SQ.scaled_minute_vectors(cells, vocab)
+
+
+def _naive_errors(spark, sf_dir):
+    seqs = SQ.sequences(_minute_vectors(spark, sf_dir))
+    return seqs.select("series_key", "minute", "seq_idx", "n_seq", SQ.chrono_split(seqs).alias("split"),
+                       F.round(SQ.mean_abs_error(SQ.naive_forecast(F.col("x")), F.col("y")), 10).alias("error"),
+                       SQ.squared_error_mean(SQ.naive_forecast(F.col("x")), F.col("y")).alias("sq_error"))
+
+
+DENSE_SCALED = O.with_ctes(O.LOGS, MINUTE_CELLS, """
+nm AS (SELECT series_key, count(DISTINCT minute) AS rows FROM minute_cells GROUP BY 1),
+st AS (SELECT series_key, feature,
+         CASE WHEN count(*) < max(rows) THEN least(min(n), 0)::DOUBLE ELSE min(n)::DOUBLE END AS lo,
+         max(n)::DOUBLE AS hi
+       FROM minute_cells JOIN nm USING (series_key) GROUP BY 1, 2),
+vocab AS (SELECT DISTINCT feature FROM minute_cells),
+mins AS (SELECT DISTINCT series_key, minute FROM minute_cells),
+dense AS (
+  SELECT m.series_key, m.minute, v.feature,
+    coalesce((c.n - st.lo) / CASE WHEN st.hi - st.lo = 0 THEN 1.0 ELSE st.hi - st.lo END, 0.0) AS val
+  FROM mins m CROSS JOIN vocab v
+  LEFT JOIN minute_cells c ON c.series_key = m.series_key AND c.minute = m.minute AND c.feature = v.feature
+  LEFT JOIN st ON st.series_key = m.series_key AND st.feature = v.feature),
+ranked AS (
+  SELECT series_key, minute, feature, val,
+    lag(val) OVER (PARTITION BY series_key, feature ORDER BY minute) AS prev,
+    dense_rank() OVER (PARTITION BY series_key ORDER BY minute) AS rn,
+    count(DISTINCT minute) OVER (PARTITION BY series_key) AS n_rows
+  FROM dense),
+errs AS (
+  SELECT series_key, minute, rn - 11 AS seq_idx, n_rows - 10 AS n_seq,
+    round(avg(abs(prev - val)), 10) AS error, avg((prev - val) * (prev - val)) AS sq_error
+  FROM ranked WHERE rn > 10 GROUP BY series_key, minute, rn, n_rows)""")
+
+
+@query("sequences", DENSE_SCALED + """,
+tot AS (SELECT series_key, minute, rn, sum(val) AS t FROM ranked GROUP BY 1, 2, 3),
+win AS (SELECT series_key, minute, rn, t,
+          sum(t) OVER (PARTITION BY series_key ORDER BY rn ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS xs
+        FROM tot)
+SELECT series_key, minute, 10 AS n_steps, round(xs, 6) AS x_total, round(t, 6) AS y_total
+FROM win WHERE rn > 10""")
+def sequences_q(spark, sf_dir):
+    seqs = SQ.sequences(_minute_vectors(spark, sf_dir))
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v)
+    return seqs.select("series_key", "minute", F.size("x").alias("n_steps"),
+                       r6(F.aggregate(F.col("x"), F.lit(0.0), lambda s, row: s + total(row))).alias("x_total"),
+                       r6(total(F.col("y"))).alias("y_total"))
+
+
+@query("chrono_split", DENSE_SCALED + """
+SELECT series_key, minute, CASE WHEN seq_idx < floor(n_seq * 0.8) THEN 'train' ELSE 'validation' END AS split
+FROM errs""")
+def chrono_split_q(spark, sf_dir):
+    return _naive_errors(spark, sf_dir).select("series_key", "minute", "split")
+
+
+@query("naive_forecast_errors", DENSE_SCALED + """
+SELECT series_key, minute, round(error, 6) AS error FROM errs""")
+def naive_forecast_errors(spark, sf_dir):
+    return _naive_errors(spark, sf_dir).select("series_key", "minute", r6(F.col("error")).alias("error"))
+
+
+@query("error_threshold", DENSE_SCALED + """,
+th AS (SELECT series_key, quantile_cont(error, 0.95) AS threshold FROM errs GROUP BY 1)
+SELECT series_key, round(max(error), 6) AS max_error, round(avg(error), 6) AS mean_error,
+  round(any_value(threshold), 6) AS threshold,
+  CAST(sum(CASE WHEN error > threshold THEN 1 ELSE 0 END) AS BIGINT) AS anomaly_count,
+  count(*) AS total_sequences, bool_or(error > threshold) AS is_anomaly
+FROM errs JOIN th USING (series_key) GROUP BY series_key""")
+def error_threshold(spark, sf_dir):
+    s = SQ.error_summary(_naive_errors(spark, sf_dir))
+    return s.select("series_key", r6(F.col("max_error")).alias("max_error"),
+                    r6(F.col("mean_error")).alias("mean_error"), r6(F.col("threshold")).alias("threshold"),
+                    "anomaly_count", "total_sequences", "is_anomaly")
+
+
+@query("forecast_mse", DENSE_SCALED + """
+SELECT series_key, CASE WHEN seq_idx < floor(n_seq * 0.8) THEN 'train' ELSE 'validation' END AS split,
+  round(avg(sq_error), 6) AS mse, count(*) AS n
+FROM errs GROUP BY 1, 2""")
+def forecast_mse(spark, sf_dir):
+    e = _naive_errors(spark, sf_dir)
+    return (e.groupBy("series_key", "split")
+             .agg(r6(F.avg("sq_error")).alias("mse"), F.count(F.lit(1)).alias("n")))
