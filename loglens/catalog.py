@@ -346,3 +346,99 @@ def forecast_mse(spark, sf_dir):
     e = _naive_errors(spark, sf_dir)
     return (e.groupBy("series_key", "split")
              .agg(r6(F.avg("sq_error")).alias("mse"), F.count(F.lit(1)).alias("n")))
+
+
+# ---------------------------------------------------------------- message vectors
+from .operators import clustering as CL  # noqa: E402
+
+EMB_SCORED = """WITH
+e AS (SELECT vec_id, label, unnest(range(len(embedding))) AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings),
+st AS (SELECT dim, avg(x) AS m, stddev_pop(x) AS s FROM e GROUP BY dim),
+z AS (SELECT vec_id, label, dim, (x - m) / CASE WHEN s = 0 OR s IS NULL THEN 1.0 ELSE s END AS z FROM e JOIN st USING (dim)),
+cent AS (SELECT label AS cluster, dim, avg(z) AS c FROM z GROUP BY label, dim),
+d AS (SELECT z.vec_id, cent.cluster, sum((z.z - cent.c) * (z.z - cent.c)) AS d2
+      FROM z JOIN cent USING (dim) GROUP BY z.vec_id, cent.cluster),
+asg AS (SELECT vec_id, cluster, round(sqrt(d2), 10) AS distance FROM (
+          SELECT vec_id, cluster, d2, row_number() OVER (PARTITION BY vec_id ORDER BY d2, cluster) AS rn FROM d)
+        WHERE rn = 1),
+prof AS (SELECT cluster, avg(distance) AS mean_distance, stddev_pop(distance) AS std_distance,
+           max(distance) AS max_distance, quantile_cont(distance, 0.95) AS threshold, count(*) AS sample_count
+         FROM asg GROUP BY cluster),
+flag AS (SELECT a.vec_id, a.cluster, a.distance, coalesce(a.distance > p.threshold, false) AS is_anomaly
+         FROM asg a LEFT JOIN prof p USING (cluster))
+"""
+
+
+def _scored_embeddings(spark, sf_dir):
+    emb = TB.read_table(spark, sf_dir, "embeddings")
+    means, stds = CL.fit_standardizer(emb, "embedding")
+    z = emb.select("vec_id", "label", CL.standardize(F.col("embedding"), means, stds).alias("z"))
+    cents = CL.fit_group_centroids(z, "z", "label")
+    cluster, dist = CL.assign_nearest(F.col("z"), cents)
+    return z.select("vec_id", cluster.alias("cluster"), F.round(dist, 10).alias("distance"))
+
+
+def _flagged_embeddings(spark, sf_dir):
+    scored = _scored_embeddings(spark, sf_dir).persist()
+    return CL.flag_anomalies(scored, CL.distance_profile(scored))
+
+
+@query("cluster_profile", EMB_SCORED + """
+SELECT cluster, round(mean_distance, 6) AS mean_distance, round(std_distance, 6) AS std_distance,
+  round(max_distance, 6) AS max_distance, round(threshold, 6) AS threshold, sample_count FROM prof""")
+def cluster_profile(spark, sf_dir):
+    p = CL.distance_profile(_scored_embeddings(spark, sf_dir))
+    return p.select("cluster", *[r6(F.col(c)).alias(c) for c in
+                                 ["mean_distance", "std_distance", "max_distance", "threshold"]], "sample_count")
+
+
+@query("message_anomalies", EMB_SCORED + """
+SELECT vec_id, cluster, round(distance, 6) AS distance, is_anomaly FROM flag""")
+def message_anomalies(spark, sf_dir):
+    f = _flagged_embeddings(spark, sf_dir)
+    return f.select("vec_id", "cluster", r6(F.col("distance")).alias("distance"), "is_anomaly")
+
+
+@query("cluster_stats", EMB_SCORED + """
+SELECT cluster, count(*) AS count, CAST(sum(CASE WHEN is_anomaly THEN 1 ELSE 0 END) AS BIGINT) AS anomaly_count,
+  round(sum(CASE WHEN is_anomaly THEN 1 ELSE 0 END) / count(*), 6) AS anomaly_ratio
+FROM flag GROUP BY cluster""")
+def cluster_stats_q(spark, sf_dir):
+    s = CL.cluster_stats(_flagged_embeddings(spark, sf_dir))
+    return s.select("cluster", "count", "anomaly_count", r6(F.col("anomaly_ratio")).alias("anomaly_ratio"))
+
+
+@query("message_summary", EMB_SCORED + """
+SELECT round(max(distance), 6) AS max_distance, round(avg(distance), 6) AS mean_distance,
+  CAST(sum(CASE WHEN is_anomaly THEN 1 ELSE 0 END) AS BIGINT) AS anomaly_count, count(*) AS total_logs,
+  bool_or(is_anomaly) AS is_anomaly
+FROM flag""")
+def message_summary_q(spark, sf_dir):
+    s = CL.message_summary(_flagged_embeddings(spark, sf_dir))
+    return s.select(r6(F.col("max_distance")).alias("max_distance"), r6(F.col("mean_distance")).alias("mean_distance"),
+                    "anomaly_count", "total_logs", "is_anomaly")
+
+
+@query("kmeans_messages")
+def kmeans_messages(spark, sf_dir):
+    """Spark ML k-means (k=10, seed 42) on standardised vectors; distance to own centre > cluster p95."""
+    emb = TB.read_table(spark, sf_dir, "embeddings")
+    means, stds = CL.fit_standardizer(emb, "embedding")
+    z = emb.select("vec_id", CL.standardize(F.col("embedding"), means, stds).alias("z")).persist()
+    model = CL.kmeans_fit(z, "z")
+    cluster, dist = CL.assign_nearest(F.col("z"), CL.kmeans_centroids(model))
+    scored = z.select("vec_id", cluster.alias("cluster"), dist.alias("distance"))
+    f = CL.flag_anomalies(scored, CL.distance_profile(scored))
+    return f.select("vec_id", "cluster", r6(F.col("distance")).alias("distance"), "is_anomaly")
+
+
+@query("k_search")
+def k_search_q(spark, sf_dir):
+    """Silhouette per candidate k (3 .. min(20, n//5) - 1) and the chosen k."""
+    emb = TB.read_table(spark, sf_dir, "embeddings")
+    means, stds = CL.fit_standardizer(emb, "embedding")
+    z = emb.select(CL.standardize(F.col("embedding"), means, stds).alias("z"))
+    scores = CL.k_search(z, "z")
+    chosen = CL.best_k(scores)
+    rows = [(k, s, k == chosen) for k, s in scores]
+    return spark.createDataFrame(rows, "k int, silhouette double, chosen boolean")
