@@ -442,3 +442,77 @@ def k_search_q(spark, sf_dir):
     chosen = CL.best_k(scores)
     rows = [(k, s, k == chosen) for k, s in scores]
     return spark.createDataFrame(rows, "k int, silhouette double, chosen boolean")
+
+
+# ---------------------------------------------------------------- alerts
+from .plans import alerts as AL  # noqa: E402
+
+# The test anomalies are minutes apart, so the cooldown gaps are scaled x60.
+ALERT_GAP = 18000
+ALERT_CRITICAL_GAP = 3600
+
+COOLDOWN_SQL = O.with_ctes(O.ANOMALIES) + f""",
+ev AS (
+  SELECT anomaly_id, detector_type, severity, date_diff('second', TIMESTAMP '1970-01-01 00:00:00', timestamp) AS t,
+    row_number() OVER (PARTITION BY detector_type ORDER BY timestamp, anomaly_id) AS rn
+  FROM (SELECT *, {O.SEVERITY_CASE} AS severity FROM anomalies WHERE is_anomaly)),
+walk AS (
+  SELECT detector_type, rn, anomaly_id, severity <> 'low' AS sent,
+         CASE WHEN severity <> 'low' THEN t END AS last_t
+  FROM ev WHERE rn = 1
+  UNION ALL
+  SELECT e.detector_type, e.rn, e.anomaly_id,
+    e.severity <> 'low' AND (w.last_t IS NULL OR e.t - w.last_t >= CASE WHEN e.severity = 'critical' THEN {ALERT_CRITICAL_GAP} ELSE {ALERT_GAP} END),
+    CASE WHEN e.severity <> 'low' AND (w.last_t IS NULL OR e.t - w.last_t >= CASE WHEN e.severity = 'critical' THEN {ALERT_CRITICAL_GAP} ELSE {ALERT_GAP} END)
+         THEN e.t ELSE w.last_t END
+  FROM walk w JOIN ev e ON e.detector_type = w.detector_type AND e.rn = w.rn + 1),
+decided AS (SELECT w.anomaly_id, w.detector_type, e.severity, w.sent FROM walk w JOIN ev e USING (detector_type, rn))"""
+COOLDOWN_SQL = COOLDOWN_SQL.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _evaluated(spark, sf_dir):
+    return AL.evaluate_alerts(TB.anomalies(spark, sf_dir), gap=ALERT_GAP, critical_gap=ALERT_CRITICAL_GAP)
+
+
+@query("alert_cooldown", COOLDOWN_SQL + """
+SELECT anomaly_id, detector_type, severity, sent FROM decided""")
+def alert_cooldown(spark, sf_dir):
+    return _evaluated(spark, sf_dir).select("anomaly_id", "detector_type", "severity", "sent")
+
+
+_DETAILS_SQL = """
+  '탐지 시간: ' || strftime(a.timestamp, '%Y-%m-%d %H:%M:%S') || chr(10) || '탐지기 유형: ' || a.detector_type ||
+  CASE a.detector_type
+    WHEN 'isolation_forest' THEN chr(10) || '이상 점수: ' || printf('%.4f', coalesce(a.anomaly_score, 0.0)) || chr(10) ||
+         '로그 수: ' || CAST(coalesce(a.log_count, 0) AS VARCHAR) || chr(10) || '시간 범위: ' || CAST(a.time_window_minutes AS VARCHAR) || '분'
+    WHEN 'lstm' THEN chr(10) || '평균 오차: ' || printf('%.4f', coalesce(a.mean_error, 0.0)) || chr(10) ||
+         '최대 오차: ' || printf('%.4f', coalesce(a.max_error, 0.0)) || chr(10) ||
+         '이상 시퀀스: ' || CAST(coalesce(a.anomaly_count, 0) AS VARCHAR) || '/' || CAST(coalesce(a.total_sequences, 0) AS VARCHAR) || chr(10) ||
+         '시간 범위: ' || CAST(a.time_window_minutes AS VARCHAR) || '분'
+    WHEN 'bert' THEN chr(10) || '평균 거리: ' || printf('%.4f', coalesce(a.mean_distance, 0.0)) || chr(10) ||
+         '최대 거리: ' || printf('%.4f', coalesce(a.max_distance, 0.0)) || chr(10) ||
+         '이상 로그: ' || CAST(coalesce(a.anomaly_count, 0) AS VARCHAR) || '/' || CAST(coalesce(a.total_logs, 0) AS VARCHAR) || chr(10) ||
+         '시간 범위: ' || CAST(a.time_window_minutes AS VARCHAR) || '분'
+    ELSE '' END"""
+_NAME_SQL = """CASE upper(a.detector_type) WHEN 'ISOLATION_FOREST' THEN '구조화 데이터 분석' WHEN 'LSTM' THEN '시퀀스 패턴 분석'
+  WHEN 'BERT' THEN '로그 메시지 의미 분석' ELSE upper(a.detector_type) END"""
+
+
+@query("alert_outbox", COOLDOWN_SQL + f""",
+chans AS (SELECT 'slack' AS channel UNION ALL SELECT 'email')
+SELECT d.anomaly_id, d.detector_type, d.severity, c.channel,
+  {_NAME_SQL} || '에서 비정상 로그 패턴이 감지되었습니다.' AS message,
+  CASE WHEN c.channel = 'email' THEN
+    CASE d.severity WHEN 'critical' THEN '[긴급]' WHEN 'high' THEN '[중요]' ELSE '[알림]' END
+    || ' 보안 경고: ' || {_NAME_SQL} || '에서 비정상 패턴 감지' END AS subject,
+  CASE WHEN c.channel = 'slack' THEN CASE d.severity WHEN 'low' THEN '#36a64f' WHEN 'medium' THEN '#ffd700'
+    WHEN 'high' THEN '#ff9900' WHEN 'critical' THEN '#ff0000' ELSE '#777777' END END AS color,
+  {_DETAILS_SQL} AS details_text
+FROM decided d JOIN anomalies a USING (anomaly_id) JOIN chans c
+  ON c.channel = 'slack' OR d.severity IN ('high', 'critical')
+WHERE d.sent""")
+def alert_outbox_q(spark, sf_dir):
+    out = AL.alert_outbox(_evaluated(spark, sf_dir))
+    return out.select("anomaly_id", "detector_type", "severity", "channel", "message", "subject",
+                      F.when(F.col("channel") == "slack", AL.slack_color(F.col("severity"))).alias("color"),
+                      AL.details_text(F.col("details")).alias("details_text"))
