@@ -516,3 +516,266 @@ def alert_outbox_q(spark, sf_dir):
     return out.select("anomaly_id", "detector_type", "severity", "channel", "message", "subject",
                       F.when(F.col("channel") == "slack", AL.slack_color(F.col("severity"))).alias("color"),
                       AL.details_text(F.col("details")).alias("details_text"))
+
+
+# ---------------------------------------------------------------- incidents
+from .plans import incidents as IN  # noqa: E402
+from .plans import playbook as PB  # noqa: E402
+
+_TITLE_SQL = """CASE detector_type WHEN 'isolation_forest' THEN '구조화 데이터 분석' WHEN 'lstm' THEN '시퀀스 패턴 분석'
+  WHEN 'bert' THEN '로그 메시지 의미 분석' ELSE detector_type END || '에서 발견된 로그 이상 패턴'"""
+_DESC_SQL = """'탐지 시간: ' || strftime(timestamp, '%Y-%m-%d %H:%M:%S') || chr(10) || '탐지기 유형: ' || detector_type || chr(10) || chr(10) ||
+  CASE detector_type
+    WHEN 'isolation_forest' THEN '이상 점수: ' || printf('%.4f', coalesce(anomaly_score, 0.0)) || chr(10) ||
+      '분석된 로그 수: ' || CAST(coalesce(log_count, 0) AS VARCHAR) || chr(10) ||
+      '시간 범위: ' || CAST(coalesce(time_window_minutes, 0) AS VARCHAR) || '분' || chr(10)
+    WHEN 'lstm' THEN '평균 오차: ' || printf('%.4f', coalesce(mean_error, 0.0)) || chr(10) ||
+      '최대 오차: ' || printf('%.4f', coalesce(max_error, 0.0)) || chr(10) ||
+      '이상 시퀀스: ' || CAST(coalesce(anomaly_count, 0) AS VARCHAR) || '/' || CAST(coalesce(total_sequences, 0) AS VARCHAR) || chr(10) ||
+      '시간 범위: ' || CAST(coalesce(time_window_minutes, 0) AS VARCHAR) || '분' || chr(10)
+    WHEN 'bert' THEN '평균 거리: ' || printf('%.4f', coalesce(mean_distance, 0.0)) || chr(10) ||
+      '최대 거리: ' || printf('%.4f', coalesce(max_distance, 0.0)) || chr(10) ||
+      '이상 로그: ' || CAST(coalesce(anomaly_count, 0) AS VARCHAR) || '/' || CAST(coalesce(total_logs, 0) AS VARCHAR) || chr(10) ||
+      '시간 범위: ' || CAST(coalesce(time_window_minutes, 0) AS VARCHAR) || '분' || chr(10)
+    ELSE '' END"""
+
+INCIDENT_CTES = O.with_ctes(O.LOGS, O.ANOMALIES, f"""
+deduped AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY timestamp, detector_type, coalesce(anomaly_score, mean_error),
+        CASE WHEN anomaly_score IS NOT NULL THEN 's' WHEN mean_error IS NOT NULL THEN 'e' END
+        ORDER BY anomaly_id) AS rn
+    FROM anomalies WHERE is_anomaly) WHERE rn = 1),
+sev AS (SELECT *, {O.SEVERITY_CASE} AS severity FROM deduped),
+incidents AS (
+  SELECT md5(strftime(timestamp, '%Y-%m-%d %H:%M:%S') || '_' || detector_type || '_' || CAST(anomaly_id AS VARCHAR)) AS incident_id,
+    {_TITLE_SQL} AS title, {_DESC_SQL} AS description, *
+  FROM sev WHERE severity <> 'low'),
+rel AS (
+  SELECT * FROM (
+    SELECT i.incident_id, l.event_id, l.event_ts, l.timestamp AS log_ts, l.log_level, l.component, l.message,
+      row_number() OVER (PARTITION BY i.incident_id ORDER BY l.event_ts, l.event_id) AS rank
+    FROM incidents i JOIN logs l
+      ON l.event_ts BETWEEN i.timestamp - INTERVAL 30 MINUTE AND i.timestamp + INTERVAL 5 MINUTE)
+  WHERE rank <= 1000),
+hc AS (SELECT * FROM incidents WHERE severity IN ('high', 'critical')),
+ctx AS (SELECT incident_id, count(*) AS n, bool_or(log_level = 'ERROR') AS has_error FROM rel GROUP BY 1)""")
+
+
+class _Flow:
+    """The incident flow over one sf directory, built once per query call."""
+
+    def __init__(self, spark, sf_dir):
+        self.logs = TB.logs(spark, sf_dir)
+        self.deduped = IN.dedup_anomalies(TB.anomalies(spark, sf_dir))
+        self.incidents = IN.build_incidents(self.deduped)
+        self.rel = IN.related_logs(self.incidents, self.logs)
+        self.ctx = IN.context(self.rel)
+        self.enriched = IN.enrich(self.incidents, self.ctx)
+        self.requests = IN.workflow_requests(self.incidents)
+        hc = self.enriched.where(F.col("severity").isin("high", "critical"))
+        self.hc = hc
+        self.analysis = PB.analyse(hc, self.rel)
+        self.decisions = PB.decide(hc, self.analysis)
+
+    def events(self):
+        res = self.requests.join(self.enriched.select("incident_id", "created_at"), "incident_id").select(
+            "incident_id", F.col("created_at").alias("event_time"), F.lit(True).alias("accepted"),
+            F.col("incident_id").alias("execution_id"), F.lit(None).cast("string").alias("error"))
+        closes = PB.closes(self.decisions.join(self.enriched.select("incident_id", "created_at"), "incident_id"),
+                           F.col("created_at"))
+        return IN.incident_events(self.enriched, res, closes)
+
+
+@query("incident_dedup", INCIDENT_CTES + """
+SELECT anomaly_id, severity FROM sev""")
+def incident_dedup(spark, sf_dir):
+    return IN.dedup_anomalies(TB.anomalies(spark, sf_dir)).select("anomaly_id", "severity")
+
+
+@query("incidents", INCIDENT_CTES + """
+SELECT incident_id, anomaly_id, severity, 'new' AS status, title, description FROM incidents""")
+def incidents_q(spark, sf_dir):
+    f = _Flow(spark, sf_dir)
+    return f.incidents.select("incident_id", "anomaly_id", "severity", "status", "title", "description")
+
+
+@query("related_logs", INCIDENT_CTES + """
+SELECT incident_id, event_id, rank FROM rel""")
+def related_logs_q(spark, sf_dir):
+    return _Flow(spark, sf_dir).rel.select("incident_id", "event_id", F.col("rank").cast("bigint").alias("rank"))
+
+
+@query("incident_context", INCIDENT_CTES + """
+SELECT incident_id, 'total' AS stat, '' AS key, count(*) AS n FROM rel GROUP BY 1
+UNION ALL SELECT incident_id, 'level', coalesce(log_level, 'unknown'), count(*) FROM rel GROUP BY 1, 3
+UNION ALL SELECT incident_id, 'component', coalesce(component, 'unknown'), count(*) FROM rel GROUP BY 1, 3""")
+def incident_context(spark, sf_dir):
+    c = _Flow(spark, sf_dir).enriched.where(F.col("context").isNotNull())
+    tot = c.select("incident_id", F.lit("total").alias("stat"), F.lit("").alias("key"),
+                   F.col("context.related_logs_count").alias("n"))
+    lv = c.select("incident_id", F.lit("level").alias("stat"), F.explode("context.log_level_stats").alias("key", "n"))
+    co = c.select("incident_id", F.lit("component").alias("stat"), F.explode("context.component_stats").alias("key", "n"))
+    return tot.unionByName(lv).unionByName(co)
+
+
+@query("incident_samples", INCIDENT_CTES + """
+SELECT incident_id, rank AS idx, log_ts, message FROM rel WHERE rank <= 10""")
+def incident_samples(spark, sf_dir):
+    c = _Flow(spark, sf_dir).enriched.where(F.col("context").isNotNull())
+    s = c.select("incident_id", F.posexplode("context.log_samples").alias("i", "s"))
+    return s.select("incident_id", (F.col("i") + 1).cast("bigint").alias("idx"),
+                    F.col("s.timestamp").alias("log_ts"), F.col("s.message").alias("message"))
+
+
+@query("workflow_requests", INCIDENT_CTES + """
+SELECT incident_id, severity FROM hc""")
+def workflow_requests_q(spark, sf_dir):
+    return _Flow(spark, sf_dir).requests.select("incident_id", "severity")
+
+
+@query("incident_lookup", INCIDENT_CTES + """
+SELECT incident_id, severity, title FROM incidents WHERE incident_id IN (SELECT incident_id FROM hc)""")
+def incident_lookup(spark, sf_dir):
+    f = _Flow(spark, sf_dir)
+    return f.incidents.join(f.requests.select("incident_id"), "incident_id", "left_semi").select(
+        "incident_id", "severity", "title")
+
+
+_STATE_SQL = INCIDENT_CTES + """,
+st AS (SELECT i.incident_id, coalesce(c.n, 0) > 0 AS has_ctx, i.severity IN ('high', 'critical') AS is_hc
+       FROM incidents i LEFT JOIN ctx c USING (incident_id))"""
+
+
+@query("incident_state", _STATE_SQL + """
+SELECT incident_id, CASE WHEN is_hc THEN 'responded' ELSE 'new' END AS status,
+  CAST(has_ctx AS INTEGER) + CASE WHEN is_hc THEN 3 ELSE 0 END AS n_actions,
+  CASE WHEN is_hc THEN 'automated_response' WHEN has_ctx THEN 'context_enrichment' END AS last_action
+FROM st""")
+def incident_state_q(spark, sf_dir):
+    s = IN.incident_state(_Flow(spark, sf_dir).events())
+    return s.select("incident_id", "status", F.size("actions").alias("n_actions"),
+                    F.element_at(F.col("actions"), -1).getField("action_type").alias("last_action"))
+
+
+@query("incident_update", _STATE_SQL + """
+SELECT incident_id, CASE WHEN is_hc THEN 'responded' ELSE 'new' END AS status,
+  CAST(has_ctx AS INTEGER) + CASE WHEN is_hc THEN 1 ELSE 0 END AS n_actions FROM st""")
+def incident_update(spark, sf_dir):
+    f = _Flow(spark, sf_dir)
+    doc = f.decisions.join(f.enriched.select("incident_id", "created_at"), "incident_id").select(
+        "incident_id", F.lit("responded").alias("status"),
+        F.array(IN.action("automated_response", F.lit("자동화된 대응 수행 완료"), F.col("created_at"))).alias("actions"))
+    u = IN.partial_update(f.enriched.select("incident_id", "status", "actions"), doc)
+    return u.select("incident_id", "status", F.size("actions").alias("n_actions"))
+
+
+@query("incident_upsert", _STATE_SQL + """
+SELECT incident_id, CASE WHEN is_hc THEN 'responded' ELSE 'new' END AS status FROM st""")
+def incident_upsert(spark, sf_dir):
+    f = _Flow(spark, sf_dir)
+    old = f.enriched.select("incident_id", "status", F.col("created_at").alias("updated_at"))
+    new = IN.incident_state(f.events()).join(f.requests.select("incident_id"), "incident_id", "left_semi") \
+            .select("incident_id", "status", (F.col("updated_at") + F.expr("INTERVAL 1 SECOND")).alias("updated_at"))
+    return IN.upsert(old, new).select("incident_id", "status")
+
+
+# ---------------------------------------------------------------- playbook
+_KW6 = ["error", "exception", "failed", "timeout", "denied", "invalid"]
+PLAYBOOK_CTES = INCIDENT_CTES + """,
+rel100 AS (SELECT * FROM rel WHERE rank <= 100),
+agg AS (SELECT incident_id, count(*) AS log_count,
+    CAST(sum(CASE WHEN log_level IN ('ERROR', 'FATAL', 'CRITICAL') AND coalesce(message, '') <> '' THEN 1 ELSE 0 END) AS BIGINT) AS n_err,
+    min(event_ts) AS t_min, max(event_ts) AS t_max, """ + ", ".join(
+    f"CAST(sum(CASE WHEN contains(lower(coalesce(message, '')), '{k}') THEN 1 ELSE 0 END) AS BIGINT) AS kw_{i}"
+    for i, k in enumerate(_KW6)) + """
+  FROM rel100 GROUP BY 1),
+lvl AS (SELECT incident_id, coalesce(log_level, 'unknown') AS lvl, count(*) AS c FROM rel100 GROUP BY 1, 2),
+mode AS (SELECT incident_id, lvl, c FROM (
+  SELECT *, row_number() OVER (PARTITION BY incident_id ORDER BY c DESC, lvl) AS rn FROM lvl) WHERE rn = 1),
+errs AS (SELECT incident_id, list(message ORDER BY rank) AS s FROM (
+  SELECT incident_id, message, rank, row_number() OVER (PARTITION BY incident_id ORDER BY rank) AS k FROM rel100
+  WHERE log_level IN ('ERROR', 'FATAL', 'CRITICAL') AND coalesce(message, '') <> '') WHERE k <= 3 GROUP BY 1),
+analysis AS (
+  SELECT h.incident_id, h.detector_type, h.severity, h.title, h.description, h.timestamp, coalesce(a.log_count, 0) AS log_count,
+    CASE h.detector_type
+      WHEN 'isolation_forest' THEN list_filter([
+        CASE WHEN m.lvl IS NOT NULL THEN '가장 많은 로그 레벨: ' || m.lvl || ' (' || CAST(m.c AS VARCHAR) || '개)' END,
+        CASE WHEN a.n_err > 0 THEN '에러 메시지 ' || CAST(a.n_err AS VARCHAR) || '개 발견' END], lambda x: x IS NOT NULL)
+      WHEN 'lstm' THEN list_filter([
+        CASE WHEN coalesce(a.log_count, 0) >= 2 THEN '로그 간 평균 시간 간격: ' ||
+          printf('%.1f', round_even(date_diff('second', a.t_min, a.t_max) / CAST(a.log_count - 1 AS DOUBLE), 1)) || '초' END],
+        lambda x: x IS NOT NULL)
+      WHEN 'bert' THEN list_filter([""" + ", ".join(
+    f"CASE WHEN a.kw_{i} > 0 THEN '키워드 \"{k}\": ' || CAST(a.kw_{i} AS VARCHAR) || '개 발견' END"
+    for i, k in enumerate(_KW6)) + """], lambda x: x IS NOT NULL)
+      ELSE CAST([] AS VARCHAR[]) END AS patterns,
+    CASE WHEN h.detector_type = 'isolation_forest' AND a.n_err > 0 THEN e.s END AS error_samples
+  FROM hc h LEFT JOIN agg a USING (incident_id) LEFT JOIN mode m USING (incident_id) LEFT JOIN errs e USING (incident_id))"""
+
+
+@query("playbook_route", INCIDENT_CTES + """
+SELECT incident_id, CASE severity WHEN 'critical' THEN 'urgent_notice' WHEN 'high' THEN 'normal_notice'
+  ELSE 'collect' END AS route FROM hc""")
+def playbook_route(spark, sf_dir):
+    return _Flow(spark, sf_dir).hc.select("incident_id", PB.route(F.col("severity")).alias("route"))
+
+
+@query("playbook_notices", INCIDENT_CTES + """
+SELECT incident_id, CASE WHEN severity = 'critical' THEN 'sms' ELSE 'email' END AS channel,
+  CASE WHEN severity = 'high' THEN '보안 경고: ' || title END AS subject,
+  CASE WHEN severity = 'critical' THEN '긴급 보안 경고: ' || title || ' - ' ||
+         CASE WHEN length(description) > 100 THEN substr(description, 1, 97) || '...' ELSE description END
+       ELSE description || chr(10) || chr(10) || '심각도: ' || severity || chr(10) || '탐지 시간: ' || strftime(timestamp, '%Y-%m-%d %H:%M:%S') END AS body
+FROM hc""")
+def playbook_notices(spark, sf_dir):
+    return PB.notices(_Flow(spark, sf_dir).hc)
+
+
+@query("related_analysis", PLAYBOOK_CTES + """
+SELECT incident_id, detector_type, log_count, len(patterns) AS n_patterns,
+  error_samples IS NOT NULL AS has_error_samples, coalesce(len(error_samples), 0) AS n_error_samples FROM analysis""")
+def related_analysis(spark, sf_dir):
+    a = _Flow(spark, sf_dir).analysis
+    return a.select("incident_id", "detector_type", "log_count", F.size("patterns").alias("n_patterns"),
+                    F.col("error_samples").isNotNull().alias("has_error_samples"),
+                    F.coalesce(F.size("error_samples"), F.lit(0)).alias("n_error_samples"))
+
+
+@query("analysis_patterns", PLAYBOOK_CTES + """
+SELECT incident_id, idx, pattern FROM (
+  SELECT incident_id, unnest(range(1, len(patterns) + 1)) AS idx, unnest(patterns) AS pattern FROM analysis)
+UNION ALL
+SELECT incident_id, 100 + unnest(range(1, len(error_samples) + 1)) AS idx, unnest(error_samples) AS pattern
+FROM analysis WHERE error_samples IS NOT NULL""")
+def analysis_patterns(spark, sf_dir):
+    a = _Flow(spark, sf_dir).analysis
+    p = a.select("incident_id", F.posexplode("patterns").alias("i", "pattern"))
+    e = a.select("incident_id", F.posexplode("error_samples").alias("i", "pattern"))
+    return (p.select("incident_id", (F.col("i") + 1).cast("bigint").alias("idx"), "pattern")
+             .unionByName(e.select("incident_id", (F.col("i") + 101).cast("bigint").alias("idx"), "pattern")))
+
+
+@query("tickets", PLAYBOOK_CTES + """
+SELECT incident_id, title AS short_description,
+  description || chr(10) || chr(10) || '분석 결과:' || chr(10) ||
+    array_to_string(list_transform(patterns, lambda p: '- ' || p || chr(10)), '') ||
+    chr(10) || chr(10) || '관련 로그 수: ' || CAST(log_count AS VARCHAR) || '개' AS description,
+  CASE severity WHEN 'critical' THEN 1 WHEN 'high' THEN 2 ELSE 3 END AS urgency, 'security' AS category
+FROM analysis""")
+def tickets_q(spark, sf_dir):
+    f = _Flow(spark, sf_dir)
+    return PB.tickets(f.hc, f.analysis)
+
+
+@query("response_decision", PLAYBOOK_CTES + """
+SELECT a.incident_id,
+  CASE WHEN coalesce(c.has_error, false) THEN 'log_level_based_response'
+       WHEN a.error_samples IS NOT NULL THEN 'error_message_based_response' ELSE 'default_response' END AS action,
+  true AS completed,
+  CASE WHEN coalesce(c.has_error, false) THEN '대상 시스템 상태 확인 및 로그 패턴 분석 완료'
+       WHEN a.error_samples IS NOT NULL THEN '에러 메시지 분석 및 관련 서비스 상태 점검 완료'
+       ELSE '기본 모니터링 및 로그 수집 강화' END AS details
+FROM analysis a LEFT JOIN ctx c USING (incident_id)""")
+def response_decision(spark, sf_dir):
+    return _Flow(spark, sf_dir).decisions
