@@ -57,7 +57,8 @@ def error_hour_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = TB.logs(spark, sf_dir)
     hourly = (logs.groupBy(F.date_trunc("hour", "event_ts").cast("timestamp_ntz").alias("hour"))
                   .agg(F.count(F.lit(1)).alias("n_logs"),
-                       F.sum(F.when(F.col("log_level") == "ERROR", 1).otherwise(0)).cast("bigint").alias("n_error")))
+                       F.sum(F.when(F.col("log_level") == "ERROR", 1).otherwise(0)).cast("bigint").alias("n_error"))
+                  .persist())   # one row per hour; reused by the fit and the report
     m, s = zscore_fit(hourly, "n_error")
     z = zscore(F.col("n_error"), m, s)
     return (hourly.select("hour", "n_logs", "n_error", z.alias("z"))
@@ -258,7 +259,7 @@ from .operators import sequences as SQ  # noqa: E402
 
 
 def _minute_vectors(spark, sf_dir):
-    cells = _minute_cells(spark, sf_dir)
+    cells = _minute_cells(spark, sf_dir).persist()   # reused by vocabulary, scaler fit and vectors
     vocab = FT.fit_vocabulary(cells)
     return SQ.scaled_minute_vectors(cells, vocab)
 
@@ -521,6 +522,8 @@ def alert_outbox_q(spark, sf_dir):
 # ---------------------------------------------------------------- incidents
 from .plans import incidents as IN  # noqa: E402
 from .plans import playbook as PB  # noqa: E402
+from .functions.constants import PLAYBOOK_LOG_LIMIT as C_PLAYBOOK_LIMIT  # noqa: E402
+from .functions.constants import RELATED_LOG_LIMIT as C_RELATED_LIMIT  # noqa: E402
 
 _TITLE_SQL = """CASE detector_type WHEN 'isolation_forest' THEN '구조화 데이터 분석' WHEN 'lstm' THEN '시퀀스 패턴 분석'
   WHEN 'bert' THEN '로그 메시지 의미 분석' ELSE detector_type END || '에서 발견된 로그 이상 패턴'"""
@@ -566,16 +569,23 @@ class _Flow:
     """The incident flow over one sf directory, built once per query call."""
 
     def __init__(self, spark, sf_dir):
-        self.logs = TB.logs(spark, sf_dir)
+        # Shared intermediates of the incident DAG are persisted once (memory, spill
+        # to disk; recomputed from lineage if an executor is lost).
+        self.logs = TB.logs(spark, sf_dir).persist()
         self.deduped = IN.dedup_anomalies(TB.anomalies(spark, sf_dir))
-        self.incidents = IN.build_incidents(self.deduped)
-        self.rel = IN.related_logs(self.incidents, self.logs)
-        self.ctx = IN.context(self.rel)
-        self.enriched = IN.enrich(self.incidents, self.ctx)
+        self.incidents = IN.build_incidents(self.deduped).persist()
+        # the pairs are not cached: re-running the bucketed join is cheaper than
+        # materialising every (incident, log) pair
+        self.pairs = IN.related_pairs(self.incidents, self.logs)
+        self.rel = IN.top_related(self.pairs, C_RELATED_LIMIT)
+        self.ctx = IN.context(self.incidents, self.logs, self.pairs)
+        self.enriched = IN.enrich(self.incidents, self.ctx).persist()
         self.requests = IN.workflow_requests(self.incidents)
         hc = self.enriched.where(F.col("severity").isin("high", "critical"))
         self.hc = hc
-        self.analysis = PB.analyse(hc, self.rel)
+        # the playbook's own search: first 100 related logs of the high/critical incidents only
+        self.analysis = PB.analyse(hc, IN.related_logs(self.incidents.join(
+            hc.select("incident_id"), "incident_id", "left_semi"), self.logs, C_PLAYBOOK_LIMIT))
         self.decisions = PB.decide(hc, self.analysis)
 
     def events(self):

@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 
 from .constants import PARSE_ERROR_TEXT, TS_FORMAT
 
-_WS = r"^\s+|\s+$"
+# Characters removed by Python's str.strip() (str.isspace() set).
+_WS = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
+       "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def stripped(col: Column) -> Column:
-    """Remove leading/trailing whitespace (spaces, tabs, CR/LF), like ``str.strip``."""
-    return F.regexp_replace(col, _WS, "")
+    """Remove leading/trailing whitespace like ``str.strip`` (a character-set
+    trim, much cheaper than a regular expression)."""
+    return F.btrim(col, F.lit(_WS))
 
 
 def is_blank(col: Column) -> Column:
@@ -26,16 +29,20 @@ def is_blank(col: Column) -> Column:
 
 
 def parsed_struct(line: Column) -> Column:
-    """Struct of the parsed fields for one raw line."""
+    """Struct of the parsed fields for one raw line.
+
+    ``split(s, ' ', 5)`` yields the four leading tokens and, as fifth element,
+    the untouched remainder — equal to joining tokens 5.. with single spaces.
+    """
     s = stripped(line)
-    parts = F.split(s, " ", -1)
+    parts = F.split(s, " ", 5)
     ok = F.size(parts) >= 4
     tok = lambda i: F.try_element_at(parts, F.lit(i))  # noqa: E731  (1-based)
     return F.struct(
         F.when(ok, F.concat_ws(" ", tok(1), tok(2))).alias("timestamp"),
         F.when(ok, tok(3)).alias("log_level"),
         F.when(ok, tok(4)).alias("component"),
-        F.when(ok, F.array_join(F.slice(parts, 5, F.greatest(F.size(parts) - 4, F.lit(0))), " ")).alias("message"),
+        F.when(ok, F.coalesce(tok(5), F.lit(""))).alias("message"),
         s.alias("raw_log"),
         F.when(~ok, F.lit(PARSE_ERROR_TEXT)).alias("parse_error"),
     )

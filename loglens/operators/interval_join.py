@@ -26,6 +26,12 @@ def interval_join(probes: DataFrame, events: DataFrame, probe_ts: str, event_ts:
     p = (probes.withColumn("_pt", pt)
                .withColumn("_b", F.explode(F.sequence(F.floor((F.col("_pt") - before_seconds) / b),
                                                       F.floor((F.col("_pt") + after_seconds) / b)))))
+    # Hash-partition the probes on the bucket with a fixed count: a sort-merge
+    # join on the bucket reuses this partitioning (no extra exchange), and when
+    # AQE broadcasts the events instead, the probe side still spreads over all
+    # tasks rather than the one partition AQE may coalesce a small side into.
+    n = int(probes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    p = p.repartition(n, "_b")
     e = (events.withColumn("_et", epoch_seconds(F.col(event_ts)))
                .withColumn("_b", F.floor(F.col("_et") / b)))
     cond = [p["_b"] == e["_b"],

@@ -82,34 +82,65 @@ def build_incidents(deduped: DataFrame, created_at: Column | None = None) -> Dat
                       ("anomaly_id", "severity", "detector_type", "timestamp")]))
 
 
-def related_logs(incidents: DataFrame, logs: DataFrame, limit: int = C.RELATED_LOG_LIMIT,
-                 before_min: int = C.RELATED_BEFORE_MINUTES, after_min: int = C.RELATED_AFTER_MINUTES,
-                 log_cols: tuple = ("event_id", "event_ts", "timestamp", "log_level", "component",
-                                    "message", "source_file")) -> DataFrame:
-    """(incident_id, anomaly_id, rank, log columns...) for the oldest ``limit`` logs
-    with event time in [ts - before, ts + after].  Null incident times match nothing."""
+def related_pairs(incidents: DataFrame, logs: DataFrame,
+                  before_min: int = C.RELATED_BEFORE_MINUTES, after_min: int = C.RELATED_AFTER_MINUTES,
+                  log_cols: tuple = ("event_id", "event_ts", "timestamp", "log_level", "component",
+                                     "message", "source_file")) -> DataFrame:
+    """(incident_id, anomaly_id, log columns...) for every log with event time in
+    [ts - before, ts + after] (unranked).  Null incident times match nothing."""
     probes = incidents.select("incident_id", "anomaly_id", F.col("timestamp").alias("_its")) \
                       .where(F.col("_its").isNotNull())
     ev = logs.select(*log_cols)
-    j = interval_join(probes, ev, "_its", "event_ts", before_min * 60, after_min * 60)
-    return first_n_per_key(j.drop("_its"), "incident_id", [F.col("event_ts"), F.col("event_id")], limit)
-
-
-def context(rel: DataFrame, samples: int = C.CONTEXT_SAMPLES) -> DataFrame:
-    """Per incident: related_logs_count, level and component counts (missing →
-    'unknown'), first ``samples`` logs.  Counts are partial aggregates; the maps
-    have one entry per distinct level/component of that incident."""
-    lvl = rel.groupBy("incident_id", F.coalesce("log_level", F.lit("unknown")).alias("k")).count()
-    comp = rel.groupBy("incident_id", F.coalesce("component", F.lit("unknown")).alias("k")).count()
-    tot = rel.groupBy("incident_id").agg(
-        F.count(F.lit(1)).alias("related_logs_count"),
-        F.array_sort(F.collect_list(F.when(F.col("rank") <= samples, F.struct(
-            "rank", "timestamp", "log_level", "component", "message", "source_file")))).alias("_s"))
-    lm = lvl.groupBy("incident_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "count"))).alias("log_level_stats"))
-    cm = comp.groupBy("incident_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "count"))).alias("component_stats"))
-    out = tot.join(lm, "incident_id").join(cm, "incident_id")
+    return interval_join(probes, ev, "_its", "event_ts", before_min * 60, after_min * 60).drop("_its")
+
+
+def top_related(pairs: DataFrame, n: int) -> DataFrame:
+    """Oldest ``n`` related logs per incident with their ``rank``."""
+    return first_n_per_key(pairs, "incident_id", [F.col("event_ts"), F.col("event_id")], n)
+
+
+def related_logs(incidents: DataFrame, logs: DataFrame, limit: int = C.RELATED_LOG_LIMIT, **kw) -> DataFrame:
+    return top_related(related_pairs(incidents, logs, **kw), limit)
+
+
+def _key_counts(rows: DataFrame) -> DataFrame:
+    """(incident_id, kind, k, n): level and component counts in one pass."""
+    kv = F.explode(F.array(
+        F.struct(F.lit("level").alias("kind"), F.coalesce("log_level", F.lit("unknown")).alias("k")),
+        F.struct(F.lit("component").alias("kind"), F.coalesce("component", F.lit("unknown")).alias("k"))))
+    return (rows.select("incident_id", kv.alias("kv"))
+                .groupBy("incident_id", F.col("kv.kind").alias("kind"), F.col("kv.k").alias("k"))
+                .agg(F.count(F.lit(1)).alias("n")))
+
+
+def context(incidents: DataFrame, logs: DataFrame, pairs: DataFrame | None = None,
+            limit: int = C.RELATED_LOG_LIMIT, samples: int = C.CONTEXT_SAMPLES) -> DataFrame:
+    """Per incident: related_logs_count (≤ limit), level and component counts
+    (missing → 'unknown') over the oldest ``limit`` related logs, first
+    ``samples`` logs.
+
+    Counts over all related logs are one partial aggregation.  Only incidents
+    with more than ``limit`` related logs are recounted from their oldest
+    ``limit`` logs: their probes are filtered *before* the interval join, so
+    the ranking touches just those incidents.  Samples come from a top-N per
+    incident (each task keeps ≤ ``samples`` rows per incident)."""
+    pairs = pairs if pairs is not None else related_pairs(incidents, logs)
+    counts = _key_counts(pairs)
+    totals = (counts.where(F.col("kind") == "level").groupBy("incident_id")
+              .agg(F.sum("n").alias("_total")))
+    big = totals.where(F.col("_total") > limit).select("incident_id")
+    big_rows = top_related(related_pairs(incidents.join(big, "incident_id", "left_semi"), logs), limit)
+    counts = counts.join(big, "incident_id", "left_anti").unionByName(_key_counts(big_rows))
+    maps = counts.groupBy("incident_id").agg(
+        F.sum(F.when(F.col("kind") == "level", F.col("n"))).alias("related_logs_count"),
+        F.map_from_entries(F.collect_list(F.when(F.col("kind") == "level", F.struct("k", "n")))).alias("log_level_stats"),
+        F.map_from_entries(F.collect_list(F.when(F.col("kind") == "component", F.struct("k", "n")))).alias("component_stats"))
+    smp = (top_related(pairs, samples).groupBy("incident_id")
+           .agg(F.array_sort(F.collect_list(F.struct("rank", "timestamp", "log_level", "component", "message",
+                                                     "source_file"))).alias("_s")))
+    out = maps.join(smp, "incident_id")
     return out.select("incident_id", F.struct(
-        "related_logs_count", "log_level_stats", "component_stats",
+        F.col("related_logs_count").cast("bigint").alias("related_logs_count"), "log_level_stats", "component_stats",
         F.transform("_s", lambda x: F.struct(x["timestamp"].alias("timestamp"), x["log_level"].alias("log_level"),
                                              x["component"].alias("component"), x["message"].alias("message"),
                                              x["source_file"].alias("source_file"))).alias("log_samples")
