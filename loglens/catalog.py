@@ -789,3 +789,55 @@ SELECT a.incident_id,
 FROM analysis a LEFT JOIN ctx c USING (incident_id)""")
 def response_decision(spark, sf_dir):
     return _Flow(spark, sf_dir).decisions
+
+
+# ---------------------------------------------------------------- detectors
+from .operators import clustering as _CL  # noqa: E402,F811
+from .operators import forest as FO  # noqa: E402
+
+
+def _window_vectors(spark, sf_dir):
+    """Standardised dense window-feature vectors (hour windows) and log counts."""
+    logs = TB.logs(spark, sf_dir)
+    cells = FT.window_features(logs, FEATURE_WIDTH).withColumnRenamed("bucket", "window_start").persist()
+    vocab = FT.fit_vocabulary(cells)
+    vecs = FT.dense_vectors(cells, vocab, ["window_start"])
+    counts = logs.groupBy(FT.time_windows(F.col("event_ts"), FEATURE_WIDTH).alias("window_start")) \
+                 .agg(F.count(F.lit(1)).alias("log_count"))
+    vecs = vecs.join(counts, "window_start").persist()
+    means, stds = _CL.fit_standardizer(vecs, "vec")
+    return vecs.select("window_start", "log_count", _CL.standardize(F.col("vec"), means, stds).alias("x"))
+
+
+@query("forest_scores")
+def forest_scores(spark, sf_dir):
+    """Isolation-forest records per hour window: score in [-1, 0], anomaly when
+    below the 5 % training quantile (trained on the same windows)."""
+    x = _window_vectors(spark, sf_dir).withColumn("key", F.col("window_start").cast("string")).persist()
+    model = FO.fit_forest(x, "key", "x")
+    scored = FO.score_forest(x.select("window_start", "log_count", "x"), "x", model).persist()
+    offset = FO.fit_offset(scored)
+    return scored.select(
+        F.col("window_start").alias("timestamp"), F.lit("isolation_forest").alias("detector_type"),
+        r6(F.col("anomaly_score")).alias("anomaly_score"), (F.col("anomaly_score") < F.lit(offset)).alias("is_anomaly"),
+        F.col("log_count").cast("bigint").alias("log_count"), F.lit(60).cast("bigint").alias("time_window_minutes"))
+
+
+from .operators import forecast as FC  # noqa: E402
+
+
+@query("sequence_forecast")
+def sequence_forecast(spark, sf_dir):
+    """Ridge VAR fitted on the training 80 % of each series' sequences; per
+    series: p95 error threshold, anomaly count (error > threshold), validation MSE."""
+    seqs = SQ.sequences(_minute_vectors(spark, sf_dir))
+    seqs = seqs.withColumn("split", SQ.chrono_split(seqs)).persist()
+    w = FC.fit_ridge(seqs.where(F.col("split") == "train"))
+    errs = FC.forecast_errors(seqs.drop("x_total"), w).persist()
+    summ = SQ.error_summary(errs)
+    val = errs.where(F.col("split") == "validation").groupBy("series_key").agg(F.avg("sq_error").alias("val_mse"))
+    return (summ.join(val, "series_key", "left")
+                .select("series_key", F.lit("lstm").alias("detector_type"),
+                        r6(F.col("max_error")).alias("max_error"), r6(F.col("mean_error")).alias("mean_error"),
+                        r6(F.col("threshold")).alias("threshold"), "anomaly_count", "total_sequences",
+                        "is_anomaly", r6(F.col("val_mse")).alias("val_mse")))
