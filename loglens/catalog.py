@@ -665,7 +665,7 @@ FROM st""")
 def incident_state_q(spark, sf_dir):
     s = IN.incident_state(_Flow(spark, sf_dir).events())
     return s.select("incident_id", "status", F.size("actions").alias("n_actions"),
-                    F.element_at(F.col("actions"), -1).getField("action_type").alias("last_action"))
+                    F.try_element_at(F.col("actions"), F.lit(-1)).getField("action_type").alias("last_action"))
 
 
 @query("incident_update", _STATE_SQL + """
