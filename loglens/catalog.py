@@ -841,3 +841,41 @@ def sequence_forecast(spark, sf_dir):
                         r6(F.col("max_error")).alias("max_error"), r6(F.col("mean_error")).alias("mean_error"),
                         r6(F.col("threshold")).alias("threshold"), "anomaly_count", "total_sequences",
                         "is_anomaly", r6(F.col("val_mse")).alias("val_mse")))
+
+
+from .operators import embedding as EM  # noqa: E402
+
+
+@query("text_embedding")
+def text_embedding(spark, sf_dir):
+    """TF-IDF message vectors of the whole documents table, distinct texts
+    first (keep-first by doc_id), then distance-to-centroid scoring with
+    k-means (k=10) on those vectors."""
+    docs = TB.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    uniq = keep_first(docs, ["text"], ["doc_id"], count_col=None)
+    _, vec = EM.tfidf_vectors(uniq, "text")
+    vec = vec.select("doc_id", "vec").persist()
+    model = CL.kmeans_fit(vec, "vec", k=10)
+    scored = CL.kmeans_assign(model, vec, "vec").select(
+        "doc_id", EM.nnz(F.col("vec")).alias("n_terms"), "cluster", "distance")
+    f = CL.flag_anomalies(scored, CL.distance_profile(scored))
+    return f.select("doc_id", "n_terms", "cluster", r6(F.col("distance")).alias("distance"), "is_anomaly")
+
+
+@query("detector_records")
+def detector_records(spark, sf_dir):
+    """The three detectors' records (forest per window, sequence per series,
+    message summary) in one anomaly table (union by name)."""
+    forest = forest_scores(spark, sf_dir).withColumn("anomaly_id", F.lit(None).cast("bigint"))
+    seq = sequence_forecast(spark, sf_dir).select(
+        F.lit(None).cast("timestamp_ntz").alias("timestamp"), "detector_type", "is_anomaly", "max_error", "mean_error",
+        "threshold", "anomaly_count", "total_sequences", F.lit(30).cast("bigint").alias("time_window_minutes"))
+    flagged = _flagged_embeddings(spark, sf_dir)
+    stats = CL.cluster_stats(flagged).agg(CL.cluster_stats_map(None).alias("cluster_stats"))
+    msg = CL.message_summary(flagged).select(
+        F.lit(None).cast("timestamp_ntz").alias("timestamp"), F.lit("bert").alias("detector_type"), "is_anomaly",
+        "max_distance", "mean_distance", "anomaly_count", "total_logs", F.lit(10).cast("bigint").alias("time_window_minutes"))
+    one = F.lit(0).alias("_g")   # both sides are single-row aggregates
+    msg = msg.select("*", one).join(F.broadcast(stats.select("*", one)), "_g").drop("_g")
+    u = union_detector_outputs(forest, seq, msg)
+    return u.withColumn("n_clusters", F.size("cluster_stats")).drop("cluster_stats")

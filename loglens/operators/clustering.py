@@ -91,7 +91,7 @@ def cluster_stats(flagged: DataFrame, cluster: str = "cluster") -> DataFrame:
             .withColumn("anomaly_ratio", F.col("anomaly_count") / F.col("count")))
 
 
-def cluster_stats_map(stats: DataFrame, cluster: str = "cluster") -> Column:
+def cluster_stats_map(_unused=None, cluster: str = "cluster") -> Column:
     """Aggregate expression: map<string, struct<count, anomaly_count, anomaly_ratio>>."""
     return F.map_from_entries(F.collect_list(F.struct(
         F.col(cluster).cast("string"),
@@ -115,6 +115,19 @@ def kmeans_fit(df: DataFrame, vec: str, k: int = KMEANS_K, seed: int = SEED, max
     return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(data)
 
 
+def kmeans_assign(model, df: DataFrame, vec: str) -> DataFrame:
+    """Cluster by the fitted model, distance to the assigned centre through an
+    equi-join with the k-row centre table (AQE broadcasts it).  Preferred for
+    wide vectors, where inlining k centres into one expression is costly."""
+    from pyspark.ml.functions import array_to_vector
+    spark = df.sparkSession
+    centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
+                                    "cluster int, centre array<double>")
+    pred = model.setPredictionCol("cluster").transform(df.withColumn("features", array_to_vector(F.col(vec)))).drop("features")
+    j = pred.join(centres, "cluster")
+    return j.withColumn("distance", F.sqrt(sq_distance(F.col(vec), F.col("centre")))).drop("centre")
+
+
 def kmeans_centroids(model) -> dict:
     return {i: [float(x) for x in c] for i, c in enumerate(model.clusterCenters())}
 
