@@ -93,7 +93,7 @@ def quarantine_logs(spark, sf_dir):
 SELECT event_id, event_ts, log_level, component, message FROM logs
 WHERE event_ts BETWEEN TIMESTAMP '{RANGE_AS_OF}' - INTERVAL {RANGE_MINUTES} MINUTE AND TIMESTAMP '{RANGE_AS_OF}'""")
 def range_scan(spark, sf_dir):
-    return (TB.time_range(TB.logs(spark, sf_dir), "event_ts", RANGE_AS_OF, RANGE_MINUTES)
+    return (TB.logs_in_range(spark, sf_dir, RANGE_AS_OF, RANGE_MINUTES)
               .select("event_id", "event_ts", "log_level", "component", "message"))
 
 
@@ -128,7 +128,8 @@ WHERE timestamp BETWEEN TIMESTAMP '{RECENT_AS_OF}' - INTERVAL {RECENT_MINUTES} M
   AND is_anomaly
 ORDER BY timestamp DESC, anomaly_id ASC LIMIT 100""")
 def recent_anomalies(spark, sf_dir):
-    return (TB.recent_anomalies(TB.anomalies(spark, sf_dir), RECENT_AS_OF, RECENT_MINUTES, 100)
+    return (TB.recent_anomalies(TB.anomalies_in_range(spark, sf_dir, RECENT_AS_OF, RECENT_MINUTES),
+                                RECENT_AS_OF, RECENT_MINUTES, 100)
               .select("anomaly_id", "timestamp", "detector_type"))
 
 

@@ -19,6 +19,26 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_logs(read_table(spark, sf_dir, "events"))
 
 
+def _event_bounds(events: DataFrame, as_of, minutes: int, after_minutes: int = 0) -> DataFrame:
+    """Pre-filter ``events`` on the stored ``ts`` column with the bounds implied by
+    a range on the derived (second-truncated) time: ``ts ∈ [lo, hi + 1 s)``.  This
+    predicate reaches the Parquet scan (PushedFilters); the exact inclusive range is
+    still applied to the derived column."""
+    hi = _ts(as_of) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(after_minutes), F.lit(1))
+    lo = _ts(as_of) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
+    return events.where((F.col("ts") >= lo) & (F.col("ts") < hi))
+
+
+def logs_in_range(spark: SparkSession, sf_dir: str, as_of, minutes: int, after_minutes: int = 0) -> DataFrame:
+    ev = _event_bounds(read_table(spark, sf_dir, "events"), as_of, minutes, after_minutes)
+    return time_range(valid_logs(ev), "event_ts", as_of, minutes, after_minutes)
+
+
+def anomalies_in_range(spark: SparkSession, sf_dir: str, as_of, minutes: int) -> DataFrame:
+    ev = _event_bounds(read_table(spark, sf_dir, "events"), as_of, minutes)
+    return time_range(anomaly_records(ev), "timestamp", as_of, minutes)
+
+
 def all_parsed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed_logs(read_table(spark, sf_dir, "events"))
 
