@@ -748,9 +748,9 @@ SELECT incident_id, detector_type, log_count, len(patterns) AS n_patterns,
   error_samples IS NOT NULL AS has_error_samples, coalesce(len(error_samples), 0) AS n_error_samples FROM analysis""")
 def related_analysis(spark, sf_dir):
     a = _Flow(spark, sf_dir).analysis
-    return a.select("incident_id", "detector_type", "log_count", F.size("patterns").alias("n_patterns"),
+    return a.select("incident_id", "detector_type", "log_count", F.size("patterns").cast("bigint").alias("n_patterns"),
                     F.col("error_samples").isNotNull().alias("has_error_samples"),
-                    F.coalesce(F.size("error_samples"), F.lit(0)).alias("n_error_samples"))
+                    F.coalesce(F.size("error_samples"), F.lit(0)).cast("bigint").alias("n_error_samples"))
 
 
 @query("analysis_patterns", PLAYBOOK_CTES + """
