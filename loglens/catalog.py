@@ -880,3 +880,16 @@ def detector_records(spark, sf_dir):
     msg = msg.select("*", one).join(F.broadcast(stats.select("*", one)), "_g").drop("_g")
     u = union_detector_outputs(forest, seq, msg)
     return u.withColumn("n_clusters", F.size("cluster_stats")).drop("cluster_stats")
+
+
+@query("anomaly_samples")
+def anomaly_samples(spark, sf_dir):
+    """Sample of anomalous sequences for the detector log (3, without
+    replacement): a seeded hash order instead of a random draw, so reruns agree;
+    the sample is the feature, hence the limit."""
+    e = _naive_errors(spark, sf_dir)
+    th = e.groupBy("series_key").agg(F.percentile(F.col("error"), 0.95).alias("threshold"))
+    bad = e.join(th, "series_key").where(F.col("error") > F.col("threshold"))
+    return (bad.orderBy(F.xxhash64("series_key", "minute", F.lit(42)), "series_key", "minute").limit(3)
+               .select("series_key", "minute", r6(F.col("error")).alias("error"),
+                       F.substring(F.concat(F.lit("error "), F.col("error").cast("string")), 1, 100).alias("note")))
