@@ -5,8 +5,10 @@ carries.  ``get_spark`` is a convenience for tests, the bench and scripts.
 """
 from __future__ import annotations
 
+import io
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -52,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="loglens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -61,3 +65,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "loglens", name)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per context.
+
+    A zip of the package goes to the shared checkpoint folder and from there to
+    the executors (``addPyFile``); nothing is left in a machine's own folders."""
+    sc = spark.sparkContext
+    if getattr(sc, "_loglens_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    target = sc._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/loglens-{sc.applicationId}.zip")
+    out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    sc.addPyFile(target.toString())
+    sc._loglens_shipped = True
