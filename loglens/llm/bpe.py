@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .common import pick, table
+from .common import map_arrow, pick, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: The code points with the Unicode property White_Space.
@@ -174,7 +174,7 @@ def encode(df: DataFrame, text_col: str = "text", ids_col: str = "ids", ends_col
                 cols.append(pa.array([byte_offsets(x, code.bytes) for x in ids], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays([*b.columns, *cols], [*b.schema.names, *[f.name for f in fields]])
 
-    out = plain.mapInArrow(run, T.StructType([*plain.schema.fields, *fields]))
+    out = map_arrow(plain, run, T.StructType([*plain.schema.fields, *fields]))
     return out.toDF(*df.columns, ids_col, *([ends_col] if ends_col else []))
 
 
@@ -191,7 +191,7 @@ def decode(df: DataFrame, ids_col: str = "ids", bytes_col: str = "bytes", ranks_
             out = pa.array([decoded_bytes(x, table_) for x in b.column(at).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns, out], [*b.schema.names, "bytes"])
 
-    out = plain.mapInArrow(run, T.StructType([*plain.schema.fields, T.StructField("bytes", T.BinaryType())]))
+    out = map_arrow(plain, run, T.StructType([*plain.schema.fields, T.StructField("bytes", T.BinaryType())]))
     return out.toDF(*df.columns, bytes_col)
 
 
@@ -221,7 +221,7 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
             cols = [b.column(0), pa.array(n, pa.int64()), pa.array(hi, pa.string()), pa.array(hd, pa.string())]
             yield pa.RecordBatch.from_arrays(cols + [pa.array(kept, pa.list_(pa.int32()))] * keep_ids, schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, ship_package
 
 #: White space of the contracts: space and the controls 9 to 13.
 WS = "[\\x20\\x09-\\x0D]"
@@ -39,6 +39,12 @@ def id_back(c: Column | str) -> Column:
     return F.nullif(F.col(c) if isinstance(c, str) else c, F.lit(NO_ID))
 
 
+def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
+    """``mapInArrow`` with this package available to the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def stored_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
 

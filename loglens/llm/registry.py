@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["bpe"]
+MODULES = ["bpe", "shards"]
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
