@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["bpe", "shards"]
+MODULES = ["bpe", "shards", "mixing"]
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
