@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["bpe", "shards", "mixing", "secrets"]
+MODULES = ["bpe", "shards", "mixing", "secrets", "linededup"]
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
