@@ -58,8 +58,9 @@ ALLOWED = tuple(re.compile(p) for p in (
 #: Sequences that have high entropy and are no secrets.
 COUNTING = ("0123456789abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz0123456789",
             "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
-#: Characters around a candidate that make it part of an address.
-ADDRESS_BEFORE, ADDRESS_AFTER = re.compile(r"(?:://|@|www\.)[^\s]{0,200}\Z"), re.compile(r"[.@][A-Za-z0-9-]*[A-Za-z]")
+#: What makes a candidate part of an address: in the characters without white
+#: space that lead up to its end (200 before it at most), or just after it.
+ADDRESS_BEFORE, ADDRESS_AFTER = re.compile(r"(?:://|@|www\.)\S*\Z"), re.compile(r"[.@][A-Za-z0-9-]*[A-Za-z]")
 
 SPAN = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()),
                                  T.StructField("end", T.IntegerType())]))
@@ -117,7 +118,7 @@ def entropy_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[in
     taken = [(a, b) for a, _, b in known]
     for kind, run, window, least in CLASSES:
         for m in run.finditer(text):
-            if allowed(m.group()) or ADDRESS_BEFORE.search(text[max(0, m.start() - 200):m.start()]) or ADDRESS_AFTER.match(text, m.end()):
+            if allowed(m.group()) or ADDRESS_BEFORE.search(text, max(0, m.start() - 200), m.end()) or ADDRESS_AFTER.match(text, m.end()):
                 continue
             for a, b in hot_windows(m.group(), window, least):
                 a, b = a + m.start(), b + m.start()
