@@ -575,13 +575,13 @@ class _Flow:
         self.logs = TB.logs(spark, sf_dir).persist()
         self.deduped = IN.dedup_anomalies(TB.anomalies(spark, sf_dir))
         self.incidents = IN.build_incidents(self.deduped).persist()
-        # the pairs are not cached: re-running the bucketed join is cheaper than
-        # materialising every (incident, log) pair
-        self.pairs = IN.related_pairs(self.incidents, self.logs)
-        self.rel = IN.top_related(self.pairs, C_RELATED_LIMIT)
-        self.ctx = IN.context(self.incidents, self.logs, self.pairs)
+        # at most C_RELATED_LIMIT rows an incident; not cached: looking them up
+        # again is cheaper than storing them
+        self.rel = IN.related_logs(self.incidents, self.logs, C_RELATED_LIMIT)
+        self.ctx = IN.context(self.rel)
         self.enriched = IN.enrich(self.incidents, self.ctx).persist()
         self.requests = IN.workflow_requests(self.incidents)
+        self.serious = self.incidents.where(F.col("severity").isin("high", "critical"))   # without context
         hc = self.enriched.where(F.col("severity").isin("high", "critical"))
         self.hc = hc
         # the playbook's own search: first 100 related logs of the high/critical incidents only
@@ -620,14 +620,17 @@ def related_logs_q(spark, sf_dir):
 @query("incident_context", INCIDENT_CTES + """
 SELECT incident_id, 'total' AS stat, '' AS key, count(*) AS n FROM rel GROUP BY 1
 UNION ALL SELECT incident_id, 'level', coalesce(log_level, 'unknown'), count(*) FROM rel GROUP BY 1, 3
-UNION ALL SELECT incident_id, 'component', coalesce(component, 'unknown'), count(*) FROM rel GROUP BY 1, 3""")
+UNION ALL SELECT incident_id, 'component', coalesce(component, 'unknown'), count(*) FROM rel GROUP BY 1, 3
+UNION ALL SELECT i.incident_id, 'all', '', count(*) FROM incidents i JOIN logs l
+  ON l.event_ts BETWEEN i.timestamp - INTERVAL 30 MINUTE AND i.timestamp + INTERVAL 5 MINUTE GROUP BY 1""")
 def incident_context(spark, sf_dir):
     c = _Flow(spark, sf_dir).enriched.where(F.col("context").isNotNull())
     tot = c.select("incident_id", F.lit("total").alias("stat"), F.lit("").alias("key"),
                    F.col("context.related_logs_count").alias("n"))
     lv = c.select("incident_id", F.lit("level").alias("stat"), F.explode("context.log_level_stats").alias("key", "n"))
     co = c.select("incident_id", F.lit("component").alias("stat"), F.explode("context.component_stats").alias("key", "n"))
-    return tot.unionByName(lv).unionByName(co)
+    every = c.select("incident_id", F.lit("all").alias("stat"), F.lit("").alias("key"), F.col("related_logs_total").alias("n"))
+    return tot.unionByName(lv).unionByName(co).unionByName(every)
 
 
 @query("incident_samples", INCIDENT_CTES + """
@@ -640,9 +643,18 @@ def incident_samples(spark, sf_dir):
 
 
 @query("workflow_requests", INCIDENT_CTES + """
-SELECT incident_id, severity FROM hc""")
+SELECT incident_id, severity, title, description, 'new' AS status, detector_type,
+  strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS ts, strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS created,
+  strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS updated, CAST(anomaly_id AS VARCHAR) AS anomaly_id,
+  CAST(anomaly_count AS VARCHAR) AS anomaly_count, CAST(time_window_minutes AS VARCHAR) AS window_minutes, '[]' AS actions FROM hc""")
 def workflow_requests_q(spark, sf_dir):
-    return _Flow(spark, sf_dir).requests.select("incident_id", "severity")
+    r = _Flow(spark, sf_dir).requests
+    field = lambda path: F.get_json_object("execution_argument", f"$.{path}")
+    return r.select(field("incident_id").alias("incident_id"), field("severity").alias("severity"), field("title").alias("title"),
+                    field("description").alias("description"), field("status").alias("status"), field("detector_type").alias("detector_type"),
+                    field("timestamp").alias("ts"), field("created_at").alias("created"), field("updated_at").alias("updated"),
+                    field("anomaly_data.anomaly_id").alias("anomaly_id"), field("anomaly_data.anomaly_count").alias("anomaly_count"),
+                    field("anomaly_data.time_window_minutes").alias("window_minutes"), field("actions").alias("actions"))
 
 
 @query("incident_lookup", INCIDENT_CTES + """
@@ -729,7 +741,7 @@ analysis AS (
 SELECT incident_id, CASE severity WHEN 'critical' THEN 'urgent_notice' WHEN 'high' THEN 'normal_notice'
   ELSE 'collect' END AS route FROM hc""")
 def playbook_route(spark, sf_dir):
-    return _Flow(spark, sf_dir).hc.select("incident_id", PB.route(F.col("severity")).alias("route"))
+    return _Flow(spark, sf_dir).serious.select("incident_id", PB.route(F.col("severity")).alias("route"))
 
 
 @query("playbook_notices", INCIDENT_CTES + """
@@ -740,7 +752,7 @@ SELECT incident_id, CASE WHEN severity = 'critical' THEN 'sms' ELSE 'email' END
        ELSE description || chr(10) || chr(10) || '심각도: ' || severity || chr(10) || '탐지 시간: ' || strftime(timestamp, '%Y-%m-%d %H:%M:%S') END AS body
 FROM hc""")
 def playbook_notices(spark, sf_dir):
-    return PB.notices(_Flow(spark, sf_dir).hc)
+    return PB.notices(_Flow(spark, sf_dir).serious)
 
 
 @query("related_analysis", PLAYBOOK_CTES + """

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import KMEANS_K, SEED, THRESHOLD_PERCENTILE
+from .stats import quantile_by
 
 MAX_DIM = 4096
 MAX_K = 1000
@@ -72,8 +73,8 @@ def distance_profile(scored: DataFrame, cluster: str = "cluster", dist: str = "d
     """Per cluster: mean, population std, max, exact p95 threshold, count."""
     return scored.groupBy(cluster).agg(
         F.avg(dist).alias("mean_distance"), F.stddev_pop(dist).alias("std_distance"),
-        F.max(dist).alias("max_distance"), F.percentile(F.col(dist), q).alias("threshold"),
-        F.count(F.lit(1)).alias("sample_count"))
+        F.max(dist).alias("max_distance"), F.count(F.lit(1)).alias("sample_count")).join(
+        quantile_by(scored, [cluster], dist, q), cluster)
 
 
 def flag_anomalies(scored: DataFrame, profile: DataFrame, cluster: str = "cluster",
@@ -99,11 +100,12 @@ def cluster_stats_map(_unused=None, cluster: str = "cluster") -> Column:
 
 
 def message_summary(flagged: DataFrame, dist: str = "distance") -> DataFrame:
-    """One message-detector record: max/mean distance, anomaly count, total, any."""
+    """One message-detector record: max/mean distance, anomaly count, total, any;
+    none for an empty input."""
     return flagged.agg(F.max(dist).alias("max_distance"), F.avg(dist).alias("mean_distance"),
                        F.sum(F.col("is_anomaly").cast("int")).cast("bigint").alias("anomaly_count"),
                        F.count(F.lit(1)).alias("total_logs"),
-                       F.coalesce(F.bool_or("is_anomaly"), F.lit(False)).alias("is_anomaly"))
+                       F.coalesce(F.bool_or("is_anomaly"), F.lit(False)).alias("is_anomaly")).where("total_logs > 0")
 
 
 # ---------------------------------------------------------------- Spark ML k-means

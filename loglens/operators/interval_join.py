@@ -6,9 +6,13 @@ nested-loop join.  Here both sides get an equi-join key on time buckets of
 width ``bucket_seconds`` (≥ before + after by default): each event falls in
 one bucket, each probe explodes to the few buckets its interval touches, and
 the exact bounds are re-checked after the equi-join.  The join is then a
-sort-merge/hash join on ``bucket`` (AQE splits skewed buckets), every output
-pair is produced exactly once, and no pairs outside the interval are built
-beyond the bucket granularity.
+sort-merge/hash join on ``bucket`` whose exchanges are Spark's own, so AQE can
+split a skewed bucket; every output pair is produced exactly once.
+
+Where only the oldest ``n`` events of each interval are wanted, use
+:func:`first_in_interval`: it numbers the events once and looks intervals up by
+position, so it never builds more than ``n`` pairs a probe however dense the
+events are.
 """
 from __future__ import annotations
 
@@ -26,12 +30,6 @@ def interval_join(probes: DataFrame, events: DataFrame, probe_ts: str, event_ts:
     p = (probes.withColumn("_pt", pt)
                .withColumn("_b", F.explode(F.sequence(F.floor((F.col("_pt") - before_seconds) / b),
                                                       F.floor((F.col("_pt") + after_seconds) / b)))))
-    # Hash-partition the probes on the bucket with a fixed count: a sort-merge
-    # join on the bucket reuses this partitioning (no extra exchange), and when
-    # AQE broadcasts the events instead, the probe side still spreads over all
-    # tasks rather than the one partition AQE may coalesce a small side into.
-    n = int(probes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    p = p.repartition(n, "_b")
     e = (events.withColumn("_et", epoch_seconds(F.col(event_ts)))
                .withColumn("_b", F.floor(F.col("_et") / b)))
     cond = [p["_b"] == e["_b"],
@@ -41,8 +39,50 @@ def interval_join(probes: DataFrame, events: DataFrame, probe_ts: str, event_ts:
     return j.drop(p["_b"]).drop(e["_b"]).drop("_pt", "_et")
 
 
-def first_n_per_key(df: DataFrame, key: str, order: list, n: int, rank_col: str = "rank") -> DataFrame:
-    """Rows ranked 1..n per key under ``order`` (planned as WindowGroupLimit +
-    Window, so each task keeps at most n rows per key before the shuffle)."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
+def _day(sec: str):
+    return F.floor(F.col(sec) / 86400)
+
+
+def _running(per_second: DataFrame) -> DataFrame:
+    """(sec, n) → (sec, n, upto): events up to and including each second.  Days
+    are summed first, then seconds within a day: a window never holds more than
+    the days, or the seconds of one day."""
+    days = per_second.groupBy(_day("sec").alias("day")).agg(F.sum("n").alias("dn"))
+    first = days.select("day", (F.sum("dn").over(Window.orderBy("day")) - F.col("dn")).alias("first"))
+    w = Window.partitionBy("day").orderBy("sec")
+    return (per_second.withColumn("day", _day("sec")).join(first, "day")
+            .select("sec", "n", (F.col("first") + F.sum("n").over(w)).alias("upto")))
+
+
+def first_in_interval(probes: DataFrame, events: DataFrame, probe_ts: str, event_ts: str, order: list[str],
+                      before_seconds: int, after_seconds: int, n: int,
+                      rank_col: str = "rank", total_col: str = "total") -> DataFrame:
+    """The oldest ``n`` events (by ``event_ts``, then ``order``) of each probe's
+    interval [ts - before, ts + after], with their rank and the number of all
+    events of the interval.  Probes without events have no rows.
+
+    Event times are whole seconds.  Counts per second give each event its
+    position; an interval is then a range of positions, cut to ``n`` and joined
+    on blocks of ``n`` positions, at most two for each probe."""
+    ev = events.withColumn("_sec", epoch_seconds(F.col(event_ts)))
+    pr = probes.withColumn("_ps", epoch_seconds(F.col(probe_ts))).where(F.col("_ps").isNotNull())
+    per_second = ev.where(F.col("_sec").isNotNull()).groupBy(F.col("_sec").alias("sec")).agg(F.count(F.lit(1)).alias("n"))
+    at = pr.select("_ps").distinct().select("_ps", (F.col("_ps") - before_seconds - 1).alias("lo"), (F.col("_ps") + after_seconds).alias("hi"))
+    points = at.select(F.explode(F.array("lo", "hi")).alias("sec")).distinct().withColumn("n", F.lit(0).cast("long"))
+    line = _running(per_second.unionByName(points).groupBy("sec").agg(F.sum("n").alias("n")))
+    upto = line.select("sec", "upto")
+    ranges = (at.join(upto.select(F.col("sec").alias("lo"), F.col("upto").alias("_start")), "lo")
+              .join(upto.select(F.col("sec").alias("hi"), F.col("upto").alias("_end")), "hi")
+              .where(F.col("_end") > F.col("_start")).select("_ps", "_start", "_end"))
+    before = line.where(F.col("n") > 0).select(F.col("sec").alias("_sec"), (F.col("upto") - F.col("n")).alias("_first"))
+    own = F.row_number().over(Window.partitionBy("_sec").orderBy(*order)) - 1
+    placed = ev.join(before, "_sec").withColumn("_pos", F.col("_first") + own).drop("_first", "_sec")
+    last = F.least(F.col("_end"), F.col("_start") + n) - 1
+    p = (pr.join(ranges, "_ps").withColumn("_last", last)
+         .withColumn("_b", F.explode(F.sequence(F.floor(F.col("_start") / n), F.floor(F.col("_last") / n)))).drop("_ps"))
+    e = placed.withColumn("_b", F.floor(F.col("_pos") / n))
+    j = p.join(e, (p["_b"] == e["_b"]) & (F.col("_pos") >= F.col("_start")) & (F.col("_pos") <= F.col("_last")))
+    return (j.drop(p["_b"]).drop(e["_b"])
+            .withColumn(rank_col, (F.col("_pos") - F.col("_start") + 1).cast("int"))
+            .withColumn(total_col, F.col("_end") - F.col("_start"))
+            .drop("_pos", "_start", "_end", "_last"))

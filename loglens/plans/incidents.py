@@ -2,9 +2,9 @@
 event-sourced state, upserts/partial updates, workflow-request outbox.
 
 All steps are DataFrame jobs over the whole anomaly table.  Related logs come
-from one bucketed interval join for all incidents at once (not one search per
-incident), ranked oldest-first per incident; the context keeps 1000 of them
-and the playbook its first 100.
+from one positional interval lookup for all incidents at once (not one search
+per incident), oldest first; the context takes the first 1000 of them and the
+playbook its first 100, so a dense time costs no more pairs than a quiet one.
 """
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from ..functions import constants as C
 from ..functions.parse import ts_text
 from ..functions.severity import severity
 from ..operators.dedup import keep_first
-from ..operators.interval_join import first_n_per_key, interval_join
+from ..operators.interval_join import first_in_interval
 
 
 def _name(det: Column) -> Column:
@@ -82,69 +82,46 @@ def build_incidents(deduped: DataFrame, created_at: Column | None = None) -> Dat
                       ("anomaly_id", "severity", "detector_type", "timestamp")]))
 
 
-def related_pairs(incidents: DataFrame, logs: DataFrame,
-                  before_min: int = C.RELATED_BEFORE_MINUTES, after_min: int = C.RELATED_AFTER_MINUTES,
-                  log_cols: tuple = ("event_id", "event_ts", "timestamp", "log_level", "component",
-                                     "message", "source_file")) -> DataFrame:
-    """(incident_id, anomaly_id, log columns...) for every log with event time in
-    [ts - before, ts + after] (unranked).  Null incident times match nothing."""
-    probes = incidents.select("incident_id", "anomaly_id", F.col("timestamp").alias("_its")) \
-                      .where(F.col("_its").isNotNull())
-    ev = logs.select(*log_cols)
-    return interval_join(probes, ev, "_its", "event_ts", before_min * 60, after_min * 60).drop("_its")
-
-
-def top_related(pairs: DataFrame, n: int) -> DataFrame:
-    """Oldest ``n`` related logs per incident with their ``rank``."""
-    return first_n_per_key(pairs, "incident_id", [F.col("event_ts"), F.col("event_id")], n)
-
-
-def related_logs(incidents: DataFrame, logs: DataFrame, limit: int = C.RELATED_LOG_LIMIT, **kw) -> DataFrame:
-    return top_related(related_pairs(incidents, logs, **kw), limit)
-
-
-def _key_counts(rows: DataFrame) -> DataFrame:
-    """(incident_id, kind, k, n): level and component counts in one pass."""
-    kv = F.explode(F.array(
-        F.struct(F.lit("level").alias("kind"), F.coalesce("log_level", F.lit("unknown")).alias("k")),
-        F.struct(F.lit("component").alias("kind"), F.coalesce("component", F.lit("unknown")).alias("k"))))
-    return (rows.select("incident_id", kv.alias("kv"))
-                .groupBy("incident_id", F.col("kv.kind").alias("kind"), F.col("kv.k").alias("k"))
-                .agg(F.count(F.lit(1)).alias("n")))
-
-
-def context(incidents: DataFrame, logs: DataFrame, pairs: DataFrame | None = None,
-            limit: int = C.RELATED_LOG_LIMIT, samples: int = C.CONTEXT_SAMPLES) -> DataFrame:
-    """Per incident: related_logs_count (≤ limit), level and component counts
-    (missing → 'unknown') over the oldest ``limit`` related logs, first
-    ``samples`` logs.
-
-    Counts over all related logs are one partial aggregation.  Only incidents
-    with more than ``limit`` related logs are recounted from their oldest
-    ``limit`` logs: their probes are filtered *before* the interval join, so
-    the ranking touches just those incidents.  Samples come from a top-N per
-    incident (each task keeps ≤ ``samples`` rows per incident)."""
-    pairs = pairs if pairs is not None else related_pairs(incidents, logs)
-    counts = _key_counts(pairs)
-    totals = (counts.where(F.col("kind") == "level").groupBy("incident_id")
-              .agg(F.sum("n").alias("_total")))
-    big = totals.where(F.col("_total") > limit).select("incident_id")
-    big_rows = top_related(related_pairs(incidents.join(big, "incident_id", "left_semi"), logs), limit)
-    counts = counts.join(big, "incident_id", "left_anti").unionByName(_key_counts(big_rows))
-    maps = counts.groupBy("incident_id").agg(
-        F.sum(F.when(F.col("kind") == "level", F.col("n"))).alias("related_logs_count"),
-        F.map_from_entries(F.collect_list(F.when(F.col("kind") == "level", F.struct("k", "n")))).alias("log_level_stats"),
-        F.map_from_entries(F.collect_list(F.when(F.col("kind") == "component", F.struct("k", "n")))).alias("component_stats"))
-    smp = (top_related(pairs, samples).groupBy("incident_id")
-           .agg(F.array_sort(F.collect_list(F.struct("rank", "timestamp", "log_level", "component", "message",
-                                                     "source_file"))).alias("_s")))
-    out = maps.join(smp, "incident_id")
-    return out.select("incident_id", F.struct(
-        F.col("related_logs_count").cast("bigint").alias("related_logs_count"), "log_level_stats", "component_stats",
-        F.transform("_s", lambda x: F.struct(x["timestamp"].alias("timestamp"), x["log_level"].alias("log_level"),
-                                             x["component"].alias("component"), x["message"].alias("message"),
-                                             x["source_file"].alias("source_file"))).alias("log_samples")
-    ).alias("context"))
+def related_logs(incidents: DataFrame, logs: DataFrame, limit: int = C.RELATED_LOG_LIMIT,
+                 before_min: int = C.RELATED_BEFORE_MINUTES, after_min: int = C.RELATED_AFTER_MINUTES,
+                 log_cols: tuple = ("event_id", "event_ts", "timestamp", "log_level", "component",
+                                    "message", "source_file")) -> DataFrame:
+    """(incident_id, anomaly_id, log columns..., rank, related_logs_total) of the
+    oldest ``limit`` logs in [ts - before, ts + after].  Null incident times match
+    nothing; the total counts all logs of the interval, past the limit too."""
+    probes = incidents.select("incident_id", "anomaly_id", F.col("timestamp").alias("_its"))
+    return first_in_interval(probes, logs.select(*log_cols), "_its", "event_ts", ["event_id"], before_min * 60, after_min * 60,
+                             limit, total_col="related_logs_total").drop("_its")
+
+
+def top_related(rel: DataFrame, n: int) -> DataFrame:
+    return rel.where(F.col("rank") <= n)
+
+
+def context(rel: DataFrame, samples: int = C.CONTEXT_SAMPLES) -> DataFrame:
+    """Per incident with related logs: their count (at most the limit of ``rel``),
+    the uncapped total, level and component counts (missing → 'unknown'), the
+    first ``samples`` logs.  One pass over ``rel``: a partial aggregate by
+    (incident, level, component), then one row per incident."""
+    log = F.struct("rank", "timestamp", "log_level", "component", "message", "source_file")
+    cells = rel.groupBy("incident_id", F.coalesce("log_level", F.lit("unknown")).alias("level"),
+                        F.coalesce("component", F.lit("unknown")).alias("comp")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("related_logs_total").alias("total"),
+        F.collect_list(F.when(F.col("rank") <= samples, log)).alias("s"))
+    per = cells.groupBy("incident_id").agg(
+        F.sum("n").alias("n"), F.max("total").alias("total"), F.collect_list(F.struct("level", "comp", "n")).alias("c"),
+        F.array_sort(F.flatten(F.collect_list("s"))).alias("s"))
+
+    def counts(field):
+        keys = F.array_distinct(F.transform("c", lambda e: e[field]))
+        return F.map_from_entries(F.transform(keys, lambda k: F.struct(k.alias("key"), F.aggregate(
+            F.filter("c", lambda e: e[field] == k), F.lit(0).cast("long"), lambda t, e: t + e["n"]).alias("value"))))
+
+    return per.select("incident_id", F.col("total").alias("related_logs_total"), F.struct(
+        F.col("n").cast("bigint").alias("related_logs_count"), counts("level").alias("log_level_stats"), counts("comp").alias("component_stats"),
+        F.transform("s", lambda x: F.struct(x["timestamp"].alias("timestamp"), x["log_level"].alias("log_level"),
+                                            x["component"].alias("component"), x["message"].alias("message"),
+                                            x["source_file"].alias("source_file"))).alias("log_samples")).alias("context"))
 
 
 def action(action_type: str | Column, desc: Column, ts: Column, status: str = "completed") -> Column:
@@ -167,10 +144,15 @@ def enrich(incidents: DataFrame, ctx: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- event-sourced state
 
 def workflow_requests(incidents: DataFrame) -> DataFrame:
-    """High/critical incidents → workflow-request outbox (JSON argument)."""
+    """High/critical incidents → workflow-request outbox.  The JSON argument is
+    the whole incident record as created; times as ``yyyy-MM-dd HH:mm:ss``."""
     hc = incidents.where(F.col("severity").isin("high", "critical"))
-    arg = F.to_json(F.struct(*[c for c in ["incident_id", "title", "description", "status", "severity",
-                                           "detector_type", "timestamp", "created_at"] if c in hc.columns]))
+    head = ["incident_id", "title", "description", "status", "severity", "detector_type"]
+    data = [c for c in hc.columns if c not in (*head, "timestamp", "created_at", "context", "actions")]
+    arg = F.to_json(F.struct(
+        *head, ts_text(F.col("timestamp")).alias("timestamp"), ts_text(F.col("created_at")).alias("created_at"),
+        ts_text(F.col("created_at")).alias("updated_at"), F.struct(*data).alias("anomaly_data"),
+        F.array().cast("array<string>").alias("actions")))
     return hc.select("incident_id", "severity", arg.alias("execution_argument"))
 
 
