@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .common import map_arrow, pick, table
+from .common import WORKER_CACHES, keep_only, map_arrow, pick, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: The code points with the Unicode property White_Space.
@@ -114,9 +114,13 @@ class PieceCoder:
 @lru_cache(maxsize=4)
 def coder(path: str, pattern: str) -> PieceCoder:
     """One coder per rank file and Python worker."""
+    keep_only("bpe")
     return PieceCoder(path, pattern)
 
 
+WORKER_CACHES["bpe"] = coder.cache_clear
+
+
 def slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
     """Ranges of rows of at most SLICE_CHARS code points together, or of one row."""
     start = size = 0

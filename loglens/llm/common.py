@@ -39,9 +39,29 @@ def id_back(c: Column | str) -> Column:
     return F.nullif(F.col(c) if isinstance(c, str) else c, F.lit(NO_ID))
 
 
+#: Rows of an Arrow batch, where the session keeps Spark's default of 10,000:
+#: whole texts are far larger than the rows that default is meant for.
+BATCH_ROWS = "500"
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+#: What operators keep in a worker between batches: name → function that drops it.
+WORKER_CACHES: dict = {}
+
+
+def keep_only(name: str) -> None:
+    """Called in a worker when an operator starts on a task: workers are reused,
+    so what other operators kept there goes first."""
+    for other, drop in WORKER_CACHES.items():
+        if other != name:
+            drop()
+
+
 def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
     """``mapInArrow`` with this package available to the workers."""
-    ship_package(df.sparkSession)
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get(BATCH_CONF) == "10000":
+        spark.conf.set(BATCH_CONF, BATCH_ROWS)
     return df.mapInArrow(fn, schema)
 
 

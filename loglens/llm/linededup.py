@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_or_last, map_arrow, pick, stored, table
+from .common import id_or_last, keep_only, map_arrow, pick, stored, table
 
 MIN_CHARS, MIN_DOCS = 40, 5
 #: Keys in a shard's filter, about; and the size up to which filters are sent.
@@ -68,6 +68,7 @@ def occurrences(df: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_id
     rows = pick(df, doc=id_col, text=text_col).withColumn("doc", id_or_last("doc"))
 
     def run(batches):
+        keep_only("linededup")
         for b in batches:
             keys, docs = [], []
             for doc, text in zip(b.column(0).to_pylist(), utf8_list(b.column(1))):

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import id_back, id_or_last, is_empty, map_arrow, pick, stored, table
+from .common import WORKER_CACHES, id_back, id_or_last, is_empty, keep_only, map_arrow, pick, stored, table
 from .components import connected
 
 K = 128
@@ -48,9 +48,9 @@ MARGIN = 0.2
 PIVOTS = 64
 #: Id lists up to this length are broadcast (16 MB); longer ones are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-CACHE_WORDS = 250_000
+CACHE_WORDS = 100_000
 #: Shingles whose minima are taken at once in a task.
-CHUNK = 1 << 18
+CHUNK = 1 << 17
 
 
 def band_rows(percent: int) -> int:
@@ -74,9 +74,13 @@ class WordHashes(dict):
 
 @lru_cache(maxsize=1)
 def word_hashes() -> WordHashes:
+    keep_only("minhash")
     return WordHashes()
 
 
+WORKER_CACHES["minhash"] = word_hashes.cache_clear
+
+
 def shingles(text: bytes | None, width: int, hashes: WordHashes) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word shingles."""
     words = (text or b"").lower().split()      # bytes: A-Z and ASCII white space only

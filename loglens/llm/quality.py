@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow, pick, table
+from .common import WORKER_CACHES, keep_only, map_arrow, pick, table
 
 #: The fit's bound: labelled rows of each class, lowest hash of id first.
 SAMPLE_PER_CLASS = 1500
@@ -45,7 +45,7 @@ BLOCK = 512               # documents multiplied with the labelled vectors at on
 THRESHOLD = 0.3
 RUN_WEIGHT = 20.0         # of the term for words that follow themselves
 RUN_PRIOR = 12            # words added to a text, so that a short one is not odd for one run
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 #: byte → kind: a lower case, A upper case, 0 digit; other ASCII is itself,
 #: bytes of other characters are lower case.
@@ -99,9 +99,13 @@ class Terms:
 
 @lru_cache(maxsize=1)
 def terms() -> Terms:
+    keep_only("quality")
     return Terms()
 
 
+WORKER_CACHES["quality"] = terms.cache_clear
+
+
 class Model:
     """Latent space and labelled vectors."""
 
