@@ -806,6 +806,7 @@ def response_decision(spark, sf_dir):
 
 # ---------------------------------------------------------------- detectors
 from .operators import clustering as _CL  # noqa: E402,F811
+from .operators import cooldown as CD  # noqa: E402
 from .operators import forest as FO  # noqa: E402
 
 
@@ -875,23 +876,52 @@ def text_embedding(spark, sf_dir):
     return f.select("doc_id", "n_terms", "cluster", r6(F.col("distance")).alias("distance"), "is_anomaly")
 
 
-@query("detector_records")
-def detector_records(spark, sf_dir):
-    """The three detectors' records (forest per window, sequence per series,
-    message summary) in one anomaly table (union by name)."""
-    forest = forest_scores(spark, sf_dir).withColumn("anomaly_id", F.lit(None).cast("bigint"))
-    seq = sequence_forecast(spark, sf_dir).select(
-        F.lit(None).cast("timestamp_ntz").alias("timestamp"), "detector_type", "is_anomaly", "max_error", "mean_error",
-        "threshold", "anomaly_count", "total_sequences", F.lit(30).cast("bigint").alias("time_window_minutes"))
+def _detector_records(spark, sf_dir):
+    """The three detectors' records in one anomaly table: each with a stable id
+    (hash of detector and scored unit), the end of the scored time as timestamp
+    and its true length."""
+    rid = lambda det, unit: F.xxhash64(F.lit(det), unit)
+    logs = TB.logs(spark, sf_dir)
+    span = logs.agg(F.max("event_ts").alias("as_of"), F.min("event_ts").alias("since")).where("as_of IS NOT NULL").select(
+        "as_of", F.timestamp_diff("MINUTE", F.col("since"), F.col("as_of")).alias("minutes"), F.lit(0).alias("_g"))
+    at_end = lambda df: df.withColumn("_g", F.lit(0)).join(F.broadcast(span), "_g").drop("_g")  # noqa: E731  (one row)
+    forest = forest_scores(spark, sf_dir)
+    forest = (forest.withColumn("anomaly_id", rid("isolation_forest", F.col("timestamp").cast("string")))
+              .withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 HOUR")))
+    per_series = logs.groupBy(F.col("source_file").alias("series_key")).agg(F.count(F.lit(1)).alias("log_count"))
+    seq = at_end(sequence_forecast(spark, sf_dir).join(per_series, "series_key")).select(
+        rid("lstm", F.concat_ws("_", "series_key", F.col("as_of").cast("string"))).alias("anomaly_id"), F.col("as_of").alias("timestamp"),
+        "detector_type", "is_anomaly", "max_error", "mean_error", "threshold", "anomaly_count", "total_sequences", "log_count",
+        F.col("minutes").alias("time_window_minutes"))
     flagged = _flagged_embeddings(spark, sf_dir)
-    stats = CL.cluster_stats(flagged).agg(CL.cluster_stats_map(None).alias("cluster_stats"))
-    msg = CL.message_summary(flagged).select(
-        F.lit(None).cast("timestamp_ntz").alias("timestamp"), F.lit("bert").alias("detector_type"), "is_anomaly",
-        "max_distance", "mean_distance", "anomaly_count", "total_logs", F.lit(10).cast("bigint").alias("time_window_minutes"))
+    stats = CL.cluster_stats(flagged).agg(CL.cluster_stats_map().alias("cluster_stats"))
+    msg = at_end(CL.message_summary(flagged)).select(
+        rid("bert", F.col("as_of").cast("string")).alias("anomaly_id"), F.col("as_of").alias("timestamp"), F.lit("bert").alias("detector_type"),
+        "is_anomaly", "max_distance", "mean_distance", "anomaly_count", "total_logs", F.col("minutes").alias("time_window_minutes"))
     one = F.lit(0).alias("_g")   # both sides are single-row aggregates
     msg = msg.select("*", one).join(F.broadcast(stats.select("*", one)), "_g").drop("_g")
-    u = union_detector_outputs(forest, seq, msg)
-    return u.withColumn("n_clusters", F.size("cluster_stats")).drop("cluster_stats")
+    return union_detector_outputs(forest, seq, msg)
+
+
+@query("detector_records")
+def detector_records(spark, sf_dir):
+    return _detector_records(spark, sf_dir).withColumn("n_clusters", F.size("cluster_stats")).drop("cluster_stats")
+
+
+@query("detector_alerts")
+def detector_alerts(spark, sf_dir):
+    """The detectors' own records through severity and cooldown."""
+    rec = _detector_records(spark, sf_dir).where("is_anomaly").withColumn("severity", severity())
+    rec = rec.select("anomaly_id", "timestamp", "detector_type", "severity").persist()   # models aren't fitted twice
+    return CD.cooldown(rec).select("anomaly_id", "timestamp", "detector_type", "severity", "sent")
+
+
+@query("collected_range_scan", O.with_ctes(O.LOGS) + f"""
+SELECT event_id, log_level, component, collected_at FROM logs
+WHERE collected_at BETWEEN TIMESTAMP '{RANGE_AS_OF}' - INTERVAL {RANGE_MINUTES} MINUTE AND TIMESTAMP '{RANGE_AS_OF}'""")
+def collected_range_scan(spark, sf_dir):
+    """Inclusive range on the collection time, as the detectors' scans have it."""
+    return TB.collected_in_range(spark, sf_dir, RANGE_AS_OF, RANGE_MINUTES).select("event_id", "log_level", "component", "collected_at")
 
 
 @query("anomaly_samples")

@@ -92,7 +92,7 @@ def cluster_stats(flagged: DataFrame, cluster: str = "cluster") -> DataFrame:
             .withColumn("anomaly_ratio", F.col("anomaly_count") / F.col("count")))
 
 
-def cluster_stats_map(_unused=None, cluster: str = "cluster") -> Column:
+def cluster_stats_map(cluster: str = "cluster") -> Column:
     """Aggregate expression: map<string, struct<count, anomaly_count, anomaly_ratio>>."""
     return F.map_from_entries(F.collect_list(F.struct(
         F.col(cluster).cast("string"),

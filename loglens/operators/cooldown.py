@@ -5,7 +5,8 @@ send and do not touch the timer.  Events are taken in time order.
 
 This greedy fold is order-dependent, so it is not a window function.  To keep
 a hot key from landing in one task, it runs in three distributed phases over
-time chunks of each key:
+time chunks of each key, over at most two rows a second (the first alert of
+each class; a partial aggregate makes them before anything is gathered):
 
 1. per (key, chunk), in pandas: for every non-low event ``i`` the pointer
    ``nxt(i)`` = the first later event that would be sent if ``i`` was the last
@@ -16,8 +17,8 @@ time chunks of each key:
    (time, class, exit time) for those head events only.
 2. per key, fold the small chunk summaries in time order, carrying the last
    sent time: each chunk's first sent event is the first eligible head event.
-   Its size is (#chunks × head events), bounded by the time span, not by
-   the number of alerts.
+   Its size is (#chunks × head events), at most two a second of the first
+   ``max_gap`` of each chunk: bounded by the time span.
 3. per (key, chunk), mark the chain from that first event as sent.
 
 Exact for any chunk width; the width only has to exceed ``max_gap``.
@@ -84,7 +85,12 @@ def cooldown(events: DataFrame, key: str = "detector_type", ts: str = "timestamp
         epoch_seconds(F.col(ts)).cast("double").alias("t"), (F.col(sev) == "critical").alias("crit"),
         (F.col(sev) != "low").alias("active"))
     base = base.withColumn("chunk", F.floor(F.col("t") / chunk_seconds).cast("bigint"))
-    act = base.where("active").select("_id", "key", "chunk", "t", "crit")
+    # Of the alerts of one second and class only the first can be sent: whether
+    # one may be sent depends on time and class alone, and a sent one blocks its
+    # second.  So every later step has two rows a second at most, however many
+    # alerts there are.
+    act = (base.where("active").groupBy("key", "chunk", "t", "crit").agg(F.min("_id").alias("_id"))
+               .select("_id", "key", "chunk", "t", "crit"))
 
     def summarize(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["t", "_id"], kind="mergesort").reset_index(drop=True)

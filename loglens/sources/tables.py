@@ -34,6 +34,19 @@ def logs_in_range(spark: SparkSession, sf_dir: str, as_of, minutes: int, after_m
     return time_range(valid_logs(ev), "event_ts", as_of, minutes, after_minutes)
 
 
+#: Collection follows an event by less than this many seconds (see fixtures).
+COLLECT_LAG_SECONDS = 5
+
+
+def collected_in_range(spark: SparkSession, sf_dir: str, as_of, minutes: int) -> DataFrame:
+    """Logs collected in ``[as_of - minutes, as_of]``; the bounds that follow for
+    the stored event time reach the Parquet scan."""
+    ev = read_table(spark, sf_dir, "events")
+    hi = _ts(as_of) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(1))
+    lo = _ts(as_of) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes), F.lit(COLLECT_LAG_SECONDS))
+    return time_range(valid_logs(ev.where((F.col("ts") >= lo) & (F.col("ts") < hi))), "collected_at", as_of, minutes)
+
+
 def anomalies_in_range(spark: SparkSession, sf_dir: str, as_of, minutes: int) -> DataFrame:
     ev = _event_bounds(read_table(spark, sf_dir, "events"), as_of, minutes)
     return time_range(anomaly_records(ev), "timestamp", as_of, minutes)
