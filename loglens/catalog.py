@@ -6,6 +6,8 @@ full; time-range parameters are the operators' own predicates.
 """
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +28,28 @@ RECENT_AS_OF = "2024-01-20 00:00:00"
 RECENT_MINUTES = 1440
 
 
+_KEPT: list[DataFrame] = []   # frames that the last query persisted
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """Persist a frame that one query uses several times (memory, then disk;
+    recomputed from lineage if an executor is lost)."""
+    _KEPT.append(df.persist())
+    return df
+
+
 def query(name, sql=None):
     def deco(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark, sf_dir):
+            # a result that is still in use afterwards only loses its cache
+            while _KEPT:
+                old = _KEPT.pop()
+                if old.sparkSession.sparkContext._jsc is not None:   # its session still runs
+                    old.unpersist()
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return fn
@@ -58,7 +79,7 @@ def error_hour_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = (logs.groupBy(F.date_trunc("hour", "event_ts").cast("timestamp_ntz").alias("hour"))
                   .agg(F.count(F.lit(1)).alias("n_logs"),
                        F.sum(F.when(F.col("log_level") == "ERROR", 1).otherwise(0)).cast("bigint").alias("n_error"))
-                  .persist())   # one row per hour; reused by the fit and the report
+                  .transform(_kept))   # one row per hour; reused by the fit and the report
     m, s = zscore_fit(hourly, "n_error")
     z = zscore(F.col("n_error"), m, s)
     return (hourly.select("hour", "n_logs", "n_error", z.alias("z"))
@@ -260,7 +281,7 @@ from .operators import sequences as SQ  # noqa: E402
 
 
 def _minute_vectors(spark, sf_dir):
-    cells = _minute_cells(spark, sf_dir).persist()   # reused by vocabulary, scaler fit and vectors
+    cells = _minute_cells(spark, sf_dir).transform(_kept)   # reused by vocabulary, scaler fit and vectors
     vocab = FT.fit_vocabulary(cells)
     return SQ.scaled_minute_vectors(cells, vocab)
 
@@ -381,7 +402,7 @@ def _scored_embeddings(spark, sf_dir):
 
 
 def _flagged_embeddings(spark, sf_dir):
-    scored = _scored_embeddings(spark, sf_dir).persist()
+    scored = _scored_embeddings(spark, sf_dir).transform(_kept)
     return CL.flag_anomalies(scored, CL.distance_profile(scored))
 
 
@@ -426,7 +447,7 @@ def kmeans_messages(spark, sf_dir):
     """Spark ML k-means (k=10, seed 42) on standardised vectors; distance to own centre > cluster p95."""
     emb = TB.read_table(spark, sf_dir, "embeddings")
     means, stds = CL.fit_standardizer(emb, "embedding")
-    z = emb.select("vec_id", CL.standardize(F.col("embedding"), means, stds).alias("z")).persist()
+    z = emb.select("vec_id", CL.standardize(F.col("embedding"), means, stds).alias("z")).transform(_kept)
     model = CL.kmeans_fit(z, "z")
     cluster, dist = CL.assign_nearest(F.col("z"), CL.kmeans_centroids(model))
     scored = z.select("vec_id", cluster.alias("cluster"), dist.alias("distance"))
@@ -572,21 +593,21 @@ class _Flow:
     def __init__(self, spark, sf_dir):
         # Shared intermediates of the incident DAG are persisted once (memory, spill
         # to disk; recomputed from lineage if an executor is lost).
-        self.logs = TB.logs(spark, sf_dir).persist()
+        self.logs = TB.logs(spark, sf_dir).transform(_kept)
         self.deduped = IN.dedup_anomalies(TB.anomalies(spark, sf_dir))
-        self.incidents = IN.build_incidents(self.deduped).persist()
-        # at most C_RELATED_LIMIT rows an incident; not cached: looking them up
-        # again is cheaper than storing them
-        self.rel = IN.related_logs(self.incidents, self.logs, C_RELATED_LIMIT)
+        self.incidents = IN.build_incidents(self.deduped).transform(_kept)
+        # at most C_RELATED_LIMIT rows an incident; looked up once for the context,
+        # the playbook and the decisions
+        self.rel = IN.related_logs(self.incidents, self.logs, C_RELATED_LIMIT).transform(_kept)
         self.ctx = IN.context(self.rel)
-        self.enriched = IN.enrich(self.incidents, self.ctx).persist()
+        self.enriched = IN.enrich(self.incidents, self.ctx).transform(_kept)
         self.requests = IN.workflow_requests(self.incidents)
         self.serious = self.incidents.where(F.col("severity").isin("high", "critical"))   # without context
         hc = self.enriched.where(F.col("severity").isin("high", "critical"))
         self.hc = hc
         # the playbook's own search: first 100 related logs of the high/critical incidents only
-        self.analysis = PB.analyse(hc, IN.related_logs(self.incidents.join(
-            hc.select("incident_id"), "incident_id", "left_semi"), self.logs, C_PLAYBOOK_LIMIT))
+        self.analysis = PB.analyse(hc, IN.top_related(self.rel, C_PLAYBOOK_LIMIT).join(
+            hc.select("incident_id"), "incident_id", "left_semi"))
         self.decisions = PB.decide(hc, self.analysis)
 
     def events(self):
@@ -813,12 +834,12 @@ from .operators import forest as FO  # noqa: E402
 def _window_vectors(spark, sf_dir):
     """Standardised dense window-feature vectors (hour windows) and log counts."""
     logs = TB.logs(spark, sf_dir)
-    cells = FT.window_features(logs, FEATURE_WIDTH).withColumnRenamed("bucket", "window_start").persist()
+    cells = FT.window_features(logs, FEATURE_WIDTH).withColumnRenamed("bucket", "window_start").transform(_kept)
     vocab = FT.fit_vocabulary(cells)
     vecs = FT.dense_vectors(cells, vocab, ["window_start"])
     counts = logs.groupBy(FT.time_windows(F.col("event_ts"), FEATURE_WIDTH).alias("window_start")) \
                  .agg(F.count(F.lit(1)).alias("log_count"))
-    vecs = vecs.join(counts, "window_start").persist()
+    vecs = vecs.join(counts, "window_start").transform(_kept)
     means, stds = _CL.fit_standardizer(vecs, "vec")
     return vecs.select("window_start", "log_count", _CL.standardize(F.col("vec"), means, stds).alias("x"))
 
@@ -827,9 +848,9 @@ def _window_vectors(spark, sf_dir):
 def forest_scores(spark, sf_dir):
     """Isolation-forest records per hour window: score in [-1, 0], anomaly when
     below the 5 % training quantile (trained on the same windows)."""
-    x = _window_vectors(spark, sf_dir).withColumn("key", F.col("window_start").cast("string")).persist()
+    x = _window_vectors(spark, sf_dir).withColumn("key", F.col("window_start").cast("string")).transform(_kept)
     model = FO.fit_forest(x, "key", "x")
-    scored = FO.score_forest(x.select("window_start", "log_count", "x"), "x", model).persist()
+    scored = FO.score_forest(x.select("window_start", "log_count", "x"), "x", model).transform(_kept)
     offset = FO.fit_offset(scored)
     return scored.select(
         F.col("window_start").alias("timestamp"), F.lit("isolation_forest").alias("detector_type"),
@@ -845,9 +866,9 @@ def sequence_forecast(spark, sf_dir):
     """Ridge VAR fitted on the training 80 % of each series' sequences; per
     series: p95 error threshold, anomaly count (error > threshold), validation MSE."""
     seqs = SQ.sequences(_minute_vectors(spark, sf_dir))
-    seqs = seqs.withColumn("split", SQ.chrono_split(seqs)).persist()
+    seqs = seqs.withColumn("split", SQ.chrono_split(seqs)).transform(_kept)
     w = FC.fit_ridge(seqs.where(F.col("split") == "train"))
-    errs = FC.forecast_errors(seqs.drop("x_total"), w).persist()
+    errs = FC.forecast_errors(seqs.drop("x_total"), w).transform(_kept)
     summ = SQ.error_summary(errs)
     val = errs.where(F.col("split") == "validation").groupBy("series_key").agg(F.avg("sq_error").alias("val_mse"))
     return (summ.join(val, "series_key", "left")
@@ -868,7 +889,7 @@ def text_embedding(spark, sf_dir):
     docs = TB.read_table(spark, sf_dir, "documents").select("doc_id", "text")
     uniq = keep_first(docs, ["text"], ["doc_id"], count_col=None)
     _, vec = EM.tfidf_vectors(uniq, "text")
-    vec = vec.select("doc_id", "vec").persist()
+    vec = vec.select("doc_id", "vec").transform(_kept)
     model = CL.kmeans_fit(vec, "vec", k=10)
     scored = CL.kmeans_assign(model, vec, "vec").select(
         "doc_id", EM.nnz(F.col("vec")).alias("n_terms"), "cluster", "distance")
@@ -912,7 +933,7 @@ def detector_records(spark, sf_dir):
 def detector_alerts(spark, sf_dir):
     """The detectors' own records through severity and cooldown."""
     rec = _detector_records(spark, sf_dir).where("is_anomaly").withColumn("severity", severity())
-    rec = rec.select("anomaly_id", "timestamp", "detector_type", "severity").persist()   # models aren't fitted twice
+    rec = rec.select("anomaly_id", "timestamp", "detector_type", "severity").transform(_kept)   # models aren't fitted twice
     return CD.cooldown(rec).select("anomaly_id", "timestamp", "detector_type", "severity", "sent")
 
 
