@@ -6,6 +6,7 @@ full; time-range parameters are the operators' own predicates.
 """
 from __future__ import annotations
 
+import uuid
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -956,3 +957,40 @@ def anomaly_samples(spark, sf_dir):
     return (bad.orderBy(F.xxhash64("series_key", "minute", F.lit(42)), "series_key", "minute").limit(3)
                .select("series_key", "minute", r6(F.col("error")).alias("error"),
                        F.substring(F.concat(F.lit("error "), F.col("error").cast("string")), 1, 100).alias("note")))
+
+
+from .plans import lifecycle as LC  # noqa: E402
+from .schemas import ACTION  # noqa: E402
+from .session import scratch_path  # noqa: E402
+
+CYCLE_AS_OF = ("2024-01-20 00:00:00", "2024-02-01 00:00:00")   # end of training, end of detection
+CYCLE_MINUTES = (30 * 1440, 13 * 1440)
+ACTIONS_TYPE = f"array<{ACTION.simpleString()}>"
+
+
+@query("detector_cycle")
+def detector_cycle(spark, sf_dir):
+    """Detectors trained on the logs up to one time, stored, loaded again and
+    applied to the logs collected after it."""
+    logs = TB.logs(spark, sf_dir)
+    root = scratch_path(spark, f"models-{uuid.uuid4().hex}")
+    LC.train_all(logs, root, CYCLE_AS_OF[0], CYCLE_MINUTES[0])
+    found = LC.detect_all(logs, root, CYCLE_AS_OF[1], dict.fromkeys((LC.FOREST, LC.SEQUENCE, LC.MESSAGE), CYCLE_MINUTES[1]))
+    return found.withColumn("n_clusters", F.size("cluster_stats")).drop("cluster_stats")
+
+
+@query("workflow_outcomes", INCIDENT_CTES + """
+SELECT incident_id, CASE WHEN severity = 'high' THEN 'new' ELSE 'in_progress' END AS status,
+  CASE WHEN severity = 'high' THEN 'workflow_execution_failed' ELSE 'status_change' END AS last_action,
+  CASE WHEN severity = 'high' THEN '워크플로우 실행 실패: HTTP 503' END AS failure FROM hc""")
+def workflow_outcomes(spark, sf_dir):
+    """State after workflow results of which those of high incidents failed."""
+    inc = IN.build_incidents(IN.dedup_anomalies(TB.anomalies(spark, sf_dir)))
+    inc = inc.where(F.col("severity").isin("high", "critical")).withColumn("actions", F.array().cast(ACTIONS_TYPE))
+    failed = F.col("severity") == "high"
+    results = inc.select("incident_id", F.col("created_at").alias("event_time"), (~failed).alias("accepted"),
+                         F.when(~failed, F.col("incident_id")).alias("execution_id"), F.when(failed, F.lit("HTTP 503")).alias("error"))
+    s = IN.incident_state(IN.incident_events(inc, results))
+    last = F.try_element_at(F.col("actions"), F.lit(-1))
+    return s.select("incident_id", "status", last["action_type"].alias("last_action"),
+                    F.when(last["action_type"] == "workflow_execution_failed", last["description"]).alias("failure"))

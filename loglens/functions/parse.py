@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from .constants import PARSE_ERROR_TEXT, TS_FORMAT
 
+#: Digits of TS_FORMAT; the cast checks the values.
+TS_SHAPE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
+
 # Characters removed by Python's str.strip() (str.isspace() set).
 _WS = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
        "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
@@ -60,13 +63,29 @@ def parse_lines(df: DataFrame, line_col: str = "value", keep: list[str] | None =
 
 
 def event_time(ts_text: Column) -> Column:
-    """Typed event time: null unless the text is exactly ``yyyy-MM-dd HH:mm:ss``."""
-    return F.try_to_timestamp(ts_text, F.lit(TS_FORMAT)).cast("timestamp_ntz")
+    """Typed event time: null unless the text is exactly ``yyyy-MM-dd HH:mm:ss``.
+    Cast straight to TIMESTAMP_NTZ, so hours the session zone skips stay as written."""
+    return F.when(ts_text.rlike(TS_SHAPE), ts_text.try_cast("timestamp_ntz"))
+
+
+def zoned(ts: Column) -> Column:
+    """The instant that reads as ``ts`` in UTC, for watermarks (they need a zoned
+    TIMESTAMP); keeps order and gaps in every session zone."""
+    part = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long") % 1_000_000
+    return F.timestamp_micros(epoch_seconds(ts) * 1_000_000 + part)
+
+
+def from_zoned(at: Column) -> Column:
+    """Inverse of :func:`zoned`."""
+    seconds = (F.unix_micros(at).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
 def epoch_seconds(ts: Column) -> Column:
-    """Seconds since 1970-01-01 of a TIMESTAMP_NTZ, independent of the session zone."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    """Seconds since 1970-01-01 of a TIMESTAMP_NTZ (fractions cut), independent of
+    the session zone: ``timestamp_diff`` would read the fields in that zone."""
+    day = F.date_diff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long")
+    return day * 86_400 + F.hour(ts) * 3_600 + F.minute(ts) * 60 + F.second(ts)
 
 
 def basename(path: Column) -> Column:

@@ -3,7 +3,8 @@
 A model directory ``<root>/<detector>/v=<version>/`` holds small tables
 (``meta``, ``vocab``, ``scaler``, ``trees``, ``coefficients``, ``centroids``,
 ``cluster_profile``).  Writing a new version never touches the running one;
-readers take the highest version (no train/serve race).
+readers take the highest version whose ``meta`` table, written last, is there
+(no train/serve race).
 """
 from __future__ import annotations
 
@@ -11,16 +12,17 @@ import json
 import os
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _vdir(root: str, detector: str, version: int) -> str:
+def version_dir(root: str, detector: str, version: int) -> str:
     return os.path.join(root, detector, f"v={version}")
 
 
 def save_tables(spark: SparkSession, root: str, detector: str, version: int,
                 tables: dict[str, DataFrame], meta: dict) -> str:
-    d = _vdir(root, detector, version)
+    d = version_dir(root, detector, version)
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(os.path.join(d, name))
     spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").parquet(os.path.join(d, "meta"))
@@ -30,11 +32,12 @@ def save_tables(spark: SparkSession, root: str, detector: str, version: int,
 def latest_version(spark: SparkSession, root: str, detector: str) -> int | None:
     path = os.path.join(root, detector)
     try:
-        vers = spark.read.option("basePath", path).parquet(os.path.join(path, "v=*", "meta")).select("v").distinct()
-        r = vers.agg({"v": "max"}).first()
-        return int(r[0]) if r and r[0] is not None else None
-    except Exception:  # noqa: BLE001  (no model yet)
-        return None
+        metas = spark.read.option("basePath", path).parquet(os.path.join(path, "v=*", "meta"))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None   # no model yet
+    return metas.agg({"v": "max"}).first()[0]
 
 
 def load_tables(spark: SparkSession, root: str, detector: str, names: list[str],
@@ -42,7 +45,7 @@ def load_tables(spark: SparkSession, root: str, detector: str, names: list[str],
     v = version if version is not None else latest_version(spark, root, detector)
     if v is None:
         raise FileNotFoundError(f"no model for {detector} under {root}")
-    d = _vdir(root, detector, v)
+    d = version_dir(root, detector, v)
     meta = json.loads(spark.read.parquet(os.path.join(d, "meta")).first()["meta"])
     return meta, {n: spark.read.parquet(os.path.join(d, n)) for n in names}
 

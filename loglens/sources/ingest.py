@@ -9,9 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.constants import TS_FORMAT
 from ..functions.parse import basename, event_time, parse_lines
 from ..schemas import LOGS
 
+#: Times in JSON records are written and read in this form.
+JSON_TIME = {"timestampNTZFormat": TS_FORMAT}
+
 
 def read_log_files(spark: SparkSession, directory: str, stream: bool = False,
                    max_files_per_trigger: int | None = None) -> DataFrame:
@@ -61,15 +65,15 @@ def kafka_log_source(spark: SparkSession, servers: str, topic: str, starting: st
 
 def decode_log_json(df: DataFrame, value_col: str = "value") -> DataFrame:
     """JSON value bytes → LOGS columns + ``event_ts``/``dt``."""
-    rec = F.from_json(F.col(value_col).cast("string"), LOGS.simpleString() if False else LOGS)
+    rec = F.from_json(F.col(value_col).cast("string"), LOGS, JSON_TIME)
     return (df.select(rec.alias("r")).select("r.*")
               .withColumn("event_ts", event_time(F.col("timestamp")))
               .withColumn("dt", F.to_date("collected_at")))
 
 
 def encode_log_json(df: DataFrame) -> DataFrame:
-    """LOGS rows → Kafka ``value`` (compact JSON, nulls omitted)."""
-    return df.select(F.to_json(F.struct(*[c for c in LOGS.fieldNames() if c in df.columns])).alias("value"))
+    """LOGS rows → Kafka ``value`` (compact JSON, nulls omitted, times as ``yyyy-MM-dd HH:mm:ss``)."""
+    return df.select(F.to_json(F.struct(*[c for c in LOGS.fieldNames() if c in df.columns]), JSON_TIME).alias("value"))
 
 
 def kafka_log_sink(df: DataFrame, servers: str, topic: str, checkpoint: str):
@@ -80,13 +84,22 @@ def kafka_log_sink(df: DataFrame, servers: str, topic: str, checkpoint: str):
             .option("checkpointLocation", checkpoint).start())
 
 
-def write_log_tables(batch: DataFrame, logs_path: str, quarantine_path: str) -> None:
-    """Append one batch: good rows to the log table, the rest to quarantine; both by day."""
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Write one micro-batch into its own ``dt``/``batch`` partitions of ``path``.  A
+    replayed batch replaces what its first run wrote, so no row is doubled.  A path
+    belongs to one stream, since batch ids count per checkpoint."""
+    (df.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch").parquet(path))
+
+
+def write_log_tables(batch: DataFrame, logs_path: str, quarantine_path: str, batch_id: int) -> None:
+    """One batch: good rows to the log table, the rest to quarantine; both by day and
+    batch.  The stream's clock is fixed per batch, so a replay gives the same days."""
     batch = batch.persist()
     try:
         good, bad = split_quarantine(batch)
-        good.write.mode("append").partitionBy("dt").parquet(logs_path)
-        bad.write.mode("append").partitionBy("dt").parquet(quarantine_path)
+        write_batch(good, logs_path, batch_id)
+        write_batch(bad, quarantine_path, batch_id)
     finally:
         batch.unpersist()
 

@@ -3,8 +3,11 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from loglens.sources.ingest import parse_log_frame, read_log_files
-from loglens.streaming.streams import cooldown_stream, dedup_stream, ingest_query
+from loglens.functions.parse import from_zoned, zoned
+from loglens.operators.cooldown import cooldown
+from loglens.plans import lifecycle as LC
+from loglens.sources.ingest import decode_log_json, encode_log_json, parse_log_frame, read_log_files, write_log_tables
+from loglens.streaming.streams import cooldown_stream, dedup_stream, detection_query, ingest_query
 
 LINES_A = ["2024-01-01 00:00:07 ERROR auth Login failed for bob", "", "short line",
            "2024-01-01 00:01:00 INFO web ok"]
@@ -30,22 +33,85 @@ def test_stream_equals_batch(spark):
     assert sorted(r.reason for r in bad.collect()) == ["bad_timestamp", "parse_error"]
 
 
-def test_stateful_streams_on_file_source(spark):
+SCHEMA = "anomaly_id long, ts string, detector_type string, is_anomaly boolean, severity string, mean_error double"
+
+
+def anomalies(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    return df.select("*", F.col("ts").cast("timestamp_ntz").alias("timestamp"), F.lit(None).cast("double").alias("anomaly_score")).drop("ts")
+
+
+def in_memory(stream, name, checkpoint):
+    stream.writeStream.format("memory").queryName(name).outputMode("append") \
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination(120)
+
+
+def test_dedup_stream(spark):
     d = tempfile.mkdtemp(prefix="loglens-state-")
-    src = os.path.join(d, "src")
-    os.makedirs(src)
     rows = [(1, "2024-01-01 00:00:00", "lstm", True, "medium", 0.5), (2, "2024-01-01 00:00:30", "lstm", True, "critical", 0.6),
             (3, "2024-01-01 00:01:00", "lstm", True, "critical", 0.7), (4, "2024-01-01 00:01:00", "lstm", True, "critical", 0.7)]
-    df = spark.createDataFrame(rows, "anomaly_id long, ts string, detector_type string, is_anomaly boolean, severity string, mean_error double")
-    df = df.select("*", F.col("ts").cast("timestamp_ntz").alias("timestamp"), F.lit(None).cast("double").alias("anomaly_score")).drop("ts")
-    df.write.parquet(os.path.join(src, "part"))
-    stream = spark.readStream.schema(df.schema).parquet(os.path.join(src, "part"))
-    q1 = cooldown_stream(stream).writeStream.format("memory").queryName("cool").outputMode("append") \
-        .option("checkpointLocation", os.path.join(d, "c1")).trigger(availableNow=True).start()
-    q1.awaitTermination(120)
-    sent = {r.anomaly_id: r.sent for r in spark.sql("select * from cool").collect()}
-    assert sent == {1: True, 2: False, 3: True, 4: False}
-    q2 = dedup_stream(stream).writeStream.format("memory").queryName("dd").outputMode("append") \
-        .option("checkpointLocation", os.path.join(d, "c2")).trigger(availableNow=True).start()
-    q2.awaitTermination(120)
-    assert spark.sql("select * from dd").count() == 3   # rows 3 and 4 share ts, detector and error
+    df = anomalies(spark, rows)
+    df.write.parquet(os.path.join(d, "src"))
+    in_memory(dedup_stream(spark.readStream.schema(df.schema).parquet(os.path.join(d, "src"))), "dd", os.path.join(d, "c"))
+    assert spark.sql("select * from dd").count() == 3   # rows 3 and 4 share time, detector and error
+
+
+def test_cooldown_stream_equals_batch_for_late_rows(spark):
+    d = tempfile.mkdtemp(prefix="loglens-cool-")
+    batches = [[(1, "2024-01-01 00:10:00", "lstm", True, "medium", 0.5), (2, "2024-01-01 00:10:30", "lstm", True, "critical", 0.6)],
+               [(3, "2024-01-01 00:07:00", "lstm", True, "high", 0.7), (4, "2024-01-01 00:11:20", "lstm", True, "low", 0.1),
+                (5, "2024-01-01 00:08:30", "bert", True, "high", 0.7)],
+               [(6, "2024-01-01 00:12:10", "lstm", True, "critical", 0.7), (7, "2024-01-01 00:12:10", "bert", True, "medium", 0.4)],
+               [(8, "2024-01-01 01:00:00", "other", True, "low", 0.1)]]
+    src = os.path.join(d, "src")
+    for rows in batches:
+        df = anomalies(spark, rows)
+        df.coalesce(1).write.mode("append").parquet(src)
+        cooldown_stream(spark.readStream.schema(df.schema).parquet(src)).writeStream.format("parquet").outputMode("append") \
+            .option("checkpointLocation", os.path.join(d, "c")).trigger(availableNow=True).start(os.path.join(d, "out")).awaitTermination(120)
+    got = {r.anomaly_id: r.sent for r in spark.read.parquet(os.path.join(d, "out")).collect()}
+    everything = anomalies(spark, [r for b in batches for r in b])
+    want = {r.anomaly_id: r.sent for r in cooldown(everything.select("anomaly_id", "timestamp", "detector_type", "severity")).collect()}
+    del want[8]                                   # its time is not passed yet
+    assert got == want and want[3] and not want[1]
+
+
+def test_replayed_batch_replaces_its_rows(spark):
+    d = tempfile.mkdtemp(prefix="loglens-replay-")
+    lines = spark.createDataFrame([(x, "a.log") for x in LINES_A + LINES_B], "value string, source_file string")
+    batch = parse_log_frame(lines, F.lit("2024-01-01 00:05:00"))
+    for batch_id in (0, 1, 1):
+        write_log_tables(batch, os.path.join(d, "logs"), os.path.join(d, "bad"), batch_id)
+    logs, bad = (spark.read.parquet(os.path.join(d, x)) for x in ("logs", "bad"))
+    assert {r.batch: r["count"] for r in logs.groupBy("batch").count().collect()} == {0: 3, 1: 3}
+    assert bad.count() == 4
+
+
+def test_detection_stream(spark, trained, tmp_path):
+    logs, root = trained
+    path, out = (str(tmp_path / x) for x in ("logs", "records"))
+    logs.where("collected_at > '2024-01-20 00:00:00'").write.parquet(path)
+    detection_query(spark, path, root, out, str(tmp_path / "c"), {"availableNow": True}).awaitTermination(120)
+    as_of = LC.collected(logs, "2024-02-10 00:00:00", 30 * 1440).agg(F.max("collected_at")).first()[0]
+    cols = ["anomaly_id", "detector_type", "is_anomaly", "log_count", "total_logs"]
+    want = LC.detect_all(logs, root, as_of).select(cols).collect()
+    assert sorted(map(repr, spark.read.parquet(out).select(cols).collect())) == sorted(map(repr, want)) and want
+
+
+def test_json_times_and_zones(spark):
+    lines = spark.createDataFrame([("2024-03-10 02:30:00 INFO web ok", "a.log"), ("2024-02-30 00:00:00 INFO web ok", "a.log"),
+                                   ("2024-3-1 00:00:00 INFO web ok", "a.log")], "value string, source_file string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")   # 02:30 is skipped there
+        rows = parse_log_frame(lines, F.lit("2024-03-10 02:30:07"))
+        assert [str(r.event_ts) for r in rows.collect()] == ["2024-03-10 02:30:00", "None", "None"]
+        sent = encode_log_json(rows)
+        assert '"collected_at":"2024-03-10 02:30:07"' in sent.first().value
+        back = decode_log_json(sent.select(F.col("value").cast("binary").alias("value")))
+        cols = ["timestamp", "log_level", "component", "message", "collected_at", "event_ts", "dt"]
+        assert back.select(cols).collect() == rows.select(cols).collect()
+        t = F.col("event_ts")
+        assert rows.select((from_zoned(zoned(t)) == t).alias("same")).first().same
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
