@@ -171,7 +171,7 @@ def incident_events(enriched: DataFrame, results: DataFrame | None = None,
                                   "struct<action_type:string,description:string,status:string,timestamp:timestamp_ntz>").alias("action"))
     ctx = enriched.where(F.size("actions") > 0).select(
         "incident_id", t.alias("event_time"), F.lit(1).alias("seq"), F.lit(None).cast("string").alias("status"),
-        F.col("actions")[0].alias("action"))
+        F.get("actions", F.lit(0)).alias("action"))
     parts = [created, ctx]
     if results is not None:
         ok = results.where(F.col("accepted"))
