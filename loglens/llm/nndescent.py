@@ -10,10 +10,13 @@
    before anything is gathered, so a hub never gathers all that point at it.
    Rounds go on until fewer than UPDATES of all list places change.
 4. Edges at or above the threshold give components.  A list whose K places are
-   all above the threshold is saturated: it is enlarged to the node's whole
-   component, whose blocks are multiplied with each other; only counts of links
-   leave a block pair.
-5. Audit: AUDIT vectors are compared with all vectors.  If their links weren't
+   all above the threshold is saturated and may have cut links to other
+   components.  The saturated vectors of each component are covered by small
+   balls; pairs of balls that the triangle inequality can't rule out are
+   multiplied, and components with a link between them merge.
+5. Links are counted by exact products inside components, block by block; only
+   counts of links leave a block pair.
+6. Audit: AUDIT vectors are compared with all vectors.  If their links weren't
    found to at least RECALL, all is done again with longer lists, larger blocks
    and twice the tables, which ends in a comparison of everything.
 
@@ -47,6 +50,10 @@ RECALL = 0.99
 HANDED = 4
 #: Rows of a block of a component.
 COUNT_BLOCK = 512
+#: Vectors of a ball at most, and its radius as a cosine at least.
+BALL, BALL_COS = 64, 0.97
+#: Balls of a block, from and to.
+BALL_BLOCK = (256, 4096)
 
 
 def matrix(column) -> np.ndarray:
@@ -167,6 +174,120 @@ def neighbour_graph(reps: DataFrame, n: int, k: int, tables: int, block: int, se
             return graph.select("u", "v", "sim")
 
 
+def balls(rows: DataFrame) -> DataFrame:
+    """(ball, comp, pivot, radius, vecs): the vectors of each component in
+    balls of BALL vectors at most.  rows: id, comp, vec.  radius: the largest
+    angle to the pivot; vecs: the packed vectors, one after the other."""
+    import pandas as pd
+
+    ship_package(rows.sparkSession)
+    sizes = stored(rows.groupBy("comp").agg(F.count(F.lit(1)).alias("size")), "ball_sizes")
+    total = sizes.filter(F.col("size") <= COUNT_BLOCK).agg(F.sum("size")).first()[0] or 0
+    groups = max(1, -(-int(total) // COUNT_BLOCK))
+    large = F.col("size") > COUNT_BLOCK
+    dealt = (rows.join(sizes, "comp").withColumn("g", F.when(large, F.col("comp")).otherwise(F.pmod(F.xxhash64("comp"), F.lit(groups))))
+             .withColumn("part", F.when(large, F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / COUNT_BLOCK))).otherwise(F.lit(-1))))
+
+    def cover(pdf):
+        out = []
+        for comp, one in pdf.groupby("comp", sort=False):
+            ids, vecs = one["id"].to_numpy(), [bytes(v) for v in one["vec"]]
+            x, left = matrix(vecs), np.arange(len(one))
+            while len(left):
+                sim = x[left] @ x[left[0]]
+                sim[0] = 1.0
+                near = np.flatnonzero(sim >= BALL_COS)[:BALL]
+                out.append((ids[left[0]], comp, vecs[left[0]], float(np.arccos(np.clip(sim[near].min(), -1, 1))), b"".join(vecs[i] for i in left[near])))
+                left = np.delete(left, near)
+        return pd.DataFrame(out, columns=["ball", "comp", "pivot", "radius", "vecs"])
+
+    return dealt.select("g", "part", "id", "comp", "vec").groupBy("g", "part").applyInPandas(
+        cover, "ball long, comp long, pivot binary, radius double, vecs binary")
+
+
+def ball_pairs(cover: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(a, b, ca, cb, link) of balls of different components: pairs of
+    components that pivots link, as a forest a block pair, and the pairs of
+    balls besides that may hold a link."""
+    import pandas as pd
+
+    least, most = BALL_BLOCK
+    parts = max(1, -(-n // min(most, max(least, 4 * int(n ** 0.5)))))
+    rows = (cover.select("ball", "comp", "pivot", "radius", F.octet_length("pivot").alias("size"))
+            .withColumn("own", F.pmod(F.xxhash64("ball"), F.lit(parts)).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+            .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")))
+    theta = float(np.arccos(threshold)) + 1e-7
+
+    def pairs(pdf):
+        own, i, j = pdf["own"].to_numpy(), pdf["i"].iloc[0], pdf["j"].iloc[0]
+        ids, radius, x = pdf["ball"].to_numpy(), pdf["radius"].to_numpy(), matrix(pdf["pivot"])
+        comps, comp = np.unique(pdf["comp"].to_numpy(), return_inverse=True)
+        label = np.arange(len(comps))
+        a, b = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        strips = [a[k:k + 256] for k in range(0, len(a), 256)]
+        for rows_ in strips:
+            hits = x[rows_] @ x[b].T >= threshold
+            for r, hit in zip(rows_, hits):
+                met = np.unique(label[np.append(comp[b[hit]], comp[r])])
+                if len(met) > 1:
+                    label[np.isin(label, met)] = met[0]
+        linked = np.flatnonzero(label != np.arange(len(comps)))
+        out = [pd.DataFrame({"a": comps[linked], "b": comps[label[linked]], "ca": comps[linked], "cb": comps[label[linked]], "link": True})]
+        for rows_ in strips:
+            angle = np.arccos(np.clip(x[rows_] @ x[b].T, -1, 1))
+            p, q = np.nonzero((angle <= radius[rows_][:, None] + radius[b] + theta) & (label[comp[rows_]][:, None] != label[comp[b]]))
+            p, q = rows_[p], b[q]
+            if i == j:
+                p, q = p[p < q], q[p < q]
+            out.append(pd.DataFrame({"a": ids[p], "b": ids[q], "ca": comps[comp[p]], "cb": comps[comp[q]], "link": False}))
+        return pd.concat(out)
+
+    return rows.select("size", "i", "j", "own", "ball", "comp", "pivot", "radius").groupBy("size", "i", "j").applyInPandas(
+        pairs, "a long, b long, ca long, cb long, link boolean")
+
+
+def relabelled(df: DataFrame, merges: DataFrame, *cols: str) -> DataFrame:
+    """``df`` with the components in ``cols`` replaced by what they merged to."""
+    for c in cols:
+        to = merges.select(F.col("node").alias(c), F.col("comp").alias("__to"))
+        df = df.join(to, c, "left").withColumn(c, F.coalesce("__to", c)).drop("__to")
+    return df
+
+
+def merged(rows: DataFrame, threshold: float) -> DataFrame | None:
+    """(node, comp): what the components of ``rows`` (id, comp, vec) become
+    when those with a link between their rows are one; None if nothing does."""
+    cover = stored(balls(rows), "balls")
+    n = cover.count()
+    if n < 2:
+        return None
+    pairs = stored(ball_pairs(cover, n, threshold), "ball_pairs")
+    links = pairs.filter("link").select("ca", "cb")
+    open_ = pairs.filter("NOT link").drop("link")
+    if not is_empty(links):
+        of = connected(links.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        open_ = relabelled(open_, of, "ca", "cb").filter("ca <> cb")
+    side = lambda c: cover.select(F.col("ball").alias(c), F.octet_length("pivot").alias("size" + c), F.col("vecs").alias("v" + c))
+
+    def multiply(batches):
+        for batch in batches:
+            keep = []
+            for size, va, vb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+                x, y = (matrix([v[k:k + size] for k in range(0, len(v), size)]) for v in (va, vb))
+                keep.append(bool((x @ y.T >= threshold).any()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["ca", "cb"]).filter(pa.array(keep, pa.bool_()))
+
+    both = open_.join(side("a"), "a").join(side("b"), "b").select("ca", "cb", "sizea", "va", "vb")
+    found = stored(links.unionByName(map_arrow(both, multiply, "ca long, cb long")).distinct(), "merges")
+    return None if is_empty(found) else connected(found.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+
+
+def saturated(graph: DataFrame, k: int, threshold: float) -> DataFrame:
+    """(id) of the nodes whose k places are all links."""
+    return graph.filter(F.col("sim") >= threshold).groupBy("u").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= k).select(F.col("u").alias("id"))
+
+
 def link_counts(members: DataFrame, threshold: float) -> DataFrame:
     """(id, links) by exact products inside components.  members: id, comp,
     vec, weight.  Components up to COUNT_BLOCK share groups; larger ones are
@@ -241,6 +362,10 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, id_col: str = "vec_id
         graph = neighbour_graph(reps, n, k, tables, block, seed)
         links = stored(graph.filter(F.col("sim") >= threshold).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "vector_links")
         labels = connected(links) if not is_empty(links) else links.select(F.col("a").alias("node"), F.col("b").alias("comp"))
+        full = saturated(graph, k, threshold).join(labels.withColumnRenamed("node", "id"), "id").join(reps.select("id", "vec"), "id")
+        to = merged(full.select("id", "comp", "vec"), threshold)
+        if to is not None:
+            labels = stored(relabelled(labels, to, "comp"), "merged_labels")
         members = reps.join(labels, reps["id"] == labels["node"]).select("id", "comp", "vec", "weight")
         inside = link_counts(members, threshold)
         # copies link with each other: a weight's other rows

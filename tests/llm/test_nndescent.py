@@ -73,3 +73,25 @@ def test_audit_counts_missing_links(spark):
     true = {i: n for i, n, _ in brute(rows)}
     half = spark.createDataFrame([(i, n // 2) for i, n in true.items()], "id long, links long")
     assert abs(N.audited(reps, half, 0.9) - sum(n // 2 for n in true.values()) / sum(true.values())) < 1e-9
+
+
+def test_two_tight_groups_with_links_between_them(spark):
+    rng = np.random.default_rng(8)
+    basis = np.linalg.qr(rng.standard_normal((32, 32)))[0]
+    a, b = basis[0], 0.92 * basis[0] + np.sqrt(1 - 0.92 ** 2) * basis[1]
+    rows = [(i, (c + 0.008 * rng.standard_normal(32)).tolist()) for i, c in enumerate([a] * 40 + [b] * 40 + [basis[2]] * 20)]
+    assert sorted(map(tuple, N.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())) == brute(rows)
+
+
+def test_merged_components_equal_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(N, "BALL_BLOCK", (16, 16))
+    monkeypatch.setattr(N, "COUNT_BLOCK", 16)
+    rng = np.random.default_rng(9)
+    rows = vectors_of(rng, 200) + [(500, [1.0, 2.0]), (501, [2.0, 4.1])]
+    reps = N.vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    for comp in ("id", "CASE WHEN id < 200 THEN id % 6 + 6 * (id % 3) ELSE id END"):
+        to = dict(map(tuple, N.merged(reps.selectExpr("id", f"{comp} AS comp", "vec"), 0.9).collect()))
+        if comp == "id":
+            assert {i: to.get(i, i) for i, _ in rows} == {i: c for i, _, c in brute(rows)}
+        else:
+            assert to[500] == to[501] == 500
