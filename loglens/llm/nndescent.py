@@ -8,7 +8,9 @@
    neighbours with neighbours-of-neighbours; a pair enters a list of K if it
    beats the list's last.  Lists hold reverse neighbours too, and are cut to K
    before anything is gathered, so a hub never gathers all that point at it.
-   Rounds go on until fewer than UPDATES of all list places change.
+   Every pair with a member that is new in the list is compared.  Rounds go on
+   until fewer than UPDATES of all list places change and no list that still
+   has room for links gains one.
 4. Edges at or above the threshold give components.  A list whose K places are
    all above the threshold is saturated and may have cut links to other
    components.  The saturated vectors of each component are covered by small
@@ -18,7 +20,8 @@
    counts of links leave a block pair.
 6. Audit: AUDIT vectors are compared with all vectors.  If their links weren't
    found to at least RECALL, all is done again with longer lists, larger blocks
-   and twice the tables, which ends in a comparison of everything.
+   and twice the tables; if that isn't enough either, all vectors are compared
+   with each other, as the balls of step 4.
 
 Cosines are taken in double precision.  Defined results: a null, empty, zero
 or non-finite vector (or one with a null component) has no links and is its
@@ -46,8 +49,8 @@ CODE_SIZE = 200
 UPDATES = 0.02
 AUDIT = 256
 RECALL = 0.99
-#: Pairs a member of a list hands on from one list, at most; later rounds hand on the others.
-HANDED = 4
+#: Searches by descent, before all vectors are compared.
+SEARCHES = 2
 #: Rows of a block of a component.
 COUNT_BLOCK = 512
 #: Vectors of a ball at most, and its radius as a cosine at least.
@@ -107,7 +110,7 @@ def first_lists(reps: DataFrame, n: int, k: int, tables: int, block: int, seed:
     """(u, v, sim): for each node the nearest in its blocks."""
     import pandas as pd
 
-    bits = max(0, int(np.ceil(np.log2(max(1, n) / CODE_SIZE))))
+    bits = max(0, int(np.ceil(np.log2(max(1, n) / (CODE_SIZE * block / BLOCK)))))
     codes = stored(coded(reps, bits, tables, seed), "codes")
     parts = codes.groupBy("t", "code").agg(F.ceil(F.count(F.lit(1)) / block).alias("parts"))
     dealt = codes.join(F.broadcast(parts) if bits <= 16 else parts, ["t", "code"]).withColumn("part", F.pmod(F.xxhash64("id", "t"), "parts"))
@@ -134,11 +137,12 @@ def cut_lists(edges: DataFrame, k: int) -> DataFrame:
 
 
 def descended(graph: DataFrame, reps: DataFrame, k: int) -> DataFrame:
-    """New edges (u, v, sim) from comparing each node's neighbours."""
+    """New edges (u, v, sim) from comparing each node's neighbours: all pairs
+    but those of two old members, which an earlier round compared."""
     last = graph.groupBy("u").agg(F.when(F.count(F.lit(1)) >= k, F.min("sim")).otherwise(F.lit(-2.0)).alias("last"))
     nodes = reps.join(last, reps["id"] == last["u"]).select(F.col("id").alias("v"), "vec", "last")
-    lists = (graph.select("u", "v").join(stored(nodes, "nodes"), "v").groupBy("u")
-             .agg(F.collect_list(F.struct("v", "vec", "last")).alias("l")).select("l"))
+    lists = (graph.select("u", "v", "new").join(stored(nodes, "nodes"), "v").groupBy("u")
+             .agg(F.collect_list(F.struct("v", "vec", "last", "new")).alias("l"), F.max("new").alias("any")).filter("any = 1").select("l"))
 
     def compare(batches):
         for b in batches:
@@ -148,29 +152,32 @@ def descended(graph: DataFrame, reps: DataFrame, k: int) -> DataFrame:
                 ids, last_ = s.field("v").to_numpy(), s.field("last").to_numpy()
                 if len(ids) < 2:
                     continue
-                x = matrix(s.field("vec").to_pylist())
-                sim = x @ x.T
-                np.fill_diagonal(sim, -2)
-                m = min(HANDED, len(ids) - 1)
-                near = np.argpartition(-sim, m - 1, axis=1)[:, :m]
-                best = np.take_along_axis(sim, near, 1)
-                row, col = np.nonzero(best > last_[:, None])
-                us.append(ids[row])
-                vs.append(ids[near[row, col]])
-                sims.append(best[row, col])
+                new, x = s.field("new").to_numpy() > 0, s.field("vec").to_pylist()
+                for size in {len(v) for v in x}:
+                    at = np.flatnonzero([len(v) == size for v in x])
+                    y = matrix([x[i] for i in at])
+                    sim = y @ y.T
+                    np.fill_diagonal(sim, -2)
+                    row, col = np.nonzero((sim > last_[at][:, None]) & (new[at][:, None] | new[at]))
+                    us.append(ids[at[row]])
+                    vs.append(ids[at[col]])
+                    sims.append(sim[row, col])
             if us:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)) for a in (us, vs, sims)], ["u", "v", "sim"])
 
     return map_arrow(lists, compare, EDGES)
 
 
-def neighbour_graph(reps: DataFrame, n: int, k: int, tables: int, block: int, seed: int) -> DataFrame:
+def neighbour_graph(reps: DataFrame, n: int, k: int, tables: int, block: int, seed: int, threshold: float) -> DataFrame:
     """Neighbour lists (u, v, sim) after descent."""
-    graph = stored(cut_lists(first_lists(reps, n, k, tables, block, seed).withColumn("new", F.lit(0)), k), "graph")
+    graph = stored(cut_lists(first_lists(reps, n, k, tables, block, seed).withColumn("new", F.lit(1)), k), "graph")
     while True:
         more = descended(graph, reps, k).withColumn("new", F.lit(1))
         graph = stored(cut_lists(graph.withColumn("new", F.lit(0)).unionByName(more), k), "graph")
-        if graph.filter("new = 1").count() <= UPDATES * n * k:
+        link = F.col("sim") >= threshold
+        lists = graph.groupBy("u").agg(F.sum("new").alias("new"), F.count_if(link).alias("links"), F.count_if(link & (F.col("new") == 1)).alias("gained"))
+        changed, gained = lists.agg(F.sum("new"), F.count_if((F.col("links") < k) & (F.col("gained") > 0))).first()
+        if (changed or 0) <= UPDATES * n * k and not gained:
             return graph.select("u", "v", "sim")
 
 
@@ -351,6 +358,11 @@ def audited(reps: DataFrame, counts: DataFrame, threshold: float) -> float:
     return sum(r["links"] for r in sample) / true if true > 0 else 1.0
 
 
+def all_labels(reps: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, comp) of all vectors; one without links is its own component."""
+    return reps.join(labels, reps["id"] == labels["node"], "left").select(F.col("id").alias("node"), F.coalesce("comp", "id").alias("comp"))
+
+
 def near_duplicates(df: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(id, links, comp) of every row; ids with null as NO_ID."""
     rows = stored(vectors(df, id_col, vec_col), "vectors")
@@ -358,19 +370,24 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, id_col: str = "vec_id
     n = reps.count()
     k, tables, block, seed = K, TABLES, BLOCK, 7
     labels = counts = None
-    while n and labels is None or counts is not None and audited(reps, counts, threshold) < RECALL:
-        graph = neighbour_graph(reps, n, k, tables, block, seed)
-        links = stored(graph.filter(F.col("sim") >= threshold).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "vector_links")
-        labels = connected(links) if not is_empty(links) else links.select(F.col("a").alias("node"), F.col("b").alias("comp"))
-        full = saturated(graph, k, threshold).join(labels.withColumnRenamed("node", "id"), "id").join(reps.select("id", "vec"), "id")
-        to = merged(full.select("id", "comp", "vec"), threshold)
+    searches = 0
+    while n and labels is None or counts is not None and searches <= SEARCHES and audited(reps, counts, threshold) < RECALL:
+        if searches < SEARCHES:
+            graph = neighbour_graph(reps, n, k, tables, block, seed, threshold)
+            links = stored(graph.filter(F.col("sim") >= threshold).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "vector_links")
+            labels = connected(links) if not is_empty(links) else links.select(F.col("a").alias("node"), F.col("b").alias("comp"))
+            full = saturated(graph, k, threshold).join(labels.withColumnRenamed("node", "id"), "id").join(reps.select("id", "vec"), "id")
+            to = merged(full.select("id", "comp", "vec"), threshold)
+        else:
+            labels = stored(all_labels(reps, labels), "all_labels")
+            to = merged(reps.join(labels, reps["id"] == labels["node"]).select("id", "comp", "vec"), threshold)
         if to is not None:
             labels = stored(relabelled(labels, to, "comp"), "merged_labels")
         members = reps.join(labels, reps["id"] == labels["node"]).select("id", "comp", "vec", "weight")
         inside = link_counts(members, threshold)
         # copies link with each other: a weight's other rows
         counts = stored(reps.join(inside, "id", "left").select("id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links")), "vector_counts")
-        k, tables, block, seed = 2 * k, 2 * tables, 2 * block, seed + 1
+        k, tables, block, seed, searches = 2 * k, 2 * tables, 2 * block, seed + 1, searches + 1
     if labels is None:
         return rows.select("id", F.lit(0).cast("long").alias("links"), F.col("id").alias("comp"))
     by_vec = (reps.select("vec", F.col("id").alias("rep")).join(counts.select(F.col("id").alias("rep"), "links"), "rep")

@@ -95,3 +95,23 @@ def test_merged_components_equal_all_pairs(spark, monkeypatch):
             assert {i: to.get(i, i) for i, _ in rows} == {i: c for i, _, c in brute(rows)}
         else:
             assert to[500] == to[501] == 500
+
+
+def test_all_pairs_of_a_list_are_handed_on(spark):
+    rng = np.random.default_rng(10)
+    rows = [(i, (np.eye(16)[0] + 0.1 * rng.standard_normal(16)).tolist()) for i in range(13)]
+    reps = N.vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    graph = lambda new: spark.createDataFrame([(0, i, 0.5, new(i)) for i in range(1, 13)] + [(i, 0, 0.5, new(i)) for i in range(1, 13)], "u long, v long, sim double, new int")
+    pairs = lambda g: {tuple(r)[:2] for r in N.descended(g, reps, N.K).collect()}
+    every = {(a, b) for a in range(1, 13) for b in range(1, 13) if a != b}
+    assert pairs(graph(lambda i: 1)) == every
+    assert pairs(graph(lambda i: int(i == 3))) == {p for p in every if 3 in p}
+    assert pairs(graph(lambda i: 0)) == set()
+
+
+def test_last_resort_compares_all_vectors(spark, monkeypatch):
+    searches = []
+    monkeypatch.setattr(N, "neighbour_graph", lambda reps, *a: searches.append(a) or spark.createDataFrame([], "u long, v long, sim double"))
+    rows = vectors_of(np.random.default_rng(11), 150)
+    got = sorted(map(tuple, N.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()))
+    assert got == brute(rows) and len(searches) == N.SEARCHES
