@@ -18,8 +18,10 @@
    multiplied, and components with a link between them merge.
 5. Links are counted by exact products inside components, block by block; only
    counts of links leave a block pair.
-6. Audit: AUDIT vectors are compared with all vectors.  If their links weren't
-   found to at least RECALL, all is done again with longer lists, larger blocks
+6. Audit: vectors are compared with all vectors, AUDIT of the table and a
+   sample of each class of component sizes that grows with the table.  If the
+   links of the first, or the vectors of any class that have links and got all
+   of them, weren't found to at least RECALL, all is done again with longer lists, larger blocks
    and twice the tables; if that isn't enough either, all vectors are compared
    with each other, as the balls of step 4.
 
@@ -48,6 +50,8 @@ BLOCK = 1024
 CODE_SIZE = 200
 UPDATES = 0.02
 AUDIT = 256
+#: Component sizes of one class of the audit differ by this factor.
+CLASS = 4
 RECALL = 0.99
 #: Searches by descent, before all vectors are compared.
 SEARCHES = 2
@@ -358,6 +362,50 @@ def audited(reps: DataFrame, counts: DataFrame, threshold: float) -> float:
     return sum(r["links"] for r in sample) / true if true > 0 else 1.0
 
 
+def audited_vectors(members: DataFrame, n: int, threshold: float) -> float:
+    """Least share, over the classes of component sizes, of the sampled
+    vectors with links whose linked vectors all bear their component.
+    members: id, comp, vec of all n vectors."""
+    take = max(AUDIT // 4, int(n ** 0.5) // 4)
+    sizes = members.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
+    of = members.join(sizes, "comp").withColumn("class", F.ceil(F.log(float(CLASS), "size") - 1e-9).cast("int"))
+    # the least hashes of a class: a cut by its size first, so that no class is ordered as a whole
+    classes = of.groupBy("class").agg(F.count(F.lit(1)).alias("rows"))
+    share = F.least(F.lit(1.0), F.lit(4.0 * take) / F.col("rows"))
+    h = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30))
+    first = F.row_number().over(W.partitionBy("class").orderBy("h", "id", "vec"))
+    sample = (of.join(F.broadcast(classes), "class").withColumn("h", h).filter(F.col("h") < share * (1 << 30))
+              .withColumn("place", first).filter(F.col("place") <= take).select("class", "comp", "vec").collect())
+    if not sample:
+        return 1.0
+    queries: dict[int, list] = {}
+    for i, r in enumerate(sample):
+        queries.setdefault(len(r["vec"]), []).append(i)
+    at = {size: (np.array(q), matrix([sample[i]["vec"] for i in q]), np.array([sample[i]["comp"] for i in q])) for size, q in queries.items()}
+    # rounding differs between products of different shapes
+    least = threshold + 1e-12
+
+    def run(batches):
+        linked, missed = np.zeros(len(sample), np.int64), np.zeros(len(sample), np.int64)
+        for b in batches:
+            vecs, comps = b.column(1).to_pylist(), b.column(0).to_numpy()
+            length = np.array([len(v) for v in vecs])
+            for size, (q, x, comp) in at.items():
+                here = np.flatnonzero(length == size)
+                if len(here):
+                    hit = x @ matrix([vecs[i] for i in here]).T >= least
+                    linked[q] += hit.sum(1)
+                    missed[q] += (hit & (comp[:, None] != comps[here])).sum(1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sample))), pa.array(linked), pa.array(missed)], ["i", "linked", "missed"])
+
+    found = map_arrow(members.select("comp", "vec"), run, "i long, linked long, missed long").groupBy("i").agg(F.sum("linked").alias("linked"), F.sum("missed").alias("missed")).collect()
+    whole: dict[int, list] = {}
+    for r in found:
+        if r["linked"] > 1:             # each one is among its own
+            whole.setdefault(sample[r["i"]]["class"], []).append(r["missed"] == 0)
+    return min((sum(v) / len(v) for v in whole.values()), default=1.0)
+
+
 def all_labels(reps: DataFrame, labels: DataFrame) -> DataFrame:
     """(node, comp) of all vectors; one without links is its own component."""
     return reps.join(labels, reps["id"] == labels["node"], "left").select(F.col("id").alias("node"), F.coalesce("comp", "id").alias("comp"))
@@ -369,9 +417,10 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, id_col: str = "vec_id
     reps = stored(rows.filter("vec IS NOT NULL").groupBy("vec").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight")), "vector_reps")
     n = reps.count()
     k, tables, block, seed = K, TABLES, BLOCK, 7
-    labels = counts = None
+    labels = counts = members = None
     searches = 0
-    while n and labels is None or counts is not None and searches <= SEARCHES and audited(reps, counts, threshold) < RECALL:
+    while n and labels is None or counts is not None and searches <= SEARCHES and (
+            audited(reps, counts, threshold) < RECALL or audited_vectors(members, n, threshold) < RECALL):
         if searches < SEARCHES:
             graph = neighbour_graph(reps, n, k, tables, block, seed, threshold)
             links = stored(graph.filter(F.col("sim") >= threshold).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "vector_links")
@@ -383,10 +432,10 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, id_col: str = "vec_id
             to = merged(reps.join(labels, reps["id"] == labels["node"]).select("id", "comp", "vec"), threshold)
         if to is not None:
             labels = stored(relabelled(labels, to, "comp"), "merged_labels")
-        members = reps.join(labels, reps["id"] == labels["node"]).select("id", "comp", "vec", "weight")
-        inside = link_counts(members, threshold)
+        inside = link_counts(reps.join(labels, reps["id"] == labels["node"]).select("id", "comp", "vec", "weight"), threshold)
         # copies link with each other: a weight's other rows
         counts = stored(reps.join(inside, "id", "left").select("id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links")), "vector_counts")
+        members = stored(reps.select("id", "vec").join(all_labels(reps, labels), F.col("id") == F.col("node")).select("id", "comp", "vec"), "vector_comps")
         k, tables, block, seed, searches = 2 * k, 2 * tables, 2 * block, seed + 1, searches + 1
     if labels is None:
         return rows.select("id", F.lit(0).cast("long").alias("links"), F.col("id").alias("comp"))

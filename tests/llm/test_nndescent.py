@@ -115,3 +115,16 @@ def test_last_resort_compares_all_vectors(spark, monkeypatch):
     rows = vectors_of(np.random.default_rng(11), 150)
     got = sorted(map(tuple, N.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()))
     assert got == brute(rows) and len(searches) == N.SEARCHES
+
+
+def test_audit_by_vector_sees_what_a_hot_group_hides(spark):
+    rng = np.random.default_rng(12)
+    hot, pairs = np.eye(24)[0], rng.standard_normal((40, 24))
+    rows = [(i, (hot + 0.02 * rng.standard_normal(24)).tolist()) for i in range(400)]
+    rows += [(1000 + 2 * i + j, (p + 0.01 * rng.standard_normal(24)).tolist()) for i, p in enumerate(pairs) for j in (0, 1)]
+    reps = N.vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding").selectExpr("id", "vec", "1L AS weight")
+    lost = spark.createDataFrame([(i, 399 if i < 1000 else 0) for i, _ in rows], "id long, links long")
+    assert N.audited(reps, lost, 0.9) > N.RECALL
+    labelled = lambda comp: N.audited_vectors(reps.selectExpr("id", f"{comp} AS comp", "vec"), len(rows), 0.9)
+    assert labelled("IF(id < 1000, 0, id)") < N.RECALL
+    assert labelled("IF(id < 1000, 0, id - id % 2)") == 1.0
