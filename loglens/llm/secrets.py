@@ -7,9 +7,11 @@
 * entropy (kinds ``entropy_hex``, ``entropy_base64``): candidate strings are
   runs of the class's characters; a window slides over each candidate and its
   Shannon entropy is kept by incremental counts (one character in, one out).
-  Windows at or above the class's threshold merge into one span.  Candidates
-  on the allow-list (plain words, numbers, counting sequences, hosts and
-  mail addresses, placeholders) and spans inside a pattern span are dropped.
+  Windows at or above the class's threshold merge into one span.  Hosts, the
+  path segments of URLs, mail addresses and segments with a placeholder are
+  cut out of a candidate; what is left goes if it is on the allow-list (plain
+  words, numbers, counting sequences).  User info, query values and fragments
+  of a URL are checked like other text.  Spans inside a pattern span are dropped.
 
 The allow-list never touches pattern spans.  Offsets are code points, the end
 exclusive.  Defined results: a null or empty text has no spans (``[]``);
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,32 +50,92 @@ CLASSES = (
 #: Anything shorter can hold no candidate.
 ANY_CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20}")
 
-#: Allow-list, matched against a whole candidate.
+#: Allow-list, matched against what is left of a candidate.
 ALLOWED = tuple(re.compile(p) for p in (
-    r"[A-Za-z_/-]+=*",                                   # words and paths without a digit
     r"[0-9_+/-]+=*",                                     # numbers, dates, phone numbers
-    r"(?:[A-Za-z]+[0-9]{0,4}[/_-]+)*[A-Za-z]+[0-9]{0,4}=*",   # numbered words joined by separators
     r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",  # UUID
-    r"(?i:.*(?:example|placeholder|changeme|dummy|xxxxx).*)",
 ))
+#: Words joined by separators, without digits but up to four at a word's end.
+JOINED = re.compile(r"[/_-]*(?:[A-Za-z]+[0-9]{0,4}[/_-]+)*(?:[A-Za-z]+[0-9]{0,4})?=*")
+LETTERS, CASE_PART, CONSONANTS = re.compile(r"[A-Za-z]+"), re.compile(r"[A-Z]?[a-z]+|[A-Z]+"), re.compile(r"[b-df-hj-np-tv-xz]{6}", re.I)
+#: From so many letters on, parts of one case have CASE_LETTERS on average in words.
+CASE_FROM, CASE_LETTERS = 6, 2.5
+#: From so many letters on, words have vowels, a fourth at least, and no six consonants in a row.
+VOWELS_FROM, VOWELS = 16, 0.25
+#: Placeholders, matched against a segment of a candidate.
+SEGMENT, PLACEHOLDER = re.compile(r"[A-Za-z0-9]+"), re.compile(r"(?i:example|placeholder|changeme|dummy|xxxxx)")
 #: Sequences that have high entropy and are no secrets.
 COUNTING = ("0123456789abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz0123456789",
             "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
-#: What makes a candidate part of an address: in the characters without white
-#: space that lead up to its end (200 before it at most), or just after it.
-ADDRESS_BEFORE, ADDRESS_AFTER = re.compile(r"(?:://|@|www\.)\S*\Z"), re.compile(r"[.@][A-Za-z0-9-]*[A-Za-z]")
+#: Addresses.  A URL: user info (checked like other text), then host, port and
+#: path up to white space, a quote, a comma, '?', '&', '=' or the like.
+URL = re.compile(r"""(?P<start>://|(?<![A-Za-z0-9])www\.)(?P<user>[^\s/@"'`<>,?#]{0,512}@|[^\s/@:"'`<>,?#]{0,512}:(?!\d+/)[^\s@"'`<>,?#]{0,512}@)?
+    (?P<rest>[^\s/?\#"'`<>,;&=@:|(){}\[\]\\]*(?::\d{1,5}(?![^\s/?\#"'`<>,;&=|(){}\[\]\\]))?(?:/[^\s?\#"'`<>,;&=|(){}\[\]\\]*)?)""", re.X)
+MAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9_+=-])")
+#: A bare host or file name: lower-case labels, letters at the end.
+HOST = re.compile(r"(?<![A-Za-z0-9._/+=-])(?:[a-z0-9][a-z0-9-]{0,62}\.)+[a-z]{2,24}(?![A-Za-z0-9_+=-]|\.[A-Za-z0-9])")
 
 SPAN = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()),
                                  T.StructField("end", T.IntegerType())]))
 
 
+def wordlike(s: str) -> bool:
+    """A run of letters that reads like words by its cases and vowels."""
+    if len(s) >= CASE_FROM and len(s) < CASE_LETTERS * len(CASE_PART.findall(s)):
+        return False
+    return len(s) < VOWELS_FROM or (sum(c in "aeiouyAEIOUY" for c in s) >= VOWELS * len(s) and not CONSONANTS.search(s))
+
+
 def allowed(s: str) -> bool:
-    if any(p.fullmatch(s) for p in ALLOWED):
+    if any(p.fullmatch(s) for p in ALLOWED) or JOINED.fullmatch(s) and all(map(wordlike, LETTERS.findall(s))):
         return True
     core = s.rstrip("=")
     return any(core in c or core.lower() in c or core in c[::-1] for c in COUNTING)
 
 
+def addresses(text: str) -> list[tuple[int, int]]:
+    """Merged ranges of hosts, paths of URLs and mail addresses, in order."""
+    found, users = [], []
+    if "://" in text or "www." in text:
+        for m in URL.finditer(text):
+            found.append(m.span("start"))
+            found.append(m.span("rest"))
+            if m["user"]:
+                users.append(m.span("user"))
+    if "@" in text:
+        ends = [b for _, b in users]
+        for m in MAIL.finditer(text):
+            i = bisect_right(ends, m.start())
+            if i == len(users) or users[i][0] >= m.end():
+                found.append(m.span())
+    if "." in text:
+        found += [m.span() for m in HOST.finditer(text)]
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        elif a < b:
+            out.append((a, b))
+    return out
+
+
+def pieces(text: str, start: int, end: int, exempt: list[tuple[int, int]], ends: list[int]) -> list[tuple[int, int]]:
+    """What is left of a candidate without addresses and placeholders."""
+    cuts = []
+    for i in range(bisect_right(ends, start), len(exempt)):
+        if exempt[i][0] >= end:
+            break
+        cuts.append(exempt[i])
+    if PLACEHOLDER.search(text, start, end):
+        cuts = sorted(cuts + [m.span() for m in SEGMENT.finditer(text, start, end) if PLACEHOLDER.search(m.group())])
+    out = []
+    for a, b in cuts:
+        if a > start:
+            out.append((start, a))
+        start = max(start, b)
+    return [*out, (start, end)] if start < end else out
+
+
 def hot_windows(s: str, window: int, least: float) -> list[tuple[int, int]]:
     """Merged ranges covered by windows of at least ``least`` bits a character.
 
@@ -80,7 +143,7 @@ def hot_windows(s: str, window: int, least: float) -> list[tuple[int, int]]:
     by two terms when the window moves by one character."""
     if len(s) < window:
         return []
-    f = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
+    f = [0.0] + [c * math.log2(c) for c in range(1, window + 2)]   # a character comes in before one goes
     most = window * math.log2(window) - least * window + 1e-9   # of the sum
     counts: dict[str, int] = {}
     total, out = 0.0, []
@@ -116,15 +179,18 @@ def pattern_spans(text: str) -> list[tuple[int, int, int]]:
 def entropy_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     out = []
     taken = [(a, b) for a, _, b in known]
+    exempt = addresses(text)
+    ends = [b for _, b in exempt]
     for kind, run, window, least in CLASSES:
         for m in run.finditer(text):
-            if allowed(m.group()) or ADDRESS_BEFORE.search(text, max(0, m.start() - 200), m.end()) or ADDRESS_AFTER.match(text, m.end()):
-                continue
-            for a, b in hot_windows(m.group(), window, least):
-                a, b = a + m.start(), b + m.start()
-                if not any(x <= a and b <= y for x, y in taken):
-                    out.append((a, KINDS.index(kind), b))
-                    taken.append((a, b))
+            for start, end in pieces(text, *m.span(), exempt, ends):
+                if end - start < window or allowed(text[start:end]):
+                    continue
+                for a, b in hot_windows(text[start:end], window, least):
+                    a, b = a + start, b + start
+                    if not any(x <= a and b <= y for x, y in taken):
+                        out.append((a, KINDS.index(kind), b))
+                        taken.append((a, b))
     return out
 
 

@@ -1,5 +1,6 @@
 import math
 import random
+import time
 from collections import Counter
 
 from loglens.llm import secrets
@@ -45,6 +46,27 @@ def test_entropy_and_allow_list():
         assert spans(clean) == [], clean
 
 
+def test_exemptions_end_with_the_address():
+    key = "wJalrXUtnFEMI7K7MDENGbPxRfiCYq8Zt3"
+    found = lambda t: [t[s["start"]:s["end"]] for s in secrets.spans(t)]
+    for t in ('{"url":"https://h/v1","k":"%s"}', "mail@host.org,%s", "postgres://user:%s@host/db", "https://%s@host.org/x", "https://h.org/a/b?k=%s&x=1", "https://h.org/a#%s", "www.h.org,%s"):
+        assert found(t % key) == [key], t
+    assert found(f"{key}.{key[::-1]}.x1") == [key, key[::-1]]
+    assert found("z" * 41 + "9") == []
+    letters = "wJalrXUtnFEMIKqMDENGbPxRfiCYqZt"
+    assert found(letters) == [letters] and found(letters + "42") == [letters + "42"]
+    assert found("dummy/" + key) == ["/" + key] and found("my-example-" + key) == ["-" + key]
+    for clean in ("https://host.org/" + "a1b2-c3d4/" * 60 + key, "http://host:8080/x@" + key, "getHttpResponseCodeForMessage2", key.lower() + ".host.org", "mailto:" + key + "@host.org"):
+        assert found(clean) == [], clean
+
+
+def test_addresses_in_linear_time():
+    for text in ("://" * 100_000, "a://b:=" * 40_000, "a@" * 100_000, "a." * 100_000, "www." * 80_000, "://u:" * 60_000):
+        t = time.process_time()
+        secrets.spans(text + "wJalrXUtnFEMI7K7MDENGbPxRfiCYq8Zt3")
+        assert time.process_time() - t < 6, text[:10]
+
+
 def test_edge_rows(spark, edge_docs, edge_rows, no_docs):
     out = secrets.scan(edge_docs)
     assert out.columns == [*edge_docs.columns, "spans"] and out.count() == len(edge_rows)
