@@ -3,7 +3,9 @@
 A page is cut into flat blocks at block-level tags.  A block's features are its
 words and link density, those of the blocks before and after it, whether it is
 a heading, and two facts about the elements around it: inside article-like
-elements, inside boilerplate ones (by tag, role or class and id words).  A
+elements, and the part of the page's words without links that lies outside the
+narrowest boilerplate element around the block (by tag, role or class and id
+words): near 0 for a wrapper of the whole page, near 1 for a small box.  A
 decision tree (Gini, grown on the driver from the blocks of the small labelled
 pages below) says which blocks are main text.
 
@@ -40,6 +42,8 @@ HELD = frozenset("article aside blockquote details dialog div fieldset figure fo
 #: Of those, the ones a new sibling closes.
 SELF_CLOSING = frozenset(["li", "td"])
 BAD_TAGS = frozenset("aside dialog fieldset footer form menu nav search".split())
+#: Of those, the ones that never wrap the main text.
+HARD_TAGS = frozenset("aside dialog footer menu nav search".split())
 GOOD_TAGS = frozenset("article main".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
 BAD_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright
@@ -61,17 +65,44 @@ class Block:
 
 
 def kind_of(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
-    """(article-like, boilerplate) of an element by its tag and names."""
-    good, bad = tag in GOOD_TAGS, tag in BAD_TAGS or (tag == "header" and not inside)
+    """(article-like, boilerplate) of an element by its tag and names.  Names
+    of an article or main element don't undo its tag; the header of an
+    article belongs to it."""
+    good, bad = False, tag in BAD_TAGS or (tag == "header" and not inside)
     if "=" in attributes:
         for m in ATTRIBUTE.finditer(attributes):
             words = set(NAME.findall((m[2] or m[3] or m[4] or "").lower()))
             if m[1].lower() == "role":
                 good, bad = good or bool(words & {"main", "article"}), bad or bool(words & BAD_ROLES)
             else:
-                bad = bad or bool(words & BAD_WORDS)
-                good = good or bool(words & GOOD_WORDS)
-    return good and not bad, bad
+                own = words & GOOD_WORDS
+                bad = bad or bool((words - {"header"} if inside or own else words) & BAD_WORDS)
+                good = good or bool(own)
+    return tag in GOOD_TAGS or good and not bad, bad
+
+
+def outside_parts(out: list[Block], parents: list[int], hard: list[bool]) -> None:
+    """Turn ``bad`` of the blocks, the number of their narrowest boilerplate
+    element or -1, into the part of the page's words outside of it; 1 if most
+    of the text of articles lies outside, or the element never wraps any."""
+    plain = [b.words - b.linked for b in out]
+    total, article = sum(plain), sum(n for n, b in zip(plain, out) if b.inside)
+    words, inner = [0] * len(parents), [0] * len(parents)
+    for n, b in zip(plain, out):
+        if b.bad >= 0:
+            words[b.bad] += n
+            inner[b.bad] += n * b.inside
+    for e in range(len(parents) - 1, -1, -1):       # parents come before
+        if parents[e] >= 0:
+            words[parents[e]] += words[e]
+            inner[parents[e]] += inner[e]
+    part = []
+    for e, up in enumerate(parents):
+        own = 1.0 if hard[e] or not total or 2 * inner[e] < article else 1 - words[e] / total
+        part.append(max(own, part[up]) if up >= 0 else own)
+    for b in out:
+        # a box that holds everything is still marked
+        b.bad = max(part[b.bad], 0.001) if b.bad >= 0 else 0.0
 
 
 def tag_end(page: str, start: int, no_quote_from: list[int]) -> int:
@@ -105,10 +136,12 @@ def blocks(page: str | None) -> list[Block]:
     out: list[Block] = []
     if not page:
         return out
-    held: list[tuple[str, bool, bool]] = []     # open elements: tag, inside an article, inside boilerplate
+    held: list[tuple[str, bool, int]] = []      # open elements: tag, inside an article, narrowest boilerplate element
+    parents: list[int] = []                     # of boilerplate elements: the next one around
+    hard: list[bool] = []
     parts: list[str] = []
     linked_parts: list[str] = []
-    heading = own_bad = False
+    heading, own_bad = False, -1
     in_link = 0
     no_quote_from = [len(page), len(page)]
     closers: dict[str, int] = {}                # elements that don't close after this place
@@ -120,11 +153,16 @@ def blocks(page: str | None) -> list[Block]:
             if text:
                 n = text.count(" ") + 1
                 linked = min(n, len(SPACE.sub(" ", " ".join(linked_parts)).split()))
-                top = held[-1] if held else ("", False, False)
-                out.append(Block(text, n, linked, heading, top[1], top[2] or own_bad))
+                top = held[-1] if held else ("", False, -1)
+                out.append(Block(text, n, linked, heading, top[1], own_bad if own_bad >= 0 else top[2]))
         parts.clear()
         linked_parts.clear()
-        heading = own_bad = False
+        heading, own_bad = False, -1
+
+    def marked(tag: str, around: int) -> int:
+        parents.append(around)
+        hard.append(tag in HARD_TAGS)
+        return len(parents) - 1
 
     def text(s: str):
         if s:
@@ -182,7 +220,7 @@ def blocks(page: str | None) -> list[Block]:
         elif tag in BLOCKS:
             flush()
             in_link = 0
-            inside, bad = held[-1][1:] if held else (False, False)
+            inside, bad = held[-1][1:] if held else (False, -1)
             if closing:
                 if tag in HELD and any(h[0] == tag for h in held):
                     while held.pop()[0] != tag:
@@ -192,13 +230,14 @@ def blocks(page: str | None) -> list[Block]:
             if tag in HELD:
                 if tag in SELF_CLOSING and held and held[-1][0] == tag:
                     held.pop()
-                    inside, bad = held[-1][1:] if held else (False, False)
+                    inside, bad = held[-1][1:] if held else (False, -1)
                     good, own = kind_of(tag, page[m.end():at - 1], inside)
-                held.append((tag, inside or good, bad or own))
+                held.append((tag, inside or good, marked(tag, bad) if own else bad))
             else:
-                own_bad = own and tag not in ("body", "html")
+                own_bad = marked(tag, bad) if own and tag not in ("body", "html") else -1
                 heading = tag in HEADINGS
     flush()
+    outside_parts(out, parents, hard)
     return out
 
 
@@ -258,6 +297,16 @@ def labelled_pages() -> list[tuple[str, list[int]]]:
             (f"<ul>{''.join(f'<li>{link(_words(n + 5))}</li>' for n in sizes)}</ul><p>{_words(30)}</p><p>{_words(50 + other)}</p>", [0 * n for n in sizes] + [1, 1]),
             (f"<p>{_words(15 + other)}</p>", [1]),
         ]
+        # names of boilerplate on what holds the article; lists of links in it
+        flagged = f"<h1>Some title</h1>{text}<ul>{''.join(f'<li>{link(_words(n + 3))}</li>' for n in (1, 4, 2, 6))}</ul>"
+        out += [(start + flagged + end, [1, *art, 0, 0, 0, 0]) for start, end in (
+            ("<article class='post has-sidebar'>", "</article>"), ("<main class='legal-content'>", "</main>"),
+            ("<form id='form1'><article>", "</article></form>"))]
+        out += [
+            (f"<div class='with-sidebar'>{menu}<p>{_words(45)}</p><p>{_words(60 + other)}</p><p>{_words(30)}</p></div>", [0, 0, 0, 1, 1, 1]),
+            (f"<form id='form1'><div class='menu'>{menu}</div><article>{text}</article><div class='sidebar'>{note}</div></form>", [0, 0, 0, *art, 0]),
+            (f"<p>{_words(60)}</p><p>{_words(80)}</p><div class='comments'><p>{_words(70)}</p><p>{_words(60)}</p><p>{_words(30 + other)}</p></div>", [1, 1, 0, 0, 0]),
+        ]
     return [*out, ("<p>Hello there.</p>", [1]), ("Only text, without any element around it.", [1])]
 
 

@@ -61,3 +61,24 @@ def test_rows_and_columns(spark):
     out = H.extracted(rows)
     assert out.columns == [*rows.columns, "text"] and sorted(len(r["text"]) for r in out.collect()) == [0, 0, 999_999]
     assert H.extracted(rows.limit(0)).collect() == []
+
+
+def test_flagged_wrappers_hold_the_article():
+    para = "This sentence is part of the article and long enough to be read as text of the page by its number of words alone."
+    body = f"<p>{para}</p><p>{para}</p>"
+    menu = "<ul><li><a href='/a'>Home</a></li><li><a href='/b'>News</a></li><li><a href='/c'>About us</a></li></ul>"
+    want = f"{para}\n{para}"
+    for start, end in (("<article class='post has-sidebar'>", "</article>"), ("<div class='with-sidebar'>", "</div>"), ("<article class='hentry category-ads'>", "</article>"),
+                       ("<main class='legal-content'>", "</main>"), ("<form id='form1'><article>", "</article></form>"), ("<form id='form1'>", "</form>")):
+        assert text(f"<nav>{menu}</nav>{start}{body}<div class='sidebar'><p>About the writer</p></div>{end}<footer>Imprint</footer>") == want, start
+    assert text(f"<article><header class='entry-header'><h1>A title</h1></header>{body}</article>") == "A title\n" + want
+    # comments longer than the text stay out
+    assert text(f"<article>{body}</article><section class='comments'>{body}{body}{body}</section>") == want
+    # link lists in a flagged article: links decide
+    assert text(f"<article class='post has-sidebar'>{body}{menu.replace('Home', 'A longer link to the home page')}</article>") == want
+
+
+def test_nested_flags_in_linear_time():
+    t = time.process_time()
+    text("<form>" * 60_000 + "<p class='ad'>word</p>" * 20_000)
+    assert time.process_time() - t < 6
