@@ -75,8 +75,10 @@ def first_in_interval(probes: DataFrame, events: DataFrame, probe_ts: str, event
               .join(upto.select(F.col("sec").alias("hi"), F.col("upto").alias("_end")), "hi")
               .where(F.col("_end") > F.col("_start")).select("_ps", "_start", "_end"))
     before = line.where(F.col("n") > 0).select(F.col("sec").alias("_sec"), (F.col("upto") - F.col("n")).alias("_first"))
-    own = F.row_number().over(Window.partitionBy("_sec").orderBy(*order)) - 1
-    placed = ev.join(before, "_sec").withColumn("_pos", F.col("_first") + own).drop("_first", "_sec")
+    # an interval starts with a second, so place n or later of a second is never among its first n:
+    # the filter lets each task cut its rows of a second before the exchange
+    own = ev.withColumn("_own", F.row_number().over(Window.partitionBy("_sec").orderBy(*order))).where(F.col("_own") <= n)
+    placed = own.join(before, "_sec").withColumn("_pos", F.col("_first") + F.col("_own") - 1).drop("_first", "_sec", "_own")
     last = F.least(F.col("_end"), F.col("_start") + n) - 1
     p = (pr.join(ranges, "_ps").withColumn("_last", last)
          .withColumn("_b", F.explode(F.sequence(F.floor(F.col("_start") / n), F.floor(F.col("_last") / n)))).drop("_ps"))

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from loglens.operators.interval_join import interval_join
+from loglens.operators.interval_join import first_in_interval, interval_join
 
 
 def test_bounds_and_brute_force(spark):
@@ -18,3 +18,17 @@ def test_bounds_and_brute_force(spark):
     assert got == brute
     assert (1, offs.index(-1800)) in got and (1, offs.index(300)) in got
     assert (1, offs.index(-1801)) not in got and (1, offs.index(301)) not in got
+
+
+def test_one_dense_second_is_cut_before_it_is_ordered(spark, capsys):
+    base = "2024-01-01 12:00:00"
+    probes = spark.createDataFrame([(1, base), (2, "2024-01-01 12:00:40")], "pid int, ts string").select("pid", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    offs = {i: -60 if i % 100 == 0 else 10 if i % 3 else i % 50 for i in range(900)}
+    ev = spark.createDataFrame(list(offs.items()), "eid int, o int").select(
+        "eid", (F.lit(base).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("o").cast("decimal(18,6)"))).alias("ets"))
+    out = first_in_interval(probes, ev, "ts", "ets", ["eid"], 35, 30, 20)
+    for pid, at in ((1, 0), (2, 40)):
+        near = sorted((o, i) for i, o in offs.items() if at - 35 <= o <= at + 30)
+        assert sorted((r["rank"], r["eid"], r["total"]) for r in out.collect() if r["pid"] == pid) == [(k + 1, i, len(near)) for k, (_, i) in enumerate(near[:20])]
+    out.explain()
+    assert "WindowGroupLimit" in capsys.readouterr().out
