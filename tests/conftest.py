@@ -12,6 +12,12 @@ from loglens.sources import tables as TB  # noqa: E402
 SF_SMALL = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(scope="session")
+def sf_small():
+    """Folder of the smallest tables (a fixture: other folders have a conftest of their own)."""
+    return SF_SMALL
+
+
 @pytest.fixture(scope="session")
 def spark():
     s = get_spark("loglens-tests", master="local[4]", shuffle_partitions=4)

@@ -1,6 +1,5 @@
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
 from loglens import models as M
 from loglens.plans import lifecycle as LC
 from loglens.sources import tables as TB
@@ -26,9 +25,9 @@ def test_stored_detectors_score_new_logs(trained):
     assert [r.total_logs for r in message] == [LC.collected(logs, LATER, DETECT).where(F.length("message") > 0).count()]
 
 
-def test_training_scores_hold_the_contamination(spark, tmp_path):
+def test_training_scores_hold_the_contamination(spark, sf_small, tmp_path):
     root = str(tmp_path / "models")
-    logs = TB.logs(spark, SF_SMALL)
+    logs = TB.logs(spark, sf_small)
     LC.train_forest(logs, root, AS_OF, TRAIN)
     on_train = LC.detect_forest(logs, root, AS_OF, TRAIN).collect()
     assert 0 < sum(r.is_anomaly for r in on_train) <= 0.05 * len(on_train) + 1

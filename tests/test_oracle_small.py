@@ -5,7 +5,6 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
 
 TABLES = "events embeddings documents".split()
 FAST = ["parse_logs", "quarantine_logs", "window_features", "minute_pivot", "dedup_message", "standard_scale",
@@ -28,17 +27,17 @@ def _rows(cols, rows):
 
 
 @pytest.fixture(scope="module")
-def con():
+def con(sf_small):
     c = duckdb.connect()
     for t in TABLES:
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_small}/{t}.parquet')")
     return c
 
 
 @pytest.mark.parametrize("name", FAST)
-def test_query_matches_sql(spark, con, name):
+def test_query_matches_sql(spark, sf_small, con, name):
     spark.catalog.clearCache()
-    df = E.queries()[name](spark, SF_SMALL)
+    df = E.queries()[name](spark, sf_small)
     s_rows = [tuple(r) for r in df.collect()]
     res = con.execute(E.oracle_sql()[name])
     d_cols = [d[0] for d in res.description]
