@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["bpe", "shards", "mixing", "secrets", "linededup", "rules", "quality", "minhash", "htmltext", "nndescent", "urlfilter", "lanczos"]
+MODULES = ["bpe", "shards", "mixing", "secrets", "linededup", "rules", "quality", "minhash", "htmltext", "nndescent", "urlfilter", "lanczos", "trie"]
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
