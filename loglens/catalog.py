@@ -7,7 +7,7 @@ full; time-range parameters are the operators' own predicates.
 from __future__ import annotations
 
 import uuid
-from functools import wraps
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -544,6 +544,7 @@ def alert_outbox_q(spark, sf_dir):
 
 # ---------------------------------------------------------------- incidents
 from .plans import incidents as IN  # noqa: E402
+from .session import checkpointed  # noqa: E402
 from .plans import playbook as PB  # noqa: E402
 from .functions.constants import PLAYBOOK_LOG_LIMIT as C_PLAYBOOK_LIMIT  # noqa: E402
 from .functions.constants import RELATED_LOG_LIMIT as C_RELATED_LIMIT  # noqa: E402
@@ -589,27 +590,48 @@ ctx AS (SELECT incident_id, count(*) AS n, bool_or(log_level = 'ERROR') AS has_e
 
 
 class _Flow:
-    """The incident flow over one sf directory, built once per query call."""
+    """The incident flow over one sf directory.  Each part is made when a query first
+    asks for it; parts that several others use are written to the checkpoint folder
+    (incidents) or persisted (logs; recomputed from lineage if an executor is lost)."""
 
     def __init__(self, spark, sf_dir):
-        # Shared intermediates of the incident DAG are persisted once (memory, spill
-        # to disk; recomputed from lineage if an executor is lost).
-        self.logs = TB.logs(spark, sf_dir).transform(_kept)
-        self.deduped = IN.dedup_anomalies(TB.anomalies(spark, sf_dir))
-        self.incidents = IN.build_incidents(self.deduped).transform(_kept)
-        # at most C_RELATED_LIMIT rows an incident; looked up once for the context,
-        # the playbook and the decisions
-        self.rel = IN.related_logs(self.incidents, self.logs, C_RELATED_LIMIT).transform(_kept)
-        self.ctx = IN.context(self.rel)
-        self.enriched = IN.enrich(self.incidents, self.ctx).transform(_kept)
-        self.requests = IN.workflow_requests(self.incidents)
-        self.serious = self.incidents.where(F.col("severity").isin("high", "critical"))   # without context
-        hc = self.enriched.where(F.col("severity").isin("high", "critical"))
-        self.hc = hc
-        # the playbook's own search: first 100 related logs of the high/critical incidents only
-        self.analysis = PB.analyse(hc, IN.top_related(self.rel, C_PLAYBOOK_LIMIT).join(
-            hc.select("incident_id"), "incident_id", "left_semi"))
-        self.decisions = PB.decide(hc, self.analysis)
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def incidents(self):
+        return checkpointed(IN.build_incidents(IN.dedup_anomalies(TB.anomalies(self.spark, self.sf_dir))))
+
+    @cached_property
+    def related(self):
+        """The logs, numbered once for the context, the playbook and the decisions."""
+        logs = TB.logs(self.spark, self.sf_dir).transform(_kept)      # stands for a stored log table
+        return IN.related_positions(self.incidents, logs, C_RELATED_LIMIT, keep=_kept, cut=checkpointed)
+
+    @cached_property
+    def enriched(self):
+        return checkpointed(IN.enrich(self.incidents, IN.context(self.related)))
+
+    @cached_property
+    def requests(self):
+        return IN.workflow_requests(self.incidents)
+
+    @cached_property
+    def serious(self):
+        """High and critical incidents, without context."""
+        return self.incidents.where(F.col("severity").isin("high", "critical"))
+
+    @cached_property
+    def hc(self):
+        return self.enriched.where(F.col("severity").isin("high", "critical"))
+
+    @cached_property
+    def analysis(self):
+        """The playbook's own search: first 100 related logs of serious incidents only."""
+        return PB.analyse(self.serious, IN.related_logs(self.related, C_PLAYBOOK_LIMIT, self.serious))
+
+    @cached_property
+    def decisions(self):
+        return PB.decide(self.hc, self.analysis)
 
     def events(self):
         res = self.requests.join(self.enriched.select("incident_id", "created_at"), "incident_id").select(
@@ -636,7 +658,8 @@ def incidents_q(spark, sf_dir):
 @query("related_logs", INCIDENT_CTES + """
 SELECT incident_id, event_id, rank FROM rel""")
 def related_logs_q(spark, sf_dir):
-    return _Flow(spark, sf_dir).rel.select("incident_id", "event_id", F.col("rank").cast("bigint").alias("rank"))
+    related = _Flow(spark, sf_dir).related
+    return IN.related_logs(related, C_RELATED_LIMIT).select("incident_id", "event_id", F.col("rank").cast("bigint").alias("rank"))
 
 
 @query("incident_context", INCIDENT_CTES + """
@@ -810,7 +833,7 @@ SELECT incident_id, title AS short_description,
 FROM analysis""")
 def tickets_q(spark, sf_dir):
     f = _Flow(spark, sf_dir)
-    return PB.tickets(f.hc, f.analysis)
+    return PB.tickets(f.serious, f.analysis)
 
 
 @query("response_decision", PLAYBOOK_CTES + """

@@ -9,14 +9,16 @@ the exact bounds are re-checked after the equi-join.  The join is then a
 sort-merge/hash join on ``bucket`` whose exchanges are Spark's own, so AQE can
 split a skewed bucket; every output pair is produced exactly once.
 
-Where only the oldest ``n`` events of each interval are wanted, use
-:func:`first_in_interval`: it numbers the events once and looks intervals up by
-position, so it never builds more than ``n`` pairs a probe however dense the
-events are.
+Where only the oldest ``n`` events of each interval are wanted, or counts over
+them, :func:`positions` numbers the events once; :func:`first_rows` then looks
+rows up by position (never more than ``n`` pairs a probe, however dense the
+events are) and :func:`first_counts` counts values without building rows.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parse import epoch_seconds
@@ -44,47 +46,114 @@ def _day(sec: str):
 
 
 def _running(per_second: DataFrame) -> DataFrame:
-    """(sec, n) → (sec, n, upto): events up to and including each second.  Days
-    are summed first, then seconds within a day: a window never holds more than
-    the days, or the seconds of one day."""
-    days = per_second.groupBy(_day("sec").alias("day")).agg(F.sum("n").alias("dn"))
-    first = days.select("day", (F.sum("dn").over(Window.orderBy("day")) - F.col("dn")).alias("first"))
-    w = Window.partitionBy("day").orderBy("sec")
+    """(sec, n, kept) → (sec, n, kept, upto, kept_upto): events, and numbered
+    events, up to and including each second.  Days are summed first, then seconds
+    within a day: a window never holds more than the days, or the seconds of one
+    day."""
+    days = per_second.groupBy(_day("sec").alias("day")).agg(F.sum("n").alias("dn"), F.sum("kept").alias("dk"))
+    by_day, in_day = Window.orderBy("day"), Window.partitionBy("day").orderBy("sec")
+    first = days.select("day", (F.sum("dn").over(by_day) - F.col("dn")).alias("first"), (F.sum("dk").over(by_day) - F.col("dk")).alias("first_kept"))
     return (per_second.withColumn("day", _day("sec")).join(first, "day")
-            .select("sec", "n", (F.col("first") + F.sum("n").over(w)).alias("upto")))
+            .select("sec", "n", "kept", (F.col("first") + F.sum("n").over(in_day)).alias("upto"),
+                    (F.col("first_kept") + F.sum("kept").over(in_day)).alias("kept_upto")))
 
 
-def first_in_interval(probes: DataFrame, events: DataFrame, probe_ts: str, event_ts: str, order: list[str],
-                      before_seconds: int, after_seconds: int, n: int,
-                      rank_col: str = "rank", total_col: str = "total") -> DataFrame:
-    """The oldest ``n`` events (by ``event_ts``, then ``order``) of each probe's
-    interval [ts - before, ts + after], with their rank and the number of all
-    events of the interval.  Probes without events have no rows.
+@dataclass
+class Positions:
+    """Intervals as ranges of event positions.
+
+    ``ranges``  (_ps, _start, _end, _total): numbered events [_start, _end) of the
+                interval around second ``_ps``, and all of its events;
+    ``placed``  the numbered events with ``_pos``, the first ``n`` of each second;
+    ``probes``  the probes with ``_ps``."""
+    probes: DataFrame
+    ranges: DataFrame
+    placed: DataFrame
+    n: int
 
-    Event times are whole seconds.  Counts per second give each event its
-    position; an interval is then a range of positions, cut to ``n`` and joined
-    on blocks of ``n`` positions, at most two for each probe."""
+
+def positions(probes: DataFrame, events: DataFrame, probe_ts: str, event_ts: str, order: list[str],
+              before_seconds: int, after_seconds: int, n: int, keep=lambda df: df, cut=lambda df: df) -> Positions:
+    """Number the events by time (whole seconds), then ``order``, and find the
+    range of positions of each probe's interval [ts - before, ts + after].
+
+    An interval starts with a second, so place n or later of a second is never
+    among an interval's first n: only the first n events of a second are numbered,
+    and each task cuts its rows of a second before one task orders what is left.
+    ``keep`` is applied to the numbered events, e.g. to persist them; ``cut`` to the
+    tables of seconds, e.g. to checkpoint them, which also keeps plans short."""
     ev = events.withColumn("_sec", epoch_seconds(F.col(event_ts)))
     pr = probes.withColumn("_ps", epoch_seconds(F.col(probe_ts))).where(F.col("_ps").isNotNull())
     per_second = ev.where(F.col("_sec").isNotNull()).groupBy(F.col("_sec").alias("sec")).agg(F.count(F.lit(1)).alias("n"))
     at = pr.select("_ps").distinct().select("_ps", (F.col("_ps") - before_seconds - 1).alias("lo"), (F.col("_ps") + after_seconds).alias("hi"))
     points = at.select(F.explode(F.array("lo", "hi")).alias("sec")).distinct().withColumn("n", F.lit(0).cast("long"))
-    line = _running(per_second.unionByName(points).groupBy("sec").agg(F.sum("n").alias("n")))
-    upto = line.select("sec", "upto")
-    ranges = (at.join(upto.select(F.col("sec").alias("lo"), F.col("upto").alias("_start")), "lo")
-              .join(upto.select(F.col("sec").alias("hi"), F.col("upto").alias("_end")), "hi")
-              .where(F.col("_end") > F.col("_start")).select("_ps", "_start", "_end"))
-    before = line.where(F.col("n") > 0).select(F.col("sec").alias("_sec"), (F.col("upto") - F.col("n")).alias("_first"))
-    # an interval starts with a second, so place n or later of a second is never among its first n:
-    # the filter lets each task cut its rows of a second before the exchange
+    line = cut(_running(per_second.unionByName(points).groupBy("sec").agg(F.sum("n").alias("n")).withColumn("kept", F.least("n", F.lit(n).cast("long")))))
+    low = line.select(F.col("sec").alias("lo"), F.col("upto").alias("_before"), F.col("kept_upto").alias("_start"))
+    high = line.select(F.col("sec").alias("hi"), F.col("upto"), F.col("kept_upto").alias("_end"))
+    ranges = cut(at.join(low, "lo").join(high, "hi").where(F.col("_end") > F.col("_start"))
+                 .select("_ps", "_start", "_end", (F.col("upto") - F.col("_before")).alias("_total")))
+    first = line.where(F.col("n") > 0).select(F.col("sec").alias("_sec"), (F.col("kept_upto") - F.col("kept")).alias("_first"))
     own = ev.withColumn("_own", F.row_number().over(Window.partitionBy("_sec").orderBy(*order))).where(F.col("_own") <= n)
-    placed = own.join(before, "_sec").withColumn("_pos", F.col("_first") + F.col("_own") - 1).drop("_first", "_sec", "_own")
-    last = F.least(F.col("_end"), F.col("_start") + n) - 1
-    p = (pr.join(ranges, "_ps").withColumn("_last", last)
-         .withColumn("_b", F.explode(F.sequence(F.floor(F.col("_start") / n), F.floor(F.col("_last") / n)))).drop("_ps"))
-    e = placed.withColumn("_b", F.floor(F.col("_pos") / n))
+    placed = own.join(first, "_sec").withColumn("_pos", F.col("_first") + F.col("_own") - 1).drop("_first", "_sec", "_own")
+    return Positions(pr, ranges, keep(placed), n)
+
+
+def first_rows(at: Positions, k: int, probes: DataFrame | None = None, rank_col: str = "rank", total_col: str = "total") -> DataFrame:
+    """The oldest ``k`` events (at most ``at.n``) of each probe's interval, with
+    their rank and the number of all events of the interval.  A range is cut to k
+    and joined on blocks of k positions, at most two for each probe; ``probes``
+    (with ``_ps``) restricts the lookup to some of them."""
+    if k > at.n:
+        raise ValueError("more rows asked for than are numbered")
+    last = F.least(F.col("_end"), F.col("_start") + k) - 1
+    p = ((at.probes if probes is None else probes).join(at.ranges, "_ps").withColumn("_last", last)
+         .withColumn("_b", F.explode(F.sequence(F.floor(F.col("_start") / k), F.floor(F.col("_last") / k)))).drop("_ps"))
+    e = at.placed.withColumn("_b", F.floor(F.col("_pos") / k))
     j = p.join(e, (p["_b"] == e["_b"]) & (F.col("_pos") >= F.col("_start")) & (F.col("_pos") <= F.col("_last")))
     return (j.drop(p["_b"]).drop(e["_b"])
             .withColumn(rank_col, (F.col("_pos") - F.col("_start") + 1).cast("int"))
-            .withColumn(total_col, F.col("_end") - F.col("_start"))
+            .withColumnRenamed("_total", total_col)
             .drop("_pos", "_start", "_end", "_last"))
+
+
+#: Positions of a block of the cube, and blocks after which its sums start anew.
+CUBE_BLOCK, CUBE_SPAN = 64, 16
+
+
+def first_counts(at: Positions, values: dict[str, Column]) -> DataFrame:
+    """(_ps, kind, value, n): how often each value occurs among the first ``at.n``
+    events of each interval; ``values`` maps a kind to a column of the events.
+
+    A cube holds, for each block of CUBE_BLOCK positions, the counts of each value
+    from the start of its span (CUBE_SPAN blocks) to the start of the block, so
+    its size doesn't depend on the vocabulary.  The count up to a position is its
+    block's cube cells and the block's rows down to it; an interval is the
+    difference of two such positions, plus the span ends it passes."""
+    width = CUBE_BLOCK * CUBE_SPAN
+    pairs = F.array(*[F.struct(F.lit(k).alias("kind"), v.cast("string").alias("value")) for k, v in values.items()])
+    cells = at.placed.select("_pos", F.explode(pairs).alias("c")).select(F.floor(F.col("_pos") / CUBE_BLOCK).alias("_b"), "_pos", "c.kind", "c.value")
+    own = cells.groupBy("_b", "kind", "value").agg(F.count(F.lit(1)).alias("m"))
+    last = (F.floor(F.col("_b") / CUBE_SPAN) + 1) * CUBE_SPAN - 1
+    later = own.where(F.col("_b") < last).select(F.explode(F.sequence(F.col("_b") + 1, last)).alias("_b"), "kind", "value", "m")
+    cube = later.groupBy("_b", "kind", "value").agg(F.sum("m").alias("m"))
+
+    # counts up to and including position q, with a sign, add up to an interval's
+    start, end = F.col("_start"), F.least(F.col("_end"), F.col("_start") + at.n) - 1
+    span = lambda q: F.floor(q / width)
+    q = lambda sign, at_: F.struct(F.lit(sign).alias("sign"), at_.cast("long").alias("q"))
+    ends = F.transform(F.sequence(span(start), span(end)), lambda s: q(1, F.least((s + 1) * width - 1, end)))
+    below = F.when(start % width > 0, F.array(q(-1, start - 1))).otherwise(F.array().cast("array<struct<sign:int,q:bigint>>"))
+    asked = at.ranges.select("_ps", F.explode(F.concat(ends, below)).alias("p")).select(
+        "_ps", "p.sign", "p.q", F.floor(F.col("p.q") / CUBE_BLOCK).alias("_b"))
+    whole = asked.join(cube, "_b").select("_ps", "kind", "value", (F.col("sign") * F.col("m")).alias("m"))
+    part = asked.join(cells, (asked["_b"] == cells["_b"]) & (F.col("_pos") <= F.col("q"))).select("_ps", "kind", "value", F.col("sign").cast("long").alias("m"))
+    return whole.unionByName(part).groupBy("_ps", "kind", "value").agg(F.sum("m").alias("n")).where("n > 0")
+
+
+def first_in_interval(probes: DataFrame, events: DataFrame, probe_ts: str, event_ts: str, order: list[str],
+                      before_seconds: int, after_seconds: int, n: int,
+                      rank_col: str = "rank", total_col: str = "total") -> DataFrame:
+    """The oldest ``n`` events of each probe's interval (see :func:`positions` and
+    :func:`first_rows`).  Probes without events have no rows."""
+    at = positions(probes, events, probe_ts, event_ts, order, before_seconds, after_seconds, n)
+    return first_rows(at, n, rank_col=rank_col, total_col=total_col)

@@ -2,9 +2,10 @@
 event-sourced state, upserts/partial updates, workflow-request outbox.
 
 All steps are DataFrame jobs over the whole anomaly table.  Related logs come
-from one positional interval lookup for all incidents at once (not one search
-per incident), oldest first; the context takes the first 1000 of them and the
-playbook its first 100, so a dense time costs no more pairs than a quiet one.
+from one numbering of the logs for all incidents at once (not one search per
+incident), oldest first.  The context counts the first 1000 of them from running
+counts per block of positions; rows are looked up only for the 10 samples and,
+for the playbook, for the first 100 of serious incidents.
 """
 from __future__ import annotations
 
@@ -15,7 +16,7 @@ from ..functions import constants as C
 from ..functions.parse import ts_text
 from ..functions.severity import severity
 from ..operators.dedup import keep_first
-from ..operators.interval_join import first_in_interval
+from ..operators.interval_join import Positions, first_counts, first_rows, positions
 
 
 def _name(det: Column) -> Column:
@@ -82,46 +83,46 @@ def build_incidents(deduped: DataFrame, created_at: Column | None = None) -> Dat
                       ("anomaly_id", "severity", "detector_type", "timestamp")]))
 
 
-def related_logs(incidents: DataFrame, logs: DataFrame, limit: int = C.RELATED_LOG_LIMIT,
-                 before_min: int = C.RELATED_BEFORE_MINUTES, after_min: int = C.RELATED_AFTER_MINUTES,
-                 log_cols: tuple = ("event_id", "event_ts", "timestamp", "log_level", "component",
-                                    "message", "source_file")) -> DataFrame:
-    """(incident_id, anomaly_id, log columns..., rank, related_logs_total) of the
-    oldest ``limit`` logs in [ts - before, ts + after].  Null incident times match
-    nothing; the total counts all logs of the interval, past the limit too."""
-    probes = incidents.select("incident_id", "anomaly_id", F.col("timestamp").alias("_its"))
-    return first_in_interval(probes, logs.select(*log_cols), "_its", "event_ts", ["event_id"], before_min * 60, after_min * 60,
-                             limit, total_col="related_logs_total").drop("_its")
+LOG_COLUMNS = ("event_id", "event_ts", "timestamp", "log_level", "component", "message", "source_file")
 
 
-def top_related(rel: DataFrame, n: int) -> DataFrame:
-    return rel.where(F.col("rank") <= n)
+def related_positions(incidents: DataFrame, logs: DataFrame, limit: int = C.RELATED_LOG_LIMIT,
+                      before_min: int = C.RELATED_BEFORE_MINUTES, after_min: int = C.RELATED_AFTER_MINUTES,
+                      log_cols: tuple = LOG_COLUMNS, keep=lambda df: df, cut=lambda df: df) -> Positions:
+    """Where the oldest ``limit`` logs in [ts - before, ts + after] of each incident
+    lie among all logs.  Null incident times match nothing."""
+    probes = incidents.select("incident_id", "anomaly_id", F.col("timestamp").alias("_its"))
+    return positions(probes, logs.select(*log_cols), "_its", "event_ts", ["event_id"], before_min * 60, after_min * 60, limit, keep, cut)
 
 
-def context(rel: DataFrame, samples: int = C.CONTEXT_SAMPLES) -> DataFrame:
-    """Per incident with related logs: their count (at most the limit of ``rel``),
-    the uncapped total, level and component counts (missing → 'unknown'), the
-    first ``samples`` logs.  One pass over ``rel``: a partial aggregate by
-    (incident, level, component), then one row per incident."""
+def related_logs(at: Positions, first: int, incidents: DataFrame | None = None) -> DataFrame:
+    """(incident_id, anomaly_id, log columns..., rank, related_logs_total) of the
+    ``first`` related logs of each incident, or of the given ones; the total counts
+    all logs of the interval, past any limit."""
+    probes = at.probes if incidents is None else at.probes.join(incidents.select("incident_id"), "incident_id", "left_semi")
+    return first_rows(at, first, probes, total_col="related_logs_total").drop("_its")
+
+
+def context(at: Positions, samples: int = C.CONTEXT_SAMPLES) -> DataFrame:
+    """Per incident with related logs: their count (at most the limit of ``at``),
+    the uncapped total, level and component counts (missing → 'unknown') and the
+    first ``samples`` logs.  Counts come from the position cube, once for all
+    incidents of a second; only the samples are looked up as rows."""
+    known = {"level": F.coalesce("log_level", F.lit("unknown")), "component": F.coalesce("component", F.lit("unknown"))}
+    n = F.col("n").cast("bigint")
+    pairs = lambda kind: F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("value", n)))))
+    stats = first_counts(at, known).groupBy("_ps").agg(pairs("level").alias("log_level_stats"), pairs("component").alias("component_stats"))
     log = F.struct("rank", "timestamp", "log_level", "component", "message", "source_file")
-    cells = rel.groupBy("incident_id", F.coalesce("log_level", F.lit("unknown")).alias("level"),
-                        F.coalesce("component", F.lit("unknown")).alias("comp")).agg(
-        F.count(F.lit(1)).alias("n"), F.max("related_logs_total").alias("total"),
-        F.collect_list(F.when(F.col("rank") <= samples, log)).alias("s"))
-    per = cells.groupBy("incident_id").agg(
-        F.sum("n").alias("n"), F.max("total").alias("total"), F.collect_list(F.struct("level", "comp", "n")).alias("c"),
-        F.array_sort(F.flatten(F.collect_list("s"))).alias("s"))
-
-    def counts(field):
-        keys = F.array_distinct(F.transform("c", lambda e: e[field]))
-        return F.map_from_entries(F.transform(keys, lambda k: F.struct(k.alias("key"), F.aggregate(
-            F.filter("c", lambda e: e[field] == k), F.lit(0).cast("long"), lambda t, e: t + e["n"]).alias("value"))))
-
-    return per.select("incident_id", F.col("total").alias("related_logs_total"), F.struct(
-        F.col("n").cast("bigint").alias("related_logs_count"), counts("level").alias("log_level_stats"), counts("comp").alias("component_stats"),
-        F.transform("s", lambda x: F.struct(x["timestamp"].alias("timestamp"), x["log_level"].alias("log_level"),
-                                            x["component"].alias("component"), x["message"].alias("message"),
-                                            x["source_file"].alias("source_file"))).alias("log_samples")).alias("context"))
+    one_each = at.ranges.select("_ps")          # incidents of one second share their context
+    shown = first_rows(at, samples, one_each.withColumn("_s", F.col("_ps"))).groupBy("_s").agg(F.array_sort(F.collect_list(log)).alias("s"))
+    count = F.least(F.col("_end") - F.col("_start"), F.lit(at.n))
+    per = (at.ranges.join(stats, "_ps").join(shown, F.col("_ps") == F.col("_s"))
+           .select("_ps", F.col("_total").alias("related_logs_total"), F.struct(
+               count.cast("bigint").alias("related_logs_count"), "log_level_stats", "component_stats",
+               F.transform("s", lambda x: F.struct(x["timestamp"].alias("timestamp"), x["log_level"].alias("log_level"),
+                                                   x["component"].alias("component"), x["message"].alias("message"),
+                                                   x["source_file"].alias("source_file"))).alias("log_samples")).alias("context")))
+    return at.probes.select("incident_id", "_ps").join(per, "_ps").drop("_ps")
 
 
 def action(action_type: str | Column, desc: Column, ts: Column, status: str = "completed") -> Column:

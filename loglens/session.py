@@ -10,7 +10,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the plans in this package.  AQE re-plans joins at
 # runtime (size-checked broadcast, skew splitting, partition coalescing).
@@ -61,6 +61,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` as files of the shared checkpoint folder: a lost executor costs
+    nothing, and plans built on it start there."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)

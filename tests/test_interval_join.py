@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from loglens.operators import interval_join as IJ
 from loglens.operators.interval_join import first_in_interval, interval_join
 
 
@@ -32,3 +33,33 @@ def test_one_dense_second_is_cut_before_it_is_ordered(spark, capsys):
         assert sorted((r["rank"], r["eid"], r["total"]) for r in out.collect() if r["pid"] == pid) == [(k + 1, i, len(near)) for k, (_, i) in enumerate(near[:20])]
     out.explain()
     assert "WindowGroupLimit" in capsys.readouterr().out
+
+
+def test_counts_of_first_events_against_brute_force(spark, monkeypatch):
+    import random
+    from collections import Counter
+
+    monkeypatch.setattr(IJ, "CUBE_BLOCK", 4)
+    monkeypatch.setattr(IJ, "CUBE_SPAN", 3)
+    rng = random.Random(6)
+    at = lambda c: F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col(c).cast("decimal(18,6)"))
+    ev = [(i, 500 if i % 3 == 0 else rng.randrange(2000), rng.choice(["a", "b", None, f"v{i}"]), rng.choice("xyz")) for i in range(400)]
+    pr = [(i, rng.randrange(-50, 2100)) for i in range(120)] + [(200, None)]
+    events = spark.createDataFrame(ev, "eid int, o int, level string, comp string").withColumn("ets", at("o"))
+    probes = spark.createDataFrame(pr, "pid int, o int").select("pid", "o", at("o").alias("ts"))
+    for n in (1, 13, 60):
+        where = IJ.positions(probes, events, "ts", "ets", ["eid"], 90, 20, n)
+        got = IJ.first_counts(where, {"level": F.col("level"), "comp": F.upper("comp")})
+        per = {}
+        for r in got.join(where.probes, "_ps").collect():
+            per.setdefault(r.pid, {})[(r.kind, r.value)] = r.n
+        want = {}
+        for pid, o in pr:
+            near = sorted((t, i, lv, c) for i, t, lv, c in ev if o is not None and o - 90 <= t <= o + 20)[:n] if o is not None else []
+            if near:
+                want[pid] = dict(Counter([("level", x[2]) for x in near] + [("comp", x[3].upper()) for x in near]))
+        assert per == want
+        totals = {r.pid: (r["_end"] - r["_start"], r["_total"]) for r in where.ranges.join(where.probes, "_ps").collect()}
+        full = {p: sum(o - 90 <= t <= o + 20 for _, t, *_ in ev) for p, o in pr if o is not None}
+        assert {p: t[1] for p, t in totals.items()} == {p: c for p, c in full.items() if c}
+        assert all(min(t[0], n) == min(t[1], n) for t in totals.values())
