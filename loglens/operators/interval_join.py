@@ -117,7 +117,7 @@ def first_rows(at: Positions, k: int, probes: DataFrame | None = None, rank_col:
 
 
 #: Positions of a block of the cube, and blocks after which its sums start anew.
-CUBE_BLOCK, CUBE_SPAN = 64, 16
+CUBE_BLOCK, CUBE_SPAN = 16, 64
 
 
 def first_counts(at: Positions, values: dict[str, Column]) -> DataFrame:
