@@ -711,19 +711,25 @@ def incident_lookup(spark, sf_dir):
 
 
 _STATE_SQL = INCIDENT_CTES + """,
-st AS (SELECT i.incident_id, coalesce(c.n, 0) > 0 AS has_ctx, i.severity IN ('high', 'critical') AS is_hc
+st AS (SELECT i.incident_id, c.n, coalesce(c.n, 0) > 0 AS has_ctx, i.severity IN ('high', 'critical') AS is_hc
        FROM incidents i LEFT JOIN ctx c USING (incident_id))"""
 
 
+def _actions_text(col):
+    return F.array_join(F.transform(col, lambda a: F.concat(a["action_type"], F.lit(": "), a["description"])), " | ")
+
+
 @query("incident_state", _STATE_SQL + """
 SELECT incident_id, CASE WHEN is_hc THEN 'responded' ELSE 'new' END AS status,
   CAST(has_ctx AS INTEGER) + CASE WHEN is_hc THEN 3 ELSE 0 END AS n_actions,
-  CASE WHEN is_hc THEN 'automated_response' WHEN has_ctx THEN 'context_enrichment' END AS last_action
+  concat_ws(' | ', CASE WHEN has_ctx THEN 'context_enrichment: 관련 로그 ' || CAST(n AS VARCHAR) || '개를 추가하여 컨텍스트 정보 보강' END,
+    CASE WHEN is_hc THEN 'workflow_execution: 워크플로우 실행 시작 (실행 ID: ' || incident_id || ')' END,
+    CASE WHEN is_hc THEN 'status_change: 인시던트 상태가 ''in_progress''(으)로 변경되었습니다. 사유: 자동화된 워크플로우 실행 중' END,
+    CASE WHEN is_hc THEN 'automated_response: 자동화된 대응 수행 완료' END) AS actions
 FROM st""")
 def incident_state_q(spark, sf_dir):
     s = IN.incident_state(_Flow(spark, sf_dir).events())
-    return s.select("incident_id", "status", F.size("actions").alias("n_actions"),
-                    F.try_element_at(F.col("actions"), F.lit(-1)).getField("action_type").alias("last_action"))
+    return s.select("incident_id", "status", F.size("actions").alias("n_actions"), _actions_text("actions").alias("actions"))
 
 
 @query("incident_update", _STATE_SQL + """
@@ -1002,18 +1008,36 @@ def detector_cycle(spark, sf_dir):
     return found.withColumn("n_clusters", F.size("cluster_stats")).drop("cluster_stats")
 
 
-@query("workflow_outcomes", INCIDENT_CTES + """
-SELECT incident_id, CASE WHEN severity = 'high' THEN 'new' ELSE 'in_progress' END AS status,
-  CASE WHEN severity = 'high' THEN 'workflow_execution_failed' ELSE 'status_change' END AS last_action,
-  CASE WHEN severity = 'high' THEN '워크플로우 실행 실패: HTTP 503' END AS failure FROM hc""")
+@query("workflow_outcomes", INCIDENT_CTES + """,
+told AS (SELECT *, CASE WHEN anomaly_id % 5 = 0 THEN 'error' WHEN severity = 'high' THEN 'failed' ELSE 'accepted' END AS outcome FROM hc)
+SELECT incident_id, CASE WHEN outcome = 'accepted' THEN 'in_progress' ELSE 'new' END AS status,
+  CASE outcome WHEN 'accepted' THEN 'workflow_execution: 워크플로우 실행 시작 (실행 ID: ' || incident_id ||
+      ') | status_change: 인시던트 상태가 ''in_progress''(으)로 변경되었습니다. 사유: 자동화된 워크플로우 실행 중'
+    WHEN 'failed' THEN 'workflow_execution_failed: 워크플로우 실행 실패: HTTP 503'
+    ELSE 'workflow_execution_error: 워크플로우 실행 중 오류 발생: no result within 10 minutes' END AS actions,
+  CASE outcome WHEN 'error' THEN timestamp + INTERVAL 10 MINUTE ELSE timestamp + INTERVAL 30 SECOND END AS updated_at FROM told""")
 def workflow_outcomes(spark, sf_dir):
-    """State after workflow results of which those of high incidents failed."""
+    """State after workflow requests whose results came (those of high incidents
+    failed) or, for every fifth anomaly, didn't come in time."""
     inc = IN.build_incidents(IN.dedup_anomalies(TB.anomalies(spark, sf_dir)))
     inc = inc.where(F.col("severity").isin("high", "critical")).withColumn("actions", F.array().cast(ACTIONS_TYPE))
     failed = F.col("severity") == "high"
-    results = inc.select("incident_id", F.col("created_at").alias("event_time"), (~failed).alias("accepted"),
-                         F.when(~failed, F.col("incident_id")).alias("execution_id"), F.when(failed, F.lit("HTTP 503")).alias("error"))
+    answers = inc.where(F.col("anomaly_id") % 5 != 0).select(
+        "incident_id", (F.col("created_at") + F.expr("INTERVAL 30 SECONDS")).alias("result_at"), (~failed).alias("accepted"),
+        F.when(~failed, F.col("incident_id")).alias("execution_id"), F.when(failed, F.lit("HTTP 503")).alias("error"))
+    results = IN.workflow_results(inc.select("incident_id", F.col("created_at").alias("requested_at")), answers)
     s = IN.incident_state(IN.incident_events(inc, results))
-    last = F.try_element_at(F.col("actions"), F.lit(-1))
-    return s.select("incident_id", "status", last["action_type"].alias("last_action"),
-                    F.when(last["action_type"] == "workflow_execution_failed", last["description"]).alias("failure"))
+    return s.select("incident_id", "status", _actions_text("actions").alias("actions"), "updated_at")
+
+
+@query("detector_windows", O.with_ctes(O.LOGS) + f"""
+SELECT window_start, feature, count(*) AS n FROM (
+  SELECT window_start, unnest(list_filter(['log_level_' || log_level, 'component_' || component,
+      'hour_' || CAST(hour(collected_at) AS VARCHAR), {_KW_DUCK}], lambda x: x IS NOT NULL)) AS feature
+  FROM (SELECT *, time_bucket(INTERVAL 30 SECOND, collected_at, TIMESTAMP '1970-01-01') - to_seconds(30 * unnest(range(0, 10))) AS window_start FROM logs))
+GROUP BY ALL""")
+def detector_windows(spark, sf_dir):
+    """Feature counts of 5-minute windows every 30 seconds of collection time: each
+    row is counted in one 30-second pane, windows are sums of ten panes."""
+    panes = FT.pane_counts(TB.logs(spark, sf_dir), "30 seconds", ts="collected_at")
+    return FT.from_panes(panes, "5 minutes", "30 seconds").select("window_start", "feature", "n")

@@ -65,6 +65,21 @@ def window_features(logs: DataFrame, width: str = "5 minutes", slide: str | None
     return feature_counts(logs, time_windows(F.col(ts), width, slide), window_feature_names(ts=ts))
 
 
+def pane_counts(logs: DataFrame, slide: str = "30 seconds", ts: str = "event_ts") -> DataFrame:
+    """(pane, feature, n): counts per tumbling pane of one ``slide``, so a row is
+    counted once however many sliding windows hold it."""
+    return window_features(logs, slide, ts=ts).withColumnRenamed("bucket", "pane")
+
+
+def from_panes(panes: DataFrame, width: str = "5 minutes", slide: str = "30 seconds") -> DataFrame:
+    """(window_start, feature, n) of the sliding windows, as sums of their panes;
+    ``width`` must be a multiple of ``slide``."""
+    w, s = F.expr(f"INTERVAL {width}"), F.expr(f"INTERVAL {slide}")
+    starts = F.sequence(F.col("pane") - w + s, F.col("pane"), s)
+    return (panes.select(F.explode(starts).alias("window_start"), "feature", "n")
+            .groupBy("window_start", "feature").agg(F.sum("n").alias("n")))
+
+
 def minute_features(logs: DataFrame, keys: list[str] | None = None, ts: str = "event_ts") -> DataFrame:
     return feature_counts(logs, F.date_trunc("minute", F.col(ts)).cast("timestamp_ntz"),
                           minute_feature_names(), keys)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
-from ..functions.parse import ts_text
+from ..functions.parse import from_zoned, ts_text
 from ..functions.severity import severity
 from ..operators.dedup import keep_first
 from ..operators.interval_join import Positions, first_counts, first_rows, positions
@@ -45,8 +45,11 @@ def dedup_anomalies(anoms: DataFrame) -> DataFrame:
 
 
 def incident_id(anomaly: DataFrame) -> Column:
-    return F.md5(F.concat_ws("_", ts_text(F.col("timestamp")), F.col("detector_type"),
-                             F.col("anomaly_id").cast("string")))
+    """md5 of time, detector and record id; a record without an id goes by its
+    score or error instead, so two of one second keep apart."""
+    extra = F.coalesce(F.col("anomaly_score").cast("string"), F.col("mean_error").cast("string"), F.lit(""))
+    own = F.coalesce(F.col("anomaly_id").cast("string"), F.concat(F.lit("no id "), extra))
+    return F.md5(F.concat_ws("_", ts_text(F.col("timestamp")), F.col("detector_type"), own))
 
 
 def title(det: Column) -> Column:
@@ -157,14 +160,30 @@ def workflow_requests(incidents: DataFrame) -> DataFrame:
     return hc.select("incident_id", "severity", arg.alias("execution_argument"))
 
 
+def workflow_results(requests: DataFrame, results: DataFrame, within: str = "10 minutes", zoned_times: bool = False) -> DataFrame:
+    """(incident_id, event_time, outcome, execution_id, error): what became of each
+    workflow request (incident_id, requested_at).  A result (incident_id,
+    result_at, accepted, execution_id, error) counts if it comes within that time
+    of its request; a request without one has the outcome ``error`` at its end.
+    Batch tables or streams with watermarks on both times (``zoned_times``)."""
+    end = F.col("requested_at") + F.expr(f"INTERVAL {within}")
+    r = results.select(F.col("incident_id").alias("_id"), "result_at", "accepted", "execution_id", F.col("error").alias("_error"))
+    j = requests.join(r, (F.col("incident_id") == F.col("_id")) & (F.col("result_at") >= F.col("requested_at")) & (F.col("result_at") <= end), "left")
+    at = F.coalesce("result_at", end)
+    none = F.col("_id").isNull()
+    return j.select("incident_id", (from_zoned(at) if zoned_times else at).alias("event_time"),
+                    F.when(none, "error").when(F.col("accepted"), "accepted").otherwise("failed").alias("outcome"), "execution_id",
+                    F.when(none, F.lit("no result within " + within)).otherwise(F.col("_error")).alias("error"))
+
+
 def incident_events(enriched: DataFrame, results: DataFrame | None = None,
                     closes: DataFrame | None = None) -> DataFrame:
     """Event log rows (incident_id, event_time, seq, status, action).
 
     seq 0 creation (status new), 1 context action, then for accepted workflow
     results a ``workflow_execution`` action and a status change to
-    ``in_progress``; failed results add ``workflow_execution_failed``; playbook
-    closes set ``responded`` with an ``automated_response`` action.
+    ``in_progress``; failed results add ``workflow_execution_failed``, requests that
+    came to nothing ``workflow_execution_error`` (``outcome``); playbook closes set ``responded`` with an ``automated_response`` action.
     """
     t = F.col("created_at")
     created = enriched.select("incident_id", t.alias("event_time"), F.lit(0).alias("seq"),
@@ -175,7 +194,9 @@ def incident_events(enriched: DataFrame, results: DataFrame | None = None,
         F.get("actions", F.lit(0)).alias("action"))
     parts = [created, ctx]
     if results is not None:
-        ok = results.where(F.col("accepted"))
+        if "outcome" not in results.columns:
+            results = results.withColumn("outcome", F.when(F.col("accepted"), "accepted").otherwise("failed"))
+        ok = results.where(F.col("outcome") == "accepted")
         parts.append(ok.select("incident_id", F.col("event_time"), F.lit(2).alias("seq"),
                                F.lit(None).cast("string").alias("status"),
                                action("workflow_execution", F.concat(F.lit("워크플로우 실행 시작 (실행 ID: "),
@@ -184,11 +205,13 @@ def incident_events(enriched: DataFrame, results: DataFrame | None = None,
         parts.append(ok.select("incident_id", F.col("event_time"), F.lit(3).alias("seq"), F.lit("in_progress").alias("status"),
                                action("status_change", F.lit("인시던트 상태가 'in_progress'(으)로 변경되었습니다. 사유: 자동화된 워크플로우 실행 중"),
                                       F.col("event_time")).alias("action")))
-        bad = results.where(~F.col("accepted"))
+        bad = results.where(F.col("outcome") != "accepted")
+        failed = F.col("outcome") == "failed"
         parts.append(bad.select("incident_id", F.col("event_time"), F.lit(2).alias("seq"),
                                 F.lit(None).cast("string").alias("status"),
-                                action("workflow_execution_failed", F.concat(F.lit("워크플로우 실행 실패: "),
-                                                                             F.coalesce(F.col("error"), F.lit(""))),
+                                action(F.when(failed, "workflow_execution_failed").otherwise("workflow_execution_error"),
+                                       F.concat(F.when(failed, "워크플로우 실행 실패: ").otherwise("워크플로우 실행 중 오류 발생: "),
+                                                F.coalesce(F.col("error"), F.lit(""))),
                                        F.col("event_time")).alias("action")))
     if closes is not None:
         parts.append(closes.select("incident_id", F.col("event_time"), F.lit(4).alias("seq"),
