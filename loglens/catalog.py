@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle as O
+from .functions import constants as CN
 from .functions.parse import ts_text
 from .functions.severity import severity
 from .operators.stats import zscore, zscore_fit
@@ -522,24 +523,45 @@ _NAME_SQL = """CASE upper(a.detector_type) WHEN 'ISOLATION_FOREST' THEN '구조
   WHEN 'BERT' THEN '로그 메시지 의미 분석' ELSE upper(a.detector_type) END"""
 
 
+_SLACK_SQL = f"""to_json({{channel: '{CN.SLACK_CHANNEL}', username: '{CN.SLACK_USER}', icon_emoji: '{CN.SLACK_ICON}', attachments: [{{
+  fallback: message, pretext: '{CN.SLACK_PRETEXT}', title: message, color: color,
+  fields: list_concat([{{title: '{CN.SEVERITY_LABEL}', value: upper(severity), short: true}}, {{title: '{CN.DETECTED_LABEL}', value: sent, short: true}}],
+    list_transform(string_split(details_text, chr(10)), lambda x: {{title: split_part(x, ': ', 1), value: substr(x, length(split_part(x, ': ', 1)) + 3), short: true}})),
+  footer: '{CN.SLACK_FOOTER}', footer_icon: '{CN.SLACK_FOOTER_ICON}', ts: epoch(timestamp)::BIGINT}}]}})::VARCHAR"""
+_ESCAPED_SQL = "replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
+
+
+def _filled_sql(template, *values):
+    texts = template.split("{}")
+    return " || ".join([f"'{texts[0]}'", *[c for v, t in zip(values, texts[1:]) for c in (v, f"'{t}'")]])
+
+
+_MAIL_ROWS_SQL = f"""array_to_string(list_transform(string_split(details_text, chr(10)), lambda x: {_filled_sql(
+    AL.MAIL_ROW, _ESCAPED_SQL.format("split_part(x, ': ', 1)"), _ESCAPED_SQL.format("substr(x, length(split_part(x, ': ', 1)) + 3)"))}), '')"""
+_MAIL_SQL = _filled_sql(AL.MAIL_BODY, "severity", "upper(severity)", "sent", _ESCAPED_SQL.format("message"), f"({_filled_sql(AL.MAIL_TABLE, _MAIL_ROWS_SQL)})")
+
+
 @query("alert_outbox", COOLDOWN_SQL + f""",
-chans AS (SELECT 'slack' AS channel UNION ALL SELECT 'email')
-SELECT d.anomaly_id, d.detector_type, d.severity, c.channel,
-  {_NAME_SQL} || '에서 비정상 로그 패턴이 감지되었습니다.' AS message,
-  CASE WHEN c.channel = 'email' THEN
-    CASE d.severity WHEN 'critical' THEN '[긴급]' WHEN 'high' THEN '[중요]' ELSE '[알림]' END
-    || ' 보안 경고: ' || {_NAME_SQL} || '에서 비정상 패턴 감지' END AS subject,
-  CASE WHEN c.channel = 'slack' THEN CASE d.severity WHEN 'low' THEN '#36a64f' WHEN 'medium' THEN '#ffd700'
-    WHEN 'high' THEN '#ff9900' WHEN 'critical' THEN '#ff0000' ELSE '#777777' END END AS color,
-  {_DETAILS_SQL} AS details_text
-FROM decided d JOIN anomalies a USING (anomaly_id) JOIN chans c
-  ON c.channel = 'slack' OR d.severity IN ('high', 'critical')
-WHERE d.sent""")
+chans AS (SELECT 'slack' AS channel UNION ALL SELECT 'email'),
+told AS (
+  SELECT d.anomaly_id, d.detector_type, d.severity, c.channel, a.timestamp, strftime(a.timestamp, '%Y-%m-%d %H:%M:%S') AS sent,
+    {_NAME_SQL} || '에서 비정상 로그 패턴이 감지되었습니다.' AS message,
+    CASE WHEN c.channel = 'email' THEN
+      CASE d.severity WHEN 'critical' THEN '[긴급]' WHEN 'high' THEN '[중요]' ELSE '[알림]' END
+      || ' 보안 경고: ' || {_NAME_SQL} || '에서 비정상 패턴 감지' END AS subject,
+    CASE WHEN c.channel = 'slack' THEN CASE d.severity WHEN 'low' THEN '#36a64f' WHEN 'medium' THEN '#ffd700'
+      WHEN 'high' THEN '#ff9900' WHEN 'critical' THEN '#ff0000' ELSE '#777777' END END AS color,
+    {_DETAILS_SQL} AS details_text
+  FROM decided d JOIN anomalies a USING (anomaly_id) JOIN chans c
+    ON c.channel = 'slack' OR d.severity IN ('high', 'critical')
+  WHERE d.sent)
+SELECT anomaly_id, detector_type, severity, channel, message, subject, color, details_text,
+  CASE WHEN channel = 'slack' THEN {_SLACK_SQL} ELSE {_MAIL_SQL} END AS payload FROM told""")
 def alert_outbox_q(spark, sf_dir):
     out = AL.alert_outbox(_evaluated(spark, sf_dir))
     return out.select("anomaly_id", "detector_type", "severity", "channel", "message", "subject",
                       F.when(F.col("channel") == "slack", AL.slack_color(F.col("severity"))).alias("color"),
-                      AL.details_text(F.col("details")).alias("details_text"))
+                      AL.details_text(F.col("details")).alias("details_text"), "payload")
 
 
 # ---------------------------------------------------------------- incidents

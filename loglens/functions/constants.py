@@ -34,6 +34,32 @@ SEVERITY_COLORS = {
 }
 DEFAULT_COLOR = "#777777"
 
+# Texts of alerts and their channels.
+ALERT_TEXT = "에서 비정상 로그 패턴이 감지되었습니다."
+SUBJECT_HEAD = " 보안 경고: "
+SUBJECT_TAIL = "에서 비정상 패턴 감지"
+SEVERITY_LABEL = "심각도"
+DETECTED_LABEL = "탐지 시간"
+SLACK_CHANNEL = "#security-alerts"
+SLACK_USER = "보안 알림 봇"
+SLACK_ICON = ":warning:"
+SLACK_PRETEXT = "보안 알림이 발생했습니다!"
+SLACK_FOOTER = "AI 기반 로그 이상 탐지 시스템"
+SLACK_FOOTER_ICON = "https://platform.slack-edge.com/img/default_application_icon.png"
+EMAIL_TITLE = "보안 알림"
+EMAIL_TIME_LABEL = "시간"
+EMAIL_TABLE_TITLE = "상세 정보"
+EMAIL_TABLE_HEAD = ["항목", "값"]
+EMAIL_FOOTER = "이 알림은 AI 기반 로그 이상 탐지 시스템에서 자동으로 생성되었습니다."
+
+# Text colour of the severity in mails.
+EMAIL_COLORS = {
+    "low": "#28a745",
+    "medium": "#ffc107",
+    "high": "#fd7e14",
+    "critical": "#dc3545",
+}
+
 # Email subject tags per severity, and the fallback tag.
 SUBJECT_TAGS = {"critical": "[긴급]", "high": "[중요]"}
 DEFAULT_SUBJECT_TAG = "[알림]"

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
-from ..functions.parse import ts_text
+from ..functions.parse import epoch_seconds, ts_text
 from ..functions.severity import severity
 from ..operators.cooldown import cooldown
 
@@ -55,42 +55,54 @@ def details_text(col: Column) -> Column:
 
 
 def alert_message(det: Column) -> Column:
-    return F.concat(detector_name_upper(det), F.lit("에서 비정상 로그 패턴이 감지되었습니다."))
+    return F.concat(detector_name_upper(det), F.lit(C.ALERT_TEXT))
 
 
 def email_subject(det: Column, sev: Column) -> Column:
     tag = _map_lookup(C.SUBJECT_TAGS, sev, F.lit(C.DEFAULT_SUBJECT_TAG))
-    return F.concat(tag, F.lit(" 보안 경고: "), detector_name_upper(det), F.lit("에서 비정상 패턴 감지"))
+    return F.concat(tag, F.lit(C.SUBJECT_HEAD), detector_name_upper(det), F.lit(C.SUBJECT_TAIL))
 
 
 def slack_color(sev: Column) -> Column:
     return _map_lookup(C.SEVERITY_COLORS, sev, F.lit(C.DEFAULT_COLOR))
 
 
-def slack_payload(message: Column, sev: Column, det_arr: Column, sent_at: Column, channel: str = "#security-alerts") -> Column:
-    fields = F.concat(
-        F.array(F.struct(F.lit("심각도").alias("title"), F.upper(sev).alias("value"), F.lit(True).alias("short")),
-                F.struct(F.lit("탐지 시간").alias("title"), ts_text(sent_at).alias("value"), F.lit(True).alias("short"))),
-        F.transform(det_arr, lambda x: F.struct(x["title"].alias("title"), x["value"].alias("value"),
-                                                F.lit(True).alias("short"))))
-    att = F.struct(message.alias("fallback"), F.lit("보안 알림이 발생했습니다!").alias("pretext"),
-                   message.alias("title"), slack_color(sev).alias("color"), fields.alias("fields"),
-                   F.lit("AI 기반 로그 이상 탐지 시스템").alias("footer"),
-                   F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), sent_at).alias("ts"))
-    return F.to_json(F.struct(F.lit(channel).alias("channel"), F.lit("보안 알림 봇").alias("username"),
-                              F.lit(":warning:").alias("icon_emoji"), F.array(att).alias("attachments")))
+def slack_payload(message: Column, sev: Column, det_arr: Column, sent_at: Column, channel: str = C.SLACK_CHANNEL) -> Column:
+    """JSON of one message: severity and time first, then the details."""
+    field = lambda title, value: F.struct(title.alias("title"), value.alias("value"), F.lit(True).alias("short"))
+    fields = F.concat(F.array(field(F.lit(C.SEVERITY_LABEL), F.upper(sev)), field(F.lit(C.DETECTED_LABEL), ts_text(sent_at))),
+                      F.transform(det_arr, lambda x: field(x["title"], x["value"])))
+    parts = {"fallback": message, "pretext": F.lit(C.SLACK_PRETEXT), "title": message, "color": slack_color(sev), "fields": fields,
+             "footer": F.lit(C.SLACK_FOOTER), "footer_icon": F.lit(C.SLACK_FOOTER_ICON), "ts": epoch_seconds(sent_at)}
+    head = {"channel": F.lit(channel), "username": F.lit(C.SLACK_USER), "icon_emoji": F.lit(C.SLACK_ICON),
+            "attachments": F.array(F.struct(*[v.alias(k) for k, v in parts.items()]))}
+    return F.to_json(F.struct(*[v.alias(k) for k, v in head.items()]))
+
+
+def escaped(text: Column) -> Column:
+    """Text that is safe inside HTML elements and attributes."""
+    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        text = F.replace(text, F.lit(plain), F.lit(entity))
+    return text
+
+
+#: Mail body: ``{}`` stands for a value.
+MAIL_STYLE = "body{font-family:sans-serif}td,th{border:1px solid #ddd;padding:8px}" + "".join(f".{k}{{color:{v}}}" for k, v in C.EMAIL_COLORS.items())
+MAIL_ROW = "<tr><td>{}</td><td>{}</td></tr>"
+MAIL_TABLE = (f"<h3>{C.EMAIL_TABLE_TITLE}</h3><table><tr>" + "".join(f"<th>{h}</th>" for h in C.EMAIL_TABLE_HEAD) + "</tr>{}</table>")
+MAIL_BODY = (f"<html><head><style>{MAIL_STYLE}</style></head><body><h2>{C.EMAIL_TITLE}</h2>"
+             f"<p>{C.SEVERITY_LABEL}: <b class=\"{{}}\">{{}}</b></p><p>{C.EMAIL_TIME_LABEL}: {{}}</p><p>{{}}</p>{{}}<hr><p>{C.EMAIL_FOOTER}</p></body></html>")
+
+
+def filled(template: str, *values: Column) -> Column:
+    texts = template.split("{}")
+    return F.concat(F.lit(texts[0]), *[c for v, t in zip(values, texts[1:]) for c in (v, F.lit(t))])
 
 
 def email_html(message: Column, sev: Column, det_arr: Column, sent_at: Column) -> Column:
-    rows = F.array_join(F.transform(det_arr, lambda x: F.concat(
-        F.lit("<tr><td>"), x["title"], F.lit("</td><td>"), x["value"], F.lit("</td></tr>"))), "")
-    table = F.when(F.size(det_arr) > 0, F.concat(
-        F.lit("<h3>상세 정보</h3><table><tr><th>항목</th><th>값</th></tr>"), rows, F.lit("</table>"))).otherwise(F.lit(""))
-    return F.concat(
-        F.lit("<html><body><div class=\"container\"><div class=\"header\"><h2>보안 알림</h2><p>심각도: <span class=\"severity-"),
-        sev, F.lit("\">"), F.upper(sev), F.lit("</span></p><p>시간: "), ts_text(sent_at),
-        F.lit("</p></div><div class=\"content\"><p>"), message, F.lit("</p>"), table,
-        F.lit("</div><div class=\"footer\"><p>이 알림은 AI 기반 로그 이상 탐지 시스템에서 자동으로 생성되었습니다.</p></div></div></body></html>"))
+    rows = F.array_join(F.transform(det_arr, lambda x: filled(MAIL_ROW, escaped(x["title"]), escaped(x["value"]))), "")
+    table = F.when(F.size(det_arr) > 0, filled(MAIL_TABLE, rows)).otherwise(F.lit(""))
+    return filled(MAIL_BODY, escaped(sev), escaped(F.upper(sev)), ts_text(sent_at), escaped(message), table)
 
 
 def evaluate_alerts(anomalies: DataFrame, gap: float = C.COOLDOWN_SECONDS,

@@ -41,7 +41,8 @@ FOREST, SEQUENCE, MESSAGE = "isolation_forest", "lstm", "bert"
 
 
 def collected(logs: DataFrame, as_of, minutes: int) -> DataFrame:
-    return time_range(logs, "collected_at", as_of, minutes)
+    """Logs of a range of collection time; of a table by day only those days are read."""
+    return time_range(logs, "collected_at", as_of, minutes, partition_col="dt" if "dt" in logs.columns else None)
 
 
 def _at(as_of) -> Column:
