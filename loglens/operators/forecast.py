@@ -18,24 +18,24 @@ from pyspark.sql import types as T
 
 
 def _design(pdf: pd.DataFrame, x: str, y: str):
-    xs = np.array([np.concatenate([np.asarray(r, dtype=float) for r in seq]) for seq in pdf[x]])
-    xs = np.hstack([xs, np.ones((len(xs), 1))])
+    """Inputs with a column of ones, and outputs, as matrices."""
     ys = np.vstack(pdf[y].to_numpy()).astype(float)
-    return xs, ys
+    xs = np.concatenate(pdf[x].explode().to_numpy()).astype(float).reshape(len(pdf), -1)
+    return np.hstack([xs, np.ones((len(xs), 1))]), ys
 
 
 def fit_ridge(seqs: DataFrame, x: str = "x", y: str = "y", l2: float = 1e-3) -> np.ndarray:
     """Coefficients W ((p+1) × d) of y ≈ [x, 1] W."""
     def partial(it):
+        g = b = None
         for pdf in it:
-            if len(pdf) == 0:
-                continue
-            xs, ys = _design(pdf, x, y)
-            g = xs.T @ xs
-            b = xs.T @ ys
+            if len(pdf):
+                xs, ys = _design(pdf, x, y)
+                g = xs.T @ xs + (0 if g is None else g)
+                b = xs.T @ ys + (0 if b is None else b)
+        if g is not None:
             vals = np.concatenate([g.ravel(), b.ravel()])
-            yield pd.DataFrame({"i": np.arange(len(vals), dtype="int64"), "v": vals,
-                                "p": xs.shape[1], "d": ys.shape[1]})
+            yield pd.DataFrame({"i": np.arange(len(vals), dtype="int64"), "v": vals, "p": g.shape[0], "d": b.shape[1]})
 
     parts = seqs.select(x, y).mapInPandas(partial, "i long, v double, p long, d long")
     tot = parts.groupBy("i", "p", "d").agg(F.sum("v").alias("v")).toPandas()  # model-sized

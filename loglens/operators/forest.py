@@ -115,14 +115,13 @@ def _path_lengths(x: np.ndarray, tree: dict) -> np.ndarray:
         go_left = x[i, f] < split[node[i]]
         node[i] = np.where(go_left, left[node[i]], right[node[i]])
         active[i] = feat[node[i]] >= 0
-    size = tree["size"][node]
-    adj = np.array([c_factor(float(s)) for s in size])
-    return tree["depth"][node].astype(float) + adj
+    return tree["path"][node]
 
 
 def score_forest(df: DataFrame, vec: str, model: dict, out: str = "anomaly_score") -> DataFrame:
     """Adds ``out`` = -2^(-E[h]/c(psi)) per row."""
-    trees = list(model["trees"].values())
+    # length of the path that ends in a node, with what its rows would still need
+    trees = [{**t, "path": t["depth"] + np.array([c_factor(float(s)) for s in t["size"]])} for t in model["trees"].values()]
     cpsi = c_factor(float(model["psi"])) or 1.0
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.DoubleType())])
 

@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from loglens.operators import forecast as FC
 from loglens.operators import forest as FO
 from loglens.operators.sequences import sequences
 
@@ -22,3 +23,16 @@ def test_sequence_counts(spark):
     assert (out.series_key == "s").sum() == 11 and (out.series_key == "t").sum() == 0
     first = out[out.series_key == "s"].sort_values("minute").iloc[0]
     assert [v[0] for v in first.x] == list(range(10)) and first.y[0] == 10.0
+
+
+def test_ridge_equals_the_normal_equations(spark):
+    rng = np.random.default_rng(1)
+    x, noise = rng.normal(size=(300, 4, 3)), rng.normal(size=(300, 3)) * 0.1
+    flat = np.hstack([x.reshape(300, -1), np.ones((300, 1))])
+    y = flat @ rng.normal(size=(13, 3)) + noise
+    df = spark.createDataFrame([(i, a.tolist(), b.tolist()) for i, (a, b) in enumerate(zip(x, y))], "i int, x array<array<double>>, y array<double>").repartition(5)
+    want = np.linalg.solve(flat.T @ flat + 1e-3 * np.eye(13), flat.T @ y)
+    w = FC.fit_ridge(df)
+    assert np.allclose(w, want)
+    got = FC.forecast_errors(df, w).orderBy("i").toPandas()
+    assert np.allclose(got.error, np.abs(flat @ want - y).mean(axis=1)) and np.allclose(got.sq_error, ((flat @ want - y) ** 2).mean(axis=1))
