@@ -7,7 +7,9 @@
 * entropy (kinds ``entropy_hex``, ``entropy_base64``): candidate strings are
   runs of the class's characters; a window slides over each candidate and its
   Shannon entropy is kept by incremental counts (one character in, one out).
-  Windows at or above the class's threshold merge into one span.  Hosts, the
+  A candidate with a window at or above the threshold is one span.  Chance alone
+  takes bits from a short key, and a long one has more windows to show them, so
+  the threshold rises with the candidate's length up to LONG.  Hosts, the
   path segments of URLs, mail addresses and segments with a placeholder are
   cut out of a candidate; what is left goes if it is on the allow-list (plain
   words, numbers, counting sequences).  User info, query values and fragments
@@ -42,11 +44,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_MIN = 6
 
-#: kind, characters of a candidate, window, least bits a character.
+#: kind, characters of a candidate, window, least bits a character in a candidate of one window and of LONG.
 CLASSES = (
-    ("entropy_hex", re.compile(r"[0-9A-Fa-f]{20,}"), 20, 3.0),
-    ("entropy_base64", re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}"), 20, 3.9),
+    ("entropy_hex", re.compile(r"[0-9A-Fa-f]{20,}"), 20, 2.9, 3.0),
+    ("entropy_base64", re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}"), 20, 3.6, 3.9),
 )
+LONG = 40
 #: Anything shorter can hold no candidate.
 ANY_CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20}")
 
@@ -165,6 +168,11 @@ def hot_windows(s: str, window: int, least: float) -> list[tuple[int, int]]:
     return out
 
 
+def least_bits(n: int, window: int, short: float, long: float) -> float:
+    """Threshold for a candidate of n characters."""
+    return short + (long - short) * min(1.0, max(0, n - window) / (LONG - window))
+
+
 def pattern_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the contract's patterns."""
     out = []
@@ -181,16 +189,14 @@ def entropy_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[in
     taken = [(a, b) for a, _, b in known]
     exempt = addresses(text)
     ends = [b for _, b in exempt]
-    for kind, run, window, least in CLASSES:
+    for kind, run, window, short, long in CLASSES:
         for m in run.finditer(text):
-            for start, end in pieces(text, *m.span(), exempt, ends):
-                if end - start < window or allowed(text[start:end]):
+            for a, b in pieces(text, *m.span(), exempt, ends):
+                if b - a < window or allowed(text[a:b]) or any(x <= a and b <= y for x, y in taken):
                     continue
-                for a, b in hot_windows(text[start:end], window, least):
-                    a, b = a + start, b + start
-                    if not any(x <= a and b <= y for x, y in taken):
-                        out.append((a, KINDS.index(kind), b))
-                        taken.append((a, b))
+                if hot_windows(text[a:b], window, least_bits(b - a, window, short, long)):
+                    out.append((a, KINDS.index(kind), b))
+                    taken.append((a, b))
     return out
 
 

@@ -74,3 +74,15 @@ def test_edge_rows(spark, edge_docs, edge_rows, no_docs):
     got = {(r[0], len(r[1])) for r in secrets.found_only(rows).collect()}
     assert got == {(1, 0), (2, 0), (3, 20_000), (3, 0)}
     assert secrets.found_only(no_docs).collect() == []
+
+
+def test_random_keys_are_found_whole():
+    rng = random.Random(11)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    for n in (20, 22, 24, 28, 32, 40, 64):
+        found = 0
+        for _ in range(500):
+            key = "".join(rng.choice(letters) for _ in range(n))
+            t = f'the key is "{key}", he said'
+            found += key in [t[s["start"]:s["end"]] for s in secrets.spans(t)]
+        assert found >= 490, (n, found)
