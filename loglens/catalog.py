@@ -374,6 +374,7 @@ def forecast_mse(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- message vectors
+from .operators import kmeans as KM  # noqa: E402
 from .operators import clustering as CL  # noqa: E402
 
 EMB_SCORED = """WITH
@@ -446,12 +447,11 @@ def message_summary_q(spark, sf_dir):
 
 @query("kmeans_messages")
 def kmeans_messages(spark, sf_dir):
-    """Spark ML k-means (k=10, seed 42) on standardised vectors; distance to own centre > cluster p95."""
+    """k-means (k=10, seed 42, best of ten starts) on standardised vectors; distance to own centre > cluster p95."""
     emb = TB.read_table(spark, sf_dir, "embeddings")
     means, stds = CL.fit_standardizer(emb, "embedding")
     z = emb.select("vec_id", CL.standardize(F.col("embedding"), means, stds).alias("z")).transform(_kept)
-    model = CL.kmeans_fit(z, "z")
-    cluster, dist = CL.assign_nearest(F.col("z"), CL.kmeans_centroids(model))
+    cluster, dist = CL.assign_nearest(F.col("z"), KM.fit(z, "z").by_id())
     scored = z.select("vec_id", cluster.alias("cluster"), dist.alias("distance"))
     f = CL.flag_anomalies(scored, CL.distance_profile(scored))
     return f.select("vec_id", "cluster", r6(F.col("distance")).alias("distance"), "is_anomaly")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import KMEANS_K, SEED, THRESHOLD_PERCENTILE
+from . import kmeans as KM
 from .stats import quantile_by
 
 MAX_DIM = 4096
@@ -130,31 +131,18 @@ def kmeans_assign(model, df: DataFrame, vec: str) -> DataFrame:
     return j.withColumn("distance", F.sqrt(sq_distance(F.col(vec), F.col("centre")))).drop("centre")
 
 
-def kmeans_centroids(model) -> dict:
-    return {i: [float(x) for x in c] for i, c in enumerate(model.clusterCenters())}
-
-
 def k_search(df: DataFrame, vec: str, default_k: int = KMEANS_K, seed: int = SEED,
              max_k: int = 20) -> list[tuple[int, float]]:
-    """Silhouette per candidate k, only when n > 5 * default_k; k in 3 .. min(max_k, n//5) - 1.
-
-    Spark's evaluator uses squared Euclidean distance, so values differ from a
-    plain-Euclidean silhouette; the rule (best score, smallest k on ties) is the same.
-    """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.evaluation import ClusteringEvaluator
-    from pyspark.ml.functions import array_to_vector
-    data = df.select(array_to_vector(F.col(vec)).alias("features")).persist()
+    """Euclidean silhouette per candidate k, only when n > 5 * default_k; k in
+    3 .. min(max_k, n//5) - 1, each the best of ten starts."""
+    data = df.select(vec).persist()
     try:
         n = data.count()
-        out = []
-        if n <= default_k * 5:
-            return out
-        ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
-        for k in range(3, min(max_k, n // 5)):
-            model = KMeans(k=k, seed=seed, featuresCol="features").fit(data)
-            out.append((k, float(ev.evaluate(model.transform(data)))))
-        return out
+        ks = list(range(3, min(max_k, n // 5))) if n > default_k * 5 else []
+        if not ks:
+            return []
+        scores = KM.silhouettes(data, vec, KM.fit_each(data, vec, ks, seed=seed), seed=seed)
+        return [(k, scores[k]) for k in ks]
     finally:
         data.unpersist()
 

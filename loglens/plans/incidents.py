@@ -17,6 +17,8 @@ from ..functions.parse import from_zoned, ts_text
 from ..functions.severity import severity
 from ..operators.dedup import keep_first
 from ..operators.interval_join import Positions, first_counts, first_rows, positions
+from ..session import checkpointed
+from ..sources.ingest import stored_rows
 
 
 def _name(det: Column) -> Column:
@@ -244,6 +246,26 @@ def upsert(old: DataFrame, new: DataFrame, key: str = "incident_id", version: st
     return u.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_src")
 
 
+#: Buckets of the stored incident table, by hash of the id.
+TABLE_BUCKETS = 256
+
+
+def upsert_table(path: str, new: DataFrame, key: str = "incident_id", version: str = "updated_at", buckets: int = TABLE_BUCKETS) -> None:
+    """Upsert ``new`` into the table at ``path``, which is partitioned by a bucket
+    of the key: only buckets that hold a new key are read and written again, the
+    others keep their files.  Of several versions of a key the latest stays; a
+    repeated call changes nothing."""
+    spark = new.sparkSession
+    rows = checkpointed(new.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")))
+    touched = [r[0] for r in rows.select("bucket").distinct().collect()]       # at most ``buckets``
+    if not touched:
+        return
+    old = stored_rows(spark, path)
+    merged = upsert(rows.limit(0) if old is None else old.where(F.col("bucket").isin(touched)), rows, key, version)
+    (checkpointed(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket").parquet(path))
+
+
 def partial_update(old: DataFrame, doc: DataFrame, key: str = "incident_id") -> DataFrame:
     """Fields present (non-null) in ``doc`` replace the stored ones; others stay.
     ``actions`` in the doc are appended (the history is kept)."""

@@ -6,12 +6,14 @@ quarantine table instead of being dropped.
 """
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import TS_FORMAT
 from ..functions.parse import basename, event_time, parse_lines
 from ..schemas import LOGS
+from ..session import checkpointed
 
 #: Times in JSON records are written and read in this form.
 JSON_TIME = {"timestampNTZFormat": TS_FORMAT}
@@ -104,6 +106,54 @@ def write_log_tables(batch: DataFrame, logs_path: str, quarantine_path: str, bat
         batch.unpersist()
 
 
+def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None before anything was written to it."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        return None
+
+
+def _without(closed: DataFrame, open_: DataFrame) -> DataFrame:
+    """Closed rows of batches that the open table doesn't hold (any more)."""
+    return closed.join(open_.select("dt", "batch").distinct(), ["dt", "batch"], "left_anti")
+
+
+def compact_days(spark: SparkSession, path: str, closed_path: str, before: str) -> int:
+    """Move the days before ``before`` from the table that a stream writes (a folder
+    per day and batch) to one with a folder per day, as few large files.  Returns
+    the number of days.  Rows keep their batch, so a run that failed between the
+    copy and the deletion, or a batch that came late, can be compacted again;
+    :func:`log_table` reads each row once at any moment."""
+    rows = stored_rows(spark, path)
+    if rows is None:
+        return 0
+    rows = rows.where(F.col("dt") < F.lit(before).cast("date"))
+    done = [tuple(r) for r in rows.select("dt", "batch").distinct().collect()]     # one row per micro-batch
+    if not done:
+        return 0
+    closed = stored_rows(spark, closed_path)
+    if closed is not None:
+        days = rows.select("dt").distinct()
+        rows = _without(closed.join(F.broadcast(days), "dt", "left_semi"), rows).unionByName(rows)
+    (checkpointed(rows).hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("dt").parquet(closed_path))
+    for dt, batch in done:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/dt={dt}/batch={batch}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return len({dt for dt, _ in done})
+
+
+def log_table(spark: SparkSession, path: str, closed_path: str) -> DataFrame | None:
+    """All rows of a table that is compacted by day."""
+    rows, closed = stored_rows(spark, path), stored_rows(spark, closed_path)
+    if rows is None or closed is None:
+        return closed if rows is None else rows
+    return _without(closed, rows).unionByName(rows)
+
+
 def create_log_table(spark: SparkSession, name: str, location: str) -> None:
     """CREATE TABLE IF NOT EXISTS for the typed log table, partitioned by day."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LOGS.fields)

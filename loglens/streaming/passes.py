@@ -21,28 +21,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import constants as C
-from ..functions.parse import ts_text, zoned
+from ..functions.parse import zoned
 from ..functions.severity import severity
 from ..operators.features import from_panes, pane_counts
 from ..plans import incidents as IN
 from ..session import checkpointed, ship_package
-from ..sources.ingest import write_batch
-
-
-def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None before anything was written to it."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        return None
+from ..sources.ingest import stored_rows, write_batch
 
 
 def _bounds(df: DataFrame, col: str) -> tuple:
