@@ -289,10 +289,10 @@ def _minute_vectors(spark, sf_dir):
 
 
 def _naive_errors(spark, sf_dir):
-    seqs = SQ.sequences(_minute_vectors(spark, sf_dir))
-    return seqs.select("series_key", "minute", "seq_idx", "n_seq", SQ.chrono_split(seqs).alias("split"),
-                       F.round(SQ.mean_abs_error(SQ.naive_forecast(F.col("x")), F.col("y")), 10).alias("error"),
-                       SQ.squared_error_mean(SQ.naive_forecast(F.col("x")), F.col("y")).alias("sq_error"))
+    steps = SQ.last_steps(_minute_vectors(spark, sf_dir))      # the prediction for a row is the row before it
+    return steps.select("series_key", "minute", "seq_idx", "n_seq", SQ.chrono_split(steps).alias("split"),
+                        F.round(SQ.mean_abs_error(F.col("prev"), F.col("y")), 10).alias("error"),
+                        SQ.squared_error_mean(F.col("prev"), F.col("y")).alias("sq_error"))
 
 
 DENSE_SCALED = O.with_ctes(O.LOGS, MINUTE_CELLS, """

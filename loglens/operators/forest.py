@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.constants import FOREST_CONTAMINATION, FOREST_SAMPLE, FOREST_TREES, SEED
-from .stats import quantile_by
 
 EULER = 0.5772156649015329
 
@@ -138,5 +137,7 @@ def score_forest(df: DataFrame, vec: str, model: dict, out: str = "anomaly_score
 
 
 def fit_offset(scored: DataFrame, col: str = "anomaly_score", contamination: float = FOREST_CONTAMINATION) -> float:
-    """Score at the ``contamination`` quantile of the training scores (exact, interpolated)."""
-    return float(quantile_by(scored, [], col, contamination).first()[0])
+    """Score at the ``contamination`` quantile of the training scores (exact,
+    interpolated).  The scores are one a window, so their number is bounded by the
+    training time and one aggregate takes them."""
+    return float(scored.agg(F.percentile(F.col(col), contamination)).first()[0])

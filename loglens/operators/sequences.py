@@ -39,6 +39,17 @@ def sequences(vectors: DataFrame, seq_length: int = SEQ_LENGTH, series: str = "s
     return out
 
 
+def last_steps(vectors: DataFrame, seq_length: int = SEQ_LENGTH, series: str = "series_key",
+               order: str = "minute", vec: str = "vec") -> DataFrame:
+    """(series, order, prev, y, seq_idx, n_seq): the sequences of :func:`sequences`
+    with only the last row of their input, for forecasters that need no more."""
+    w = Window.partitionBy(series).orderBy(order)
+    return (vectors.select(series, order, F.lag(vec).over(w).alias("prev"), F.col(vec).alias("y"),
+                           (F.row_number().over(w) - seq_length - 1).alias("seq_idx"),
+                           (F.count(F.lit(1)).over(Window.partitionBy(series)) - seq_length).alias("n_seq"))
+                   .where(F.col("seq_idx") >= 0))
+
+
 def chrono_split(seqs: DataFrame, validation_split: float = VALIDATION_SPLIT) -> Column:
     """'train' for the first floor(n * (1 - split)) sequences of a series, else 'validation'."""
     cut = F.floor(F.col("n_seq") * F.lit(1.0 - validation_split))
@@ -55,11 +66,6 @@ def squared_error_mean(pred: Column, actual: Column) -> Column:
     return F.aggregate(diffs, F.lit(0.0), lambda acc, v: acc + v) / F.size(actual)
 
 
-def naive_forecast(x: Column) -> Column:
-    """Last-value forecaster: the prediction for row t is row t-1."""
-    return F.element_at(x, -1)
-
-
 def error_summary(errors: DataFrame, series: str = "series_key", err: str = "error",
                   q: float = THRESHOLD_PERCENTILE, threshold: DataFrame | None = None) -> DataFrame:
     """Per series: exact p{q} threshold (linear interpolation), max, mean, anomaly
