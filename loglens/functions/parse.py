@@ -16,6 +16,9 @@ from .constants import PARSE_ERROR_TEXT, TS_FORMAT
 #: Digits of TS_FORMAT; the cast checks the values.
 TS_SHAPE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
 
+#: A line that starts with such a text and has a level and a component (three spaces at least).
+LINE_SHAPE = TS_SHAPE.replace(r"\z", r" [^ ]* ")
+
 # Characters removed by Python's str.strip() (str.isspace() set).
 _WS = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
        "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
@@ -68,6 +71,13 @@ def event_time(ts_text: Column) -> Column:
     return F.when(ts_text.rlike(TS_SHAPE), ts_text.try_cast("timestamp_ntz"))
 
 
+def line_time(stripped_line: Column) -> Column:
+    """:func:`event_time` of the timestamp that :func:`parsed_struct` finds in a
+    stripped line, without splitting it: a filter on it is pushed down to the raw
+    lines, where the tokens would be made anew for each mention."""
+    return F.when(stripped_line.rlike(LINE_SHAPE), F.substring(stripped_line, 1, 19).try_cast("timestamp_ntz"))
+
+
 def zoned(ts: Column) -> Column:
     """The instant that reads as ``ts`` in UTC, for watermarks (they need a zoned
     TIMESTAMP); keeps order and gaps in every session zone."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parse import event_time, parse_lines
+from ..functions.parse import line_time, parse_lines
 
 
 def _level(event_type: Column) -> Column:
@@ -51,7 +51,7 @@ def parsed_logs(events: DataFrame) -> DataFrame:
     """Parsed log rows (LOGS fields + event_id + typed ``event_ts``)."""
     lines = raw_log_lines(events)
     p = parse_lines(lines, "raw_log", keep=["event_id", "source_file", "collected_at"])
-    return p.withColumn("event_ts", event_time(F.col("timestamp")))
+    return p.withColumn("event_ts", line_time(F.col("raw_log")))
 
 
 def valid_logs(events: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import TS_FORMAT
-from ..functions.parse import basename, event_time, parse_lines
+from ..functions.parse import basename, event_time, line_time, parse_lines
 from ..schemas import LOGS
 from ..session import checkpointed
 
@@ -42,7 +42,7 @@ def parse_log_frame(lines: DataFrame, collected_at=None) -> DataFrame:
     ca = collected_at if collected_at is not None else F.date_trunc("second", F.localtimestamp())
     base = lines.withColumn("collected_at", ca.cast("timestamp_ntz"))
     p = parse_lines(base, "value", keep=["source_file", "collected_at"])
-    return (p.withColumn("event_ts", event_time(F.col("timestamp")))
+    return (p.withColumn("event_ts", line_time(F.col("raw_log")))
              .withColumn("dt", F.to_date("collected_at")))
 
 

@@ -39,3 +39,15 @@ def test_keywords(spark):
     assert rows[1]["k"] == ["keyword_fail"]
     assert rows[2]["k"] == ["keyword_error"]
     assert rows[3]["k"] == []
+
+
+def test_line_time_equals_the_parsed_timestamp(spark):
+    from loglens.functions.parse import line_time
+
+    lines = ["2024-01-01 00:00:07 ERROR auth Login failed", "2024-01-01 00:00:07 INFO auth", "2024-01-01 00:00:07 INFO", "2024-01-01 00:00:07  INFO auth",
+             "2024-01-01 00:00:07   ", " 2024-01-01 00:00:07 A B\t", "2024-02-30 00:00:07 A B c", "2024-01-01 24:00:07 A B", "2024-01-01  00:00:07 A B",
+             "2024-01-01 00:00:07,5 A B", "x2024-01-01 00:00:07 A B", "2024-1-01 00:00:07 A B", "2024-01-01 00:00:07 A B c", "2024-01-01 00:00:07 A B c d",
+             "2024-01-01 00:00:07 A\nB c", "short", "", "2024-01-01 00:00:07 A  B", "2024-01-01 00:00:0٧ A B c", "2024-01-01 00:00:07 A B c d e f"]
+    df = parse_lines(spark.createDataFrame([(x,) for x in lines], "value string"))
+    rows = df.select("raw_log", event_time(F.col("timestamp")).alias("a"), line_time(F.col("raw_log")).alias("b")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows] and sum(r.a is not None for r in rows) >= 6
