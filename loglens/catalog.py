@@ -284,7 +284,7 @@ from .operators import sequences as SQ  # noqa: E402
 
 def _minute_vectors(spark, sf_dir):
     cells = _minute_cells(spark, sf_dir).transform(_kept)   # reused by vocabulary, scaler fit and vectors
-    vocab = FT.fit_vocabulary(cells)
+    vocab = FT.vocabulary(cells).transform(_kept)
     return SQ.scaled_minute_vectors(cells, vocab)
 
 
@@ -395,13 +395,15 @@ flag AS (SELECT a.vec_id, a.cluster, a.distance, coalesce(a.distance > p.thresho
 """
 
 
+def _standard_embeddings(emb, *cols):
+    return CL.standardized(emb, "embedding", CL.fit_standardizer(emb, "embedding"), "z").select(*cols, "z")
+
+
 def _scored_embeddings(spark, sf_dir):
     emb = TB.read_table(spark, sf_dir, "embeddings")
-    means, stds = CL.fit_standardizer(emb, "embedding")
-    z = emb.select("vec_id", "label", CL.standardize(F.col("embedding"), means, stds).alias("z"))
+    z = _standard_embeddings(emb, "vec_id", "label").transform(_kept)
     cents = CL.fit_group_centroids(z, "z", "label")
-    cluster, dist = CL.assign_nearest(F.col("z"), cents)
-    return z.select("vec_id", cluster.alias("cluster"), F.round(dist, 10).alias("distance"))
+    return CL.assign_nearest(z, "z", cents).select("vec_id", "cluster", F.round("distance", 10).alias("distance"))
 
 
 def _flagged_embeddings(spark, sf_dir):
@@ -449,10 +451,8 @@ def message_summary_q(spark, sf_dir):
 def kmeans_messages(spark, sf_dir):
     """k-means (k=10, seed 42, best of ten starts) on standardised vectors; distance to own centre > cluster p95."""
     emb = TB.read_table(spark, sf_dir, "embeddings")
-    means, stds = CL.fit_standardizer(emb, "embedding")
-    z = emb.select("vec_id", CL.standardize(F.col("embedding"), means, stds).alias("z")).transform(_kept)
-    cluster, dist = CL.assign_nearest(F.col("z"), KM.fit(z, "z").by_id())
-    scored = z.select("vec_id", cluster.alias("cluster"), dist.alias("distance"))
+    z = _standard_embeddings(emb, "vec_id").transform(_kept)
+    scored = CL.assign_nearest(z, "z", KM.fit(z, "z").frame(spark)).select("vec_id", "cluster", "distance")
     f = CL.flag_anomalies(scored, CL.distance_profile(scored))
     return f.select("vec_id", "cluster", r6(F.col("distance")).alias("distance"), "is_anomaly")
 
@@ -461,9 +461,7 @@ def kmeans_messages(spark, sf_dir):
 def k_search_q(spark, sf_dir):
     """Silhouette per candidate k (3 .. min(20, n//5) - 1) and the chosen k."""
     emb = TB.read_table(spark, sf_dir, "embeddings")
-    means, stds = CL.fit_standardizer(emb, "embedding")
-    z = emb.select(CL.standardize(F.col("embedding"), means, stds).alias("z"))
-    scores = CL.k_search(z, "z")
+    scores = CL.k_search(_standard_embeddings(emb), "z")
     chosen = CL.best_k(scores)
     rows = [(k, s, k == chosen) for k, s in scores]
     return spark.createDataFrame(rows, "k int, silhouette double, chosen boolean")
@@ -887,13 +885,11 @@ def _window_vectors(spark, sf_dir):
     """Standardised dense window-feature vectors (hour windows) and log counts."""
     logs = TB.logs(spark, sf_dir)
     cells = FT.window_features(logs, FEATURE_WIDTH).withColumnRenamed("bucket", "window_start").transform(_kept)
-    vocab = FT.fit_vocabulary(cells)
-    vecs = FT.dense_vectors(cells, vocab, ["window_start"])
+    vecs = FT.dense_vectors(cells, FT.vocabulary(cells).transform(_kept), ["window_start"])
     counts = logs.groupBy(FT.time_windows(F.col("event_ts"), FEATURE_WIDTH).alias("window_start")) \
                  .agg(F.count(F.lit(1)).alias("log_count"))
     vecs = vecs.join(counts, "window_start").transform(_kept)
-    means, stds = _CL.fit_standardizer(vecs, "vec")
-    return vecs.select("window_start", "log_count", _CL.standardize(F.col("vec"), means, stds).alias("x"))
+    return _CL.standardized(vecs, "vec", _CL.fit_standardizer(vecs, "vec"), "x").select("window_start", "log_count", "x")
 
 
 @query("forest_scores")
@@ -931,6 +927,7 @@ def sequence_forecast(spark, sf_dir):
 
 
 from .operators import embedding as EM  # noqa: E402
+from .operators import sparse as SP  # noqa: E402
 
 
 @query("text_embedding")
@@ -941,10 +938,9 @@ def text_embedding(spark, sf_dir):
     docs = TB.read_table(spark, sf_dir, "documents").select("doc_id", "text")
     uniq = keep_first(docs, ["text"], ["doc_id"], count_col=None)
     _, vec = EM.tfidf_vectors(uniq, "text")
-    vec = vec.select("doc_id", "vec").transform(_kept)
-    model = CL.kmeans_fit(vec, "vec", k=10)
-    scored = CL.kmeans_assign(model, vec, "vec").select(
-        "doc_id", EM.nnz(F.col("vec")).alias("n_terms"), "cluster", "distance")
+    vec = vec.select("doc_id", "features").transform(_kept)      # sparse
+    model = CL.kmeans_fit(vec, k=10)
+    scored = CL.kmeans_assign(model, vec).select("doc_id", SP.n_terms(SP.entries(F.col("features"))).alias("n_terms"), "cluster", "distance")
     f = CL.flag_anomalies(scored, CL.distance_profile(scored))
     return f.select("doc_id", "n_terms", "cluster", r6(F.col("distance")).alias("distance"), "is_anomaly")
 

@@ -1,13 +1,13 @@
 """Distance-to-centroid scoring of message vectors.
 
-Vectors are ``array<double>`` columns.  Model constants (per-dimension mean
-and std, k centroids) are small — bounded by the vector width and k, not by
-the data — and are fitted by distributed aggregates, then embedded in column
-expressions, which is how Spark ML applies its own fitted models.
+Vectors are ``array<double>`` columns (ML vectors in the last section).  Model
+tables (per-dimension mean and std, k centroids) are fitted by distributed
+aggregates and stay frames; each is applied as one row, bounded by the vector
+width and k and not by the data, that is joined to every vector.
 
 Assignment compares each vector with the k centroids inside one expression
-(no join, no pairs), distance is ``sqrt(sum((x - c)^2))``; a vector is
-anomalous when its distance exceeds the p95 distance of its cluster.
+(no pairs), distance is ``sqrt(sum((x - c)^2))``; a vector is anomalous when its
+distance exceeds the p95 distance of its cluster.
 """
 from __future__ import annotations
 
@@ -16,57 +16,47 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import KMEANS_K, SEED, THRESHOLD_PERCENTILE
 from . import kmeans as KM
+from . import sparse as SP
 from .stats import quantile_by
 
-MAX_DIM = 4096
-MAX_K = 1000
 
+def fit_standardizer(df: DataFrame, vec: str) -> DataFrame:
+    """(i, mean, scale): per-dimension mean and population std (zero std → 1)."""
+    std = F.stddev_pop(F.col("x").cast("double"))
+    return (df.select(F.posexplode(vec).alias("i", "x")).groupBy("i")
+            .agg(F.avg(F.col("x").cast("double")).alias("mean"), F.when(std > 0, std).otherwise(1.0).alias("scale")))
 
-def as_double_array(col: Column) -> Column:
-    return F.transform(col, lambda x: x.cast("double"))
 
+def _with_row(df: DataFrame, table: DataFrame, name: str, *cols: str) -> DataFrame:
+    """``df`` with a whole model table as one sorted array."""
+    one = table.agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(name))
+    return df.crossJoin(F.broadcast(one))     # one row, model-sized
 
-def fit_standardizer(df: DataFrame, vec: str) -> tuple[list[float], list[float]]:
-    """Per-dimension mean and population std (zero std → 1)."""
-    st = (df.select(F.posexplode(vec).alias("dim", "x"))
-            .groupBy("dim").agg(F.avg(F.col("x").cast("double")).alias("m"),
-                                F.stddev_pop(F.col("x").cast("double")).alias("s"))
-            .orderBy("dim").limit(MAX_DIM + 1).collect())
-    if len(st) > MAX_DIM:
-        raise ValueError("vector width exceeds MAX_DIM")
-    means = [float(r["m"]) for r in st]
-    stds = [float(r["s"]) if r["s"] else 1.0 for r in st]
-    return means, stds
 
+def standardized(df: DataFrame, vec: str, scaler: DataFrame, out: str) -> DataFrame:
+    """``df`` with ``out`` = (x - mean) / scale; the scaler's ``i`` runs from 0 without gaps."""
+    z = F.zip_with(F.col(vec), F.col("_scaler"), lambda x, s: (x.cast("double") - s["mean"]) / s["scale"])
+    return _with_row(df, scaler, "_scaler", "i", "mean", "scale").withColumn(out, z).drop("_scaler")
 
-def standardize(vec: Column, means: list[float], stds: list[float]) -> Column:
-    m = F.array(*[F.lit(x) for x in means])
-    s = F.array(*[F.lit(x) for x in stds])
-    return F.transform(vec, lambda x, i: (x.cast("double") - m[i]) / s[i])
 
+def fit_group_centroids(df: DataFrame, vec: str, group: str) -> DataFrame:
+    """(cluster, centre): mean vector per group label (used as fixed centroids)."""
+    return (df.select(F.col(group).alias("cluster"), F.posexplode(vec).alias("i", "x"))
+              .groupBy("cluster", "i").agg(F.avg("x").alias("c"))
+              .groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("i", "c"))).alias("cs"))
+              .select("cluster", F.transform("cs", lambda e: e["c"]).alias("centre")))
 
-def fit_group_centroids(df: DataFrame, vec: str, group: str) -> dict:
-    """Mean vector per group label (used as fixed centroids)."""
-    rows = (df.select(group, F.posexplode(vec).alias("dim", "x"))
-              .groupBy(group, "dim").agg(F.avg("x").alias("c"))
-              .groupBy(group).agg(F.array_sort(F.collect_list(F.struct("dim", "c"))).alias("cs"))
-              .limit(MAX_K + 1).collect())
-    if len(rows) > MAX_K:
-        raise ValueError("too many centroids")
-    return {r[group]: [float(e["c"]) for e in r["cs"]] for r in rows}
 
+def sq_distance(vec: Column, centre: Column) -> Column:
+    return F.aggregate(F.zip_with(vec, centre, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
 
-def sq_distance(vec: Column, centroid: list[float] | Column) -> Column:
-    c = F.array(*[F.lit(x) for x in centroid]) if isinstance(centroid, list) else centroid
-    return F.aggregate(F.zip_with(vec, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
 
-
-def assign_nearest(vec: Column, centroids: dict) -> tuple[Column, Column]:
-    """(cluster id, euclidean distance) of the nearest centroid; ties → lowest id."""
-    ids = sorted(centroids)
-    d2 = F.array(*[F.struct(sq_distance(vec, centroids[k]).alias("d2"), F.lit(k).alias("cluster")) for k in ids])
+def assign_nearest(df: DataFrame, vec: str, centres: DataFrame) -> DataFrame:
+    """``df`` with ``cluster`` and euclidean ``distance`` of the nearest centroid; ties → lowest id."""
+    d2 = F.transform("_centres", lambda c: F.struct(sq_distance(F.col(vec), c["centre"]).alias("d2"), c["cluster"].alias("cluster")))
     best = F.array_min(d2)  # struct order: distance first, then id
-    return best.getField("cluster"), F.sqrt(best.getField("d2"))
+    return (_with_row(df, centres, "_centres", "cluster", "centre").withColumn("_best", best)
+            .withColumns({"cluster": F.col("_best.cluster"), "distance": F.sqrt(F.col("_best.d2"))}).drop("_centres", "_best"))
 
 
 def distance_profile(scored: DataFrame, cluster: str = "cluster", dist: str = "distance",
@@ -111,30 +101,24 @@ def message_summary(flagged: DataFrame, dist: str = "distance") -> DataFrame:
 
 # ---------------------------------------------------------------- Spark ML k-means
 
-def kmeans_fit(df: DataFrame, vec: str, k: int = KMEANS_K, seed: int = SEED, max_iter: int = 20):
+def kmeans_fit(df: DataFrame, features: str = "features", k: int = KMEANS_K, seed: int = SEED, max_iter: int = 20):
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-    data = df.select(array_to_vector(F.col(vec)).alias("features"))
-    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(data)
+    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features, predictionCol="cluster").fit(df.select(features))
 
 
-def kmeans_assign(model, df: DataFrame, vec: str) -> DataFrame:
-    """Cluster by the fitted model, distance to the assigned centre through an
-    equi-join with the k-row centre table (AQE broadcasts it).  Preferred for
-    wide vectors, where inlining k centres into one expression is costly."""
-    from pyspark.ml.functions import array_to_vector
-    spark = df.sparkSession
-    centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
-                                    "cluster int, centre array<double>")
-    pred = model.setPredictionCol("cluster").transform(df.withColumn("features", array_to_vector(F.col(vec)))).drop("features")
-    j = pred.join(centres, "cluster")
-    return j.withColumn("distance", F.sqrt(sq_distance(F.col(vec), F.col("centre")))).drop("centre")
+def kmeans_assign(model, df: DataFrame) -> DataFrame:
+    """``df`` (with ``features``, sparse) with the fitted model's ``cluster`` and the
+    distance to its centre, from an equi-join with the k-row centre table."""
+    centres = SP.centre_table(df.sparkSession, model.clusterCenters())
+    j = model.transform(df).join(centres, "cluster")
+    return j.withColumn("distance", SP.distance(SP.entries(F.col("features")), F.col("centre"), F.col("norm"))).drop("centre", "norm")
 
 
 def k_search(df: DataFrame, vec: str, default_k: int = KMEANS_K, seed: int = SEED,
              max_k: int = 20) -> list[tuple[int, float]]:
     """Euclidean silhouette per candidate k, only when n > 5 * default_k; k in
-    3 .. min(max_k, n//5) - 1, each the best of ten starts."""
+    3 .. min(max_k, n//5) - 1, each the best of ten starts.  ``vec`` is an array or a
+    struct of :func:`sparse.entries`."""
     data = df.select(vec).persist()
     try:
         n = data.count()

@@ -2,10 +2,9 @@
 
 Default encoder: ``RegexTokenizer → HashingTF → IDF → Normalizer`` (all
 built-in, distributed; IDF is one aggregate pass).  Whole texts are encoded;
-nothing is truncated.  A user encoder can be plugged in through
-:func:`encode_with` (``mapInPandas``; the model is loaded once per task and
-applied in batches).  The output is ``array<double>`` so the clustering
-operators apply unchanged.
+nothing is truncated.  The vectors stay sparse (``operators.sparse``).  A user
+encoder can be plugged in through :func:`encode_with` (``mapInPandas``; the model
+is loaded once per task and applied in batches); its output is ``array<double>``.
 """
 from __future__ import annotations
 
@@ -14,24 +13,25 @@ from typing import Callable
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def tfidf_vectors(df: DataFrame, text: str, num_features: int = 1 << 12, min_doc_freq: int = 1):
-    """(fitted pipeline model, frame with ``vec`` array<double>, L2-normalised)."""
+    """(fitted pipeline model, frame with ``features``: sparse, L2-normalised)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-    from pyspark.ml.functions import vector_to_array
     pipe = Pipeline(stages=[
         RegexTokenizer(inputCol=text, outputCol="_tok", pattern="\\W+", toLowercase=True),
         HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features),
         IDF(inputCol="_tf", outputCol="_idf", minDocFreq=min_doc_freq),
-        Normalizer(inputCol="_idf", outputCol="_vec", p=2.0),
+        Normalizer(inputCol="_idf", outputCol="features", p=2.0),
     ])
     model = pipe.fit(df)
-    out = model.transform(df).withColumn("vec", vector_to_array("_vec")).drop("_tok", "_tf", "_idf", "_vec")
-    return model, out
+    return model, encoded(model, df)
+
+
+def encoded(model, df: DataFrame) -> DataFrame:
+    return model.transform(df).drop("_tok", "_tf", "_idf")
 
 
 def encode_with(df: DataFrame, text: str, load_encoder: Callable[[], Callable[[list[str]], np.ndarray]],
@@ -48,14 +48,3 @@ def encode_with(df: DataFrame, text: str, load_encoder: Callable[[], Callable[[l
             yield pdf.assign(vec=list(arr))
 
     return df.mapInPandas(run, schema)
-
-
-def nnz(vec) -> F.Column:
-    return F.size(F.filter(vec, lambda x: x != 0))
-
-
-def l2(vec) -> F.Column:
-    return F.sqrt(F.aggregate(vec, F.lit(0.0), lambda s, v: s + v * v))
-
-
-__all__ = ["tfidf_vectors", "encode_with", "nnz", "l2", "pd"]

@@ -7,17 +7,18 @@ feature).count()`` then gives every pivot of the reference in a single
 shuffle with map-side partial aggregation.  A hot component or level only
 makes its partial counts larger, never one task's input.
 
-Dense vectors (for the models) use a stored vocabulary: the feature names
-seen at training time.  Unseen features are dropped and missing ones are 0.
+Vectors (for the models) use a stored vocabulary: a table of the feature names
+seen at training time and their index, joined to the cells.  Unseen features are dropped and missing ones are 0.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import ERROR_KEYWORDS
 
-MAX_VOCAB = 100_000
+#: Parts in which a vocabulary is numbered.
+VOCAB_PARTS = 256
 
 
 def keyword_hits(message: Column, keywords=ERROR_KEYWORDS, prefix: str = "keyword_") -> list[Column]:
@@ -87,23 +88,43 @@ def minute_features(logs: DataFrame, keys: list[str] | None = None, ts: str = "e
 
 # ---------------------------------------------------------------- vocabulary and vectors
 
-def fit_vocabulary(cells: DataFrame, feature_col: str = "feature") -> list[str]:
-    """Sorted distinct feature names (a bounded model artefact)."""
-    names = [r[0] for r in cells.select(feature_col).distinct().orderBy(feature_col).limit(MAX_VOCAB + 1).collect()]
-    if len(names) > MAX_VOCAB:
-        raise ValueError(f"feature vocabulary exceeds {MAX_VOCAB} names")
-    return names
-
-
-def dense_vectors(cells: DataFrame, vocab: list[str], row_keys: list[str],
+def vocabulary(cells: DataFrame, feature_col: str = "feature") -> DataFrame:
+    """(i, feature): the distinct names with an index from 0 without gaps, the same
+    for the same names.  Names are dealt into VOCAB_PARTS parts by hash; the parts'
+    sizes give each its first index and every part numbers its own."""
+    names = (cells.select(F.col(feature_col).alias("feature")).where("feature IS NOT NULL").distinct()
+             .withColumn("part", F.pmod(F.xxhash64("feature"), F.lit(VOCAB_PARTS))))
+    sizes = names.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("part")) - F.col("n")       # VOCAB_PARTS rows
+    own = F.row_number().over(Window.partitionBy("part").orderBy("feature")) - 1
+    return (names.withColumn("own", own).join(sizes.select("part", before.alias("first")), "part")
+                 .select((F.col("first") + F.col("own")).cast("int").alias("i"), "feature"))
+
+
+def sparse_vectors(cells: DataFrame, vocab: DataFrame, row_keys: list[str],
+                   feature_col: str = "feature", value_col: str = "n") -> DataFrame:
+    """(row_keys..., cells array<struct<i, x>>) by index; unseen features are dropped
+    (an equi-join with the stored vocabulary)."""
+    known = vocab.select("i", F.col("feature").alias(feature_col))
+    entry = F.struct("i", F.col(value_col).cast("double").alias("x"))
+    return cells.join(known, feature_col).groupBy(*row_keys).agg(F.array_sort(F.collect_list(entry)).alias("cells"))
+
+
+def widened(cells: Column, width: int) -> Column:
+    """Array of ``width`` values from sorted cells: runs of zeros between them."""
+    zeros = lambda n: F.array_repeat(F.lit(0.0), n.cast("int") if isinstance(n, Column) else n)
+    gap = lambda e, k: e["i"] - F.when(k > 0, F.get(cells, k - 1)["i"] + 1).otherwise(0)
+    runs = F.transform(cells, lambda e, k: F.concat(zeros(gap(e, k)), F.array(e["x"])))
+    end = zeros(F.lit(width - 1) - F.element_at(cells, -1)["i"])
+    return F.when(F.size(cells) > 0, F.concat(F.flatten(runs), end)).otherwise(zeros(width))
+
+
+def dense_vectors(cells: DataFrame, vocab: DataFrame, row_keys: list[str],
                   feature_col: str = "feature", value_col: str = "n") -> DataFrame:
-    """(row_keys..., vec array<double>) ordered by ``vocab``; unseen features
-    are dropped, absent ones are 0 (feature alignment)."""
-    v = F.array(*[F.lit(x) for x in vocab])
-    m = F.map_from_entries(F.collect_list(F.struct(F.col(feature_col), F.col(value_col).cast("double"))))
-    return (cells.where(F.col(feature_col).isin(vocab))
-                 .groupBy(*row_keys).agg(m.alias("m"))
-                 .select(*row_keys, F.transform(v, lambda f: F.coalesce(F.col("m")[f], F.lit(0.0))).alias("vec")))
+    """(row_keys..., vec array<double>) ordered by the vocabulary's index; unseen
+    features are dropped, absent ones are 0 (feature alignment)."""
+    rows = sparse_vectors(cells, vocab, row_keys, feature_col, value_col)
+    return rows.select(*row_keys, widened(F.col("cells"), vocab.count()).alias("vec"))
 
 
 def align_cells(cells: DataFrame, vocab: DataFrame, feature_col: str = "feature") -> DataFrame:

@@ -8,7 +8,8 @@ passes; the best inertia of a k is kept.
 Seeds come from a sample of SEED_ROWS vectors (lowest hash first) by k-means++.
 The silhouette takes SILHOUETTE_ROWS vectors (all, if there are no more): one
 pass sums the distances of each of them to *all* vectors by cluster, for every
-candidate k at once.  Vectors are arrays of one width without nulls.
+candidate k at once.  Vectors are arrays of one width without nulls, or sparse
+ones (``sparse.entries``), which a worker widens a few at a time.
 """
 from __future__ import annotations
 
@@ -16,10 +17,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import KMEANS_K, SEED
+from . import sparse as SP
 
 STARTS = 10
 MAX_ITER = 300
@@ -35,17 +37,22 @@ class Fit:
     centres: np.ndarray
     inertia: float
 
-    def by_id(self) -> dict:
-        return {i: [float(x) for x in c] for i, c in enumerate(self.centres)}
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """(cluster, centre), one row a centre."""
+        return SP.centre_table(spark, self.centres).select("cluster", "centre")
 
 
 def matrix(column: pd.Series) -> np.ndarray:
+    if isinstance(column.iloc[0], dict):
+        return SP.widened(column)
     return np.vstack(column.to_numpy()).astype(float)
 
 
 def sampled(df: DataFrame, vec: str, n: int, seed: int) -> np.ndarray:
     """At most n vectors, those of the lowest seeded hash."""
     rows = df.select(vec).orderBy(F.xxhash64(F.lit(seed), vec), vec).limit(n).collect()
+    if rows and hasattr(rows[0][0], "idx"):
+        return SP.widened(pd.Series([r[0].asDict() for r in rows]))
     return np.array([r[0] for r in rows], dtype=float)
 
 
@@ -71,8 +78,8 @@ def summed(df: DataFrame, vec: str, fn) -> np.ndarray:
     def partial(it):
         total = None
         for pdf in it:
-            if len(pdf):
-                part = fn(matrix(pdf[vec]))
+            for at in range(0, len(pdf), SP.CHUNK):
+                part = fn(matrix(pdf[vec].iloc[at:at + SP.CHUNK]))
                 total = part if total is None else total + part
         if total is not None:
             yield pd.DataFrame({"i": np.arange(len(total), dtype="int64"), "v": total})

@@ -18,7 +18,7 @@ from ..functions.constants import SEQ_LENGTH, THRESHOLD_PERCENTILE, VALIDATION_S
 from . import features as FT
 
 
-def scaled_minute_vectors(cells: DataFrame, vocab: list[str], stats: DataFrame | None = None,
+def scaled_minute_vectors(cells: DataFrame, vocab: DataFrame, stats: DataFrame | None = None,
                           series: str = "series_key", minute: str = "minute") -> DataFrame:
     """Min-max scale long minute cells per series and pivot to dense vectors."""
     if stats is None:

@@ -7,16 +7,20 @@ for detection.  Whatever detection needs is stored (``loglens.models``): trees,
 vocabulary, scalers, coefficients, thresholds, centroids, cluster profiles, the
 text encoder.  Records carry a stable id (hash of detector, unit and time).
 
-Defined results: a training range without usable rows stores nothing (``None``);
-detection on a range without usable rows writes no record, and raises
-``FileNotFoundError`` without a stored model (``detect_all`` skips that detector);
+Defined results: a training range without usable rows, or logs without a column
+the detector reads (``COLUMNS``), store nothing (``None``); detection on a range
+without usable rows writes no record, raises ``FileNotFoundError`` without a stored
+model and ``ValueError`` without a column (``detect_all`` skips that detector);
 features, series and values unseen in training are dropped, absent ones are 0.
 
-Scale: the fits are the operators' distributed aggregates.  What the driver holds
-is model-sized (vocabulary, trees, coefficients), never rows of logs.
+Scale: the fits are the operators' distributed aggregates; vocabulary and scalers
+are tables.  What the driver holds is model-sized (trees, coefficients), never
+rows of logs.
 """
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import Column, DataFrame
@@ -31,6 +35,7 @@ from ..operators import features as FT
 from ..operators import forecast as FC
 from ..operators import forest as FO
 from ..operators import sequences as SQ
+from ..operators import sparse as SP
 from ..sources.tables import time_range
 from .detect import conform, union_detector_outputs
 
@@ -38,6 +43,22 @@ TRAIN_MINUTES = 1440
 #: Detection windows, in minutes.
 FOREST_MINUTES, SEQUENCE_MINUTES, MESSAGE_MINUTES = 5, 30, 10
 FOREST, SEQUENCE, MESSAGE = "isolation_forest", "lstm", "bert"
+#: Columns that each detector reads.
+COLUMNS = {FOREST: ("collected_at", "event_ts", "log_level", "component", "message"),
+           SEQUENCE: ("collected_at", "event_ts", "log_level", "component", "message", "source_file"),
+           MESSAGE: ("collected_at", "message")}
+#: Age from which a model is trained anew.
+RETRAIN_HOURS = 24
+
+
+def missing_columns(logs: DataFrame, detector: str) -> list[str]:
+    return [c for c in COLUMNS[detector] if c not in logs.columns]
+
+
+def _need(logs: DataFrame, detector: str) -> None:
+    gone = missing_columns(logs, detector)
+    if gone:
+        raise ValueError(f"{detector} reads columns that the logs don't have: {', '.join(gone)}")
 
 
 def collected(logs: DataFrame, as_of, minutes: int) -> DataFrame:
@@ -67,44 +88,45 @@ def _windows(logs: DataFrame, as_of, span: int, minutes: int) -> Column:
     return _at(as_of) - F.make_dt_interval(F.lit(0), F.lit(0), (back * minutes).cast("int"))
 
 
-def _vectors(cells: DataFrame, vocab: list[str]) -> DataFrame:
+def _vectors(cells: DataFrame, vocab: DataFrame) -> DataFrame:
     """Every bucket's vector, all zero where each of its features is unseen."""
-    dense = FT.dense_vectors(cells, vocab, ["bucket"])
-    zero = F.array_repeat(F.lit(0.0), len(vocab))
-    return cells.select("bucket").distinct().join(dense, "bucket", "left").select("bucket", F.coalesce("vec", zero).alias("vec"))
+    rows = cells.select("bucket").distinct().join(FT.sparse_vectors(cells, vocab, ["bucket"]), "bucket", "left")
+    return rows.select("bucket", FT.widened(F.col("cells"), vocab.count()).alias("vec"))
 
 
 def train_forest(logs: DataFrame, root: str, as_of, minutes: int = TRAIN_MINUTES, width: int = FOREST_MINUTES) -> int | None:
+    if missing_columns(logs, FOREST):
+        return None
     spark = logs.sparkSession
     rows = collected(logs, as_of, minutes)
     cells = FT.feature_counts(rows, _windows(rows, as_of, minutes, width), FT.window_feature_names()).persist()
+    vocab = FT.vocabulary(cells).persist()
+    kept = [cells, vocab]
     try:
-        vocab = FT.fit_vocabulary(cells)
-        if not vocab:
+        if vocab.isEmpty():
             return None
         vecs = _vectors(cells, vocab)
-        means, stds = CL.fit_standardizer(vecs, "vec")
-        x = vecs.select(F.col("bucket").cast("string").alias("key"), CL.standardize(F.col("vec"), means, stds).alias("x")).persist()
+        scaler = CL.fit_standardizer(vecs, "vec").join(vocab, "i").persist()
+        x = CL.standardized(vecs, "vec", scaler, "x").select(F.col("bucket").cast("string").alias("key"), "x").persist()
+        kept += [scaler, x]
         model = FO.fit_forest(x, "key", "x")
         offset = FO.fit_offset(FO.score_forest(x, "x", model))
-        x.unpersist()
+        v = _next_version(logs, root, FOREST)
+        M.save_tables(spark, root, FOREST, v, {"trees": M.forest_to_frame(spark, model), "scaler": scaler},
+                      {"psi": model["psi"], "offset": offset, "width": width, "as_of": str(as_of)})
+        return v
     finally:
-        cells.unpersist()
-    scaler = spark.createDataFrame([(i, *r) for i, r in enumerate(zip(vocab, means, stds))], "i int, feature string, mean double, scale double")
-    v = _next_version(logs, root, FOREST)
-    M.save_tables(spark, root, FOREST, v, {"trees": M.forest_to_frame(spark, model), "scaler": scaler},
-                  {"psi": model["psi"], "offset": offset, "width": width, "as_of": str(as_of)})
-    return v
+        for df in kept:
+            df.unpersist()
 
 
 def detect_forest(logs: DataFrame, root: str, as_of, minutes: int = FOREST_MINUTES) -> DataFrame:
     """One record per window of the trained width that holds logs."""
+    _need(logs, FOREST)
     meta, t = M.load_tables(logs.sparkSession, root, FOREST, ["trees", "scaler"])
-    scaler = t["scaler"].orderBy("i").collect()          # one row a feature
     rows = collected(logs, as_of, minutes).withColumn("bucket", _windows(logs, as_of, minutes, meta["width"]))
     cells = FT.feature_counts(rows, F.col("bucket"), FT.window_feature_names())
-    vecs = _vectors(cells, [r["feature"] for r in scaler])
-    x = vecs.select("bucket", CL.standardize(F.col("vec"), [r["mean"] for r in scaler], [r["scale"] for r in scaler]).alias("x"))
+    x = CL.standardized(_vectors(cells, t["scaler"]), "vec", t["scaler"], "x").select("bucket", "x")
     scored = FO.score_forest(x, "x", M.forest_from_frame(t["trees"], meta["psi"]))
     counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("log_count"))
     return conform(scored.join(counts, "bucket").select(
@@ -120,38 +142,42 @@ def _minute_cells(rows: DataFrame) -> DataFrame:
     return cells.withColumnRenamed("bucket", "minute")
 
 
-def train_sequence(logs: DataFrame, root: str, as_of, minutes: int = TRAIN_MINUTES) -> int | None:
+def train_sequence(logs: DataFrame, root: str, as_of, minutes: int = TRAIN_MINUTES, solver: str = "gram") -> int | None:
+    """``solver``: ``gram`` or ``gradients`` (see ``operators.forecast``)."""
+    if missing_columns(logs, SEQUENCE):
+        return None
     spark = logs.sparkSession
     cells = _minute_cells(collected(logs, as_of, minutes)).persist()
+    vocab = FT.vocabulary(cells).persist()
     try:
-        vocab = FT.fit_vocabulary(cells)
-        if not vocab:
+        if vocab.isEmpty():
             return None
         stats = FT.minmax_stats(cells, ["minute"], group_keys=["series_key"]).persist()
         seqs = SQ.sequences(SQ.scaled_minute_vectors(cells, vocab, stats)).persist()
         if seqs.isEmpty():
             return None
         train = seqs.where(SQ.chrono_split(seqs) == "train")
-        w = FC.fit_ridge(seqs if train.isEmpty() else train)
+        w = FC.SOLVERS[solver](seqs if train.isEmpty() else train)
         errors = FC.forecast_errors(seqs, w)
         thresholds = errors.groupBy("series_key").agg(F.percentile("error", 0.95).alias("threshold"))
         v = _next_version(logs, root, SEQUENCE)
         M.save_tables(spark, root, SEQUENCE, v, {
-            "vocab": spark.createDataFrame(list(enumerate(vocab)), "i int, feature string"), "scaler": stats,
+            "vocab": vocab, "scaler": stats,
             "coefficients": M.matrix_to_frame(spark, w), "thresholds": thresholds}, {"as_of": str(as_of)})
         seqs.unpersist()
         stats.unpersist()
         return v
     finally:
+        vocab.unpersist()
         cells.unpersist()
 
 
 def detect_sequence(logs: DataFrame, root: str, as_of, minutes: int = SEQUENCE_MINUTES) -> DataFrame:
     """One record per trained series with enough minutes for a sequence."""
+    _need(logs, SEQUENCE)
     _, t = M.load_tables(logs.sparkSession, root, SEQUENCE, ["vocab", "scaler", "coefficients", "thresholds"])
-    vocab = [r["feature"] for r in t["vocab"].orderBy("i").collect()]
     rows = collected(logs, as_of, minutes)
-    seqs = SQ.sequences(SQ.scaled_minute_vectors(_minute_cells(rows), vocab, t["scaler"]))
+    seqs = SQ.sequences(SQ.scaled_minute_vectors(_minute_cells(rows), t["vocab"], t["scaler"]))
     errors = FC.forecast_errors(seqs, M.matrix_from_frame(t["coefficients"]))
     counts = rows.groupBy(F.col("source_file").alias("series_key")).agg(F.count(F.lit(1)).alias("log_count"))
     found = SQ.error_summary(errors, threshold=t["thresholds"]).join(counts, "series_key")
@@ -169,14 +195,15 @@ def _messages(rows: DataFrame) -> DataFrame:
 
 
 def _located(encoder, clusters, messages: DataFrame) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-    vecs = encoder.transform(messages).select("message", "n", vector_to_array("_vec").alias("vec"))
-    return CL.kmeans_assign(clusters, vecs, "vec").select("message", "n", "cluster", "distance")
+    vecs = EM.encoded(encoder, messages).select("message", "n", "features")     # sparse
+    return CL.kmeans_assign(clusters, vecs).select("message", "n", "cluster", "distance")
 
 
 def train_message(logs: DataFrame, root: str, as_of, minutes: int = TRAIN_MINUTES, k: int = KMEANS_K, choose_k: bool = False) -> int | None:
     """Encoder, centroids and per-cluster distance profile of the distinct messages.
     With ``choose_k`` the silhouette search sets ``k`` and the model is fitted anew."""
+    if missing_columns(logs, MESSAGE):
+        return None
     spark = logs.sparkSession
     messages = _messages(collected(logs, as_of, minutes)).persist()
     try:
@@ -184,8 +211,8 @@ def train_message(logs: DataFrame, root: str, as_of, minutes: int = TRAIN_MINUTE
             return None
         encoder, vecs = EM.tfidf_vectors(messages, "message")
         if choose_k:
-            k = CL.best_k(CL.k_search(vecs, "vec", k), k)
-        clusters = CL.kmeans_fit(vecs, "vec", k=k)
+            k = CL.best_k(CL.k_search(vecs.select(SP.entries(F.col("features")).alias("vec")), "vec", k), k)
+        clusters = CL.kmeans_fit(vecs, k=k)
         profile = CL.distance_profile(_located(encoder, clusters, messages))
         v = _next_version(logs, root, MESSAGE)
         d = M.version_dir(root, MESSAGE, v)
@@ -199,6 +226,7 @@ def train_message(logs: DataFrame, root: str, as_of, minutes: int = TRAIN_MINUTE
 
 def flagged_messages(logs: DataFrame, root: str, as_of, minutes: int = MESSAGE_MINUTES) -> DataFrame:
     """(message, n, cluster, distance, is_anomaly) of the window's distinct messages."""
+    _need(logs, MESSAGE)
     spark = logs.sparkSession
     v = M.latest_version(spark, root, MESSAGE)
     _, t = M.load_tables(spark, root, MESSAGE, ["cluster_profile"], v)
@@ -230,17 +258,43 @@ def message_samples(flagged: DataFrame, n: int = 5, chars: int = 100) -> DataFra
 
 # ---------------------------------------------------------------- all detectors
 
+TRAIN = {FOREST: train_forest, SEQUENCE: train_sequence, MESSAGE: train_message}
+DETECT = {FOREST: detect_forest, SEQUENCE: detect_sequence, MESSAGE: detect_message}
+
+
 def train_all(logs: DataFrame, root: str, as_of, minutes: int = TRAIN_MINUTES) -> dict[str, int | None]:
-    return {FOREST: train_forest(logs, root, as_of, minutes), SEQUENCE: train_sequence(logs, root, as_of, minutes),
-            MESSAGE: train_message(logs, root, as_of, minutes)}
+    return {name: train(logs, root, as_of, minutes) for name, train in TRAIN.items()}
+
+
+def is_due(logs: DataFrame, root: str, detector: str, as_of, hours: float = RETRAIN_HOURS) -> bool:
+    """No model yet, or the latest was fitted ``hours`` before ``as_of`` or longer ago."""
+    if M.latest_version(logs.sparkSession, root, detector) is None:
+        return True
+    meta, _ = M.load_tables(logs.sparkSession, root, detector, [])
+    age = datetime.fromisoformat(str(as_of)) - datetime.fromisoformat(meta["as_of"])
+    return age >= timedelta(hours=hours)
+
+
+def train_due(logs: DataFrame, root: str, as_of, minutes: int = TRAIN_MINUTES, hours: float = RETRAIN_HOURS) -> dict[str, int | None]:
+    """Train the detectors whose model is missing or too old; the version that
+    detection will then use of each (``None``: none, for lack of rows or columns)."""
+    for name, train in TRAIN.items():
+        if is_due(logs, root, name, as_of, hours):
+            train(logs, root, as_of, minutes)
+    return {name: M.latest_version(logs.sparkSession, root, name) for name in TRAIN}
 
 
 def detect_all(logs: DataFrame, root: str, as_of, minutes: dict[str, int] | None = None) -> DataFrame:
-    """Records of every detector that has a stored model, in the anomaly schema."""
+    """Records, in the anomaly schema, of every detector that has a stored model and its columns."""
     minutes = {FOREST: FOREST_MINUTES, SEQUENCE: SEQUENCE_MINUTES, MESSAGE: MESSAGE_MINUTES} | (minutes or {})
-    found = [detect(logs, root, as_of, minutes[name])
-             for name, detect in ((FOREST, detect_forest), (SEQUENCE, detect_sequence), (MESSAGE, detect_message))
-             if M.latest_version(logs.sparkSession, root, name) is not None]
+    found = [detect(logs, root, as_of, minutes[name]) for name, detect in DETECT.items()
+             if not missing_columns(logs, name) and M.latest_version(logs.sparkSession, root, name) is not None]
     if not found:
         raise FileNotFoundError(f"no model under {root}")
     return union_detector_outputs(*found)
+
+
+def cycle(logs: DataFrame, root: str, as_of, minutes: dict[str, int] | None = None) -> DataFrame:
+    """One turn of the detectors: train what is missing or a day old, then detect."""
+    train_due(logs, root, as_of)
+    return detect_all(logs, root, as_of, minutes)

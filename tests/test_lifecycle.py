@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from loglens import models as M
@@ -51,3 +52,26 @@ def test_chosen_k_is_fitted(spark, tmp_path):
     flagged = LC.flagged_messages(logs, root, "2024-01-01 00:00:00", 10)
     assert flagged.agg(F.sum("n")).first()[0] == len(rows)
     assert all(len(r.message) <= 4 for r in LC.message_samples(flagged, 5, 4).collect())
+
+
+def test_training_when_missing_or_old(spark, sf_small, tmp_path):
+    root = str(tmp_path / "models")
+    logs = TB.logs(spark, sf_small).select("message", "collected_at")
+    only = {LC.FOREST: None, LC.SEQUENCE: None, LC.MESSAGE: 1}        # the others lack columns
+    assert LC.train_due(logs, root, AS_OF, TRAIN) == only
+    assert LC.train_due(logs, root, "2024-01-20 23:59:59", TRAIN) == only
+    assert LC.train_due(logs, root, "2024-01-21 00:00:00", TRAIN) == only | {LC.MESSAGE: 2}
+    assert LC.train_due(logs, root, "2024-01-21 02:00:00", TRAIN, hours=2) == only | {LC.MESSAGE: 3}
+    assert LC.train_due(logs, str(tmp_path / "none"), "2020-01-01 00:00:00") == dict.fromkeys(only)
+    got = LC.cycle(logs, root, "2024-01-21 03:00:00", {LC.MESSAGE: DETECT})
+    assert {r.detector_type for r in got.collect()} == {LC.MESSAGE} and M.latest_version(spark, root, LC.MESSAGE) == 3
+
+
+def test_logs_without_a_column(trained):
+    logs, root = trained
+    assert LC.missing_columns(logs.drop("message", "source_file"), LC.SEQUENCE) == ["message", "source_file"]
+    with pytest.raises(ValueError, match="component"):
+        LC.detect_forest(logs.drop("component"), root, LATER, DETECT)
+    assert LC.train_sequence(logs.drop("source_file"), root, AS_OF, TRAIN) is None
+    minutes = dict.fromkeys((LC.FOREST, LC.SEQUENCE, LC.MESSAGE), DETECT)
+    assert {r.detector_type for r in LC.detect_all(logs.drop("component"), root, LATER, minutes).select("detector_type").collect()} == {LC.MESSAGE}
