@@ -1,11 +1,15 @@
 """Sharding by minimax contiguous partition of atomic groups.
 
 Rows with equal texts form an atomic group (keyed by the 64-bit hash of the
-text) and never part.  Groups larger than an even share of what the other
-shards must hold get a shard each; the others, in order of their key, are cut
-into contiguous runs: a binary search finds the smallest capacity for which a
-greedy pass from the left needs no more shards than there are, and the greedy
-pass at that capacity gives the cuts.
+text) and never part.  In order of their key they are cut into contiguous runs:
+a binary search finds the smallest capacity for which a greedy pass from the
+left needs no more shards than there are, and the greedy pass at that capacity
+gives the cuts.
+
+A group larger than an even share of what the other shards must hold makes
+that capacity so large that few shards take all the rest.  Such groups are then
+given a shard each and the others are cut among the remaining shards, unless
+that needs a larger capacity than the cut of the full order.
 
 The search never sees all groups.  The driver holds sums over key ranges
 (2**FIRST_BITS at the start).  At every capacity two greedy passes bound the
@@ -124,7 +128,9 @@ def minimax_cuts(groups: DataFrame, k: int) -> tuple[int, list[int]]:
 
 
 def plan(groups: DataFrame, k: int) -> tuple[list[int], list[int]]:
-    """(keys of the groups with a shard each, cuts of the others)."""
+    """(keys of the groups with a shard each, cuts of the others); no shard holds
+    more than the smallest capacity of the full order."""
+    cap, cuts = minimax_cuts(groups, k)
     top = groups.orderBy(F.desc("bytes"), "grp").limit(k).collect()   # k rows
     rest = int(groups.agg(F.sum("bytes")).first()[0] or 0)
     alone = []
@@ -133,8 +139,11 @@ def plan(groups: DataFrame, k: int) -> tuple[list[int], list[int]]:
             break
         alone.append(int(r["grp"]))
         rest -= int(r["bytes"])
-    others = groups.filter(~F.col("grp").isin(alone)) if alone else groups
-    return alone, minimax_cuts(others, k - len(alone))[1]
+    if alone:
+        own_cap, own_cuts = minimax_cuts(groups.filter(~F.col("grp").isin(alone)), k - len(alone))
+        if own_cap <= cap:      # a group is never larger than cap
+            return alone, own_cuts
+    return [], cuts
 
 
 def shard_column(alone: list[int], cuts: list[int], grp: Column) -> Column:

@@ -29,6 +29,24 @@ def test_capacity_is_the_smallest(spark, monkeypatch):
         assert max(sums) == cap and len(sums) <= k
 
 
+def test_groups_of_their_own_never_need_more_than_the_full_order(spark, monkeypatch):
+    monkeypatch.setattr(shards, "FIRST_BITS", 3)
+    rng = random.Random(8)
+    apart = []
+    for case in range(5):
+        k = rng.choice([2, 3, 5])
+        keys = sorted({rng.randrange(-2**63, 2**63) for _ in range(14)})
+        sizes = [rng.choice([1, 9, 30, 31, 60, 400]) for _ in keys]
+        alone, cuts = shards.plan(spark.createDataFrame(list(zip(keys, sizes)), "grp long, bytes long"), k)
+        sums = [0] * (k + 1)
+        for g, s in zip(keys, sizes):
+            at = len(cuts) + 1 + alone.index(g) if g in alone else sum(g >= c for c in cuts)
+            sums[at] += s
+        assert not sums[k] and max(sums) <= best_capacity(sizes, k)
+        apart.append(bool(alone))
+    assert len(set(apart)) == 2
+
+
 def test_edge_rows(edge_docs, edge_rows, no_docs):
     got = shards.shard(edge_docs, 4).collect()
     assert len(got) == len(edge_rows)
