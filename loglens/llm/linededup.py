@@ -13,16 +13,16 @@ change for the touched keys only, and each filter takes or drops just the
 fingerprints of keys that crossed ``min_docs`` (a shard that overflows is built
 again, larger, from the exact table).  ``apply`` drops lines: a document's keys
 are probed in the filters first, and what passes is confirmed by the exact
-table, so a false positive never drops a line.  The filters are sent to the
-workers only while they total MAX_FILTER_BYTES; beyond it every key goes to
-the exact join, which gives the same rows.
+table, so a false positive never drops a line.  Filters stay sharded: each goes
+to the parts of its shard's references (PROBE_ROWS a part, about), whatever
+their number, and never to the driver.
 
 Rules: keys of at least ``min_chars`` code points found in at least
 ``min_docs`` documents lose all their lines but those in the largest doc id.
 Defined results: a null or empty text is one empty line; a null id counts as
-the largest id; rows with the same id each count as a document and keep or
-lose their lines together; empty tables give empty results; other columns pass
-through untouched.  A hot line is counted per task before any shuffle, and
+the largest id; rows with the same id (or none) are one document, counted once,
+and keep or lose their lines together; empty tables give empty results; other
+columns pass through untouched.  A hot line is counted per task before any shuffle, and
 the join on keys is one that Spark can split.
 """
 from __future__ import annotations
@@ -36,12 +36,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_or_last, keep_only, map_arrow, pick, stored, table
+from ..session import ship_package
+from .common import id_or_last, is_empty, keep_only, map_arrow, pick, stored, table
 
 MIN_CHARS, MIN_DOCS = 40, 5
-#: Keys in a shard's filter, about; and the size up to which filters are sent.
+#: Keys in a shard's filter, and references probed at a time, about.
 SHARD_KEYS = 1 << 16
-MAX_FILTER_BYTES = 64 << 20
+PROBE_ROWS = 200_000
+#: Rounds in which a filter moves residents before it counts as too full.
 MAX_KICKS = 500
 SLOTS = 4
 BLANK = b" \t\n\x0b\x0c\r"
@@ -64,6 +66,18 @@ def utf8_list(column: pa.Array) -> list[bytes | None]:
 
 
 def occurrences(df: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(k1, k2, doc), stored, once for each document and key; only documents of
+    several rows need to be made distinct."""
+    refs = stored(row_keys(df, min_chars, id_col, text_col), "line_refs")
+    again = pick(df, doc=id_col).groupBy(id_or_last("doc").alias("doc")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc")
+    again = stored(again, "line_repeated_ids")
+    if is_empty(again):
+        return refs
+    once = refs.join(again, "doc", "left_semi").select("k1", "k2", "doc").distinct()
+    return stored(refs.join(again, "doc", "left_anti").select("k1", "k2", "doc").unionByName(once), "line_refs")
+
+
+def row_keys(df: DataFrame, min_chars: int, id_col: str, text_col: str) -> DataFrame:
     """(k1, k2, doc) once for each row and key."""
     rows = pick(df, doc=id_col, text=text_col).withColumn("doc", id_or_last("doc"))
 
@@ -91,6 +105,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def one_each(buckets: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Positions of one key a bucket among those marked in ``which``."""
+    at = np.flatnonzero(which)
+    return at[np.unique(buckets[at], return_index=True)[1]]
+
+
 class CuckooFilter:
     """Partial-key cuckoo filter: 16-bit fingerprints, SLOTS a bucket.  Keys are
     pairs of longs; supports add, remove and vectorised lookup."""
@@ -129,28 +149,43 @@ class CuckooFilter:
         return i ^ step.astype(np.int64)
 
     def add(self, k1, k2) -> bool:
-        """False if the filter is too full; it must then be built anew."""
+        """False if the filter is too full; it must then be built anew.  All keys
+        advance together: in a round each bucket takes one key into a free slot,
+        and of the keys without one, one a bucket moves a resident on."""
         rng = np.random.default_rng(len(k1))
-        for m, i, j in zip(*self.places(k1, k2)):
-            for _ in range(MAX_KICKS):
-                spot = next(((b, s) for b in (i, j) for s in range(SLOTS) if self.table[b, s] == 0), None)
-                if spot:
-                    self.table[spot] = m
-                    break
-                i = (i, j)[rng.integers(2)]       # move a resident to its other bucket
-                s = rng.integers(SLOTS)
-                self.table[i, s], m = m, self.table[i, s]
-                i = j = int(self.other(i, m)[0])
-            else:
-                return False
-        return True
+        mark, i, j = self.places(k1, k2)
+        for _ in range(MAX_KICKS):
+            if not len(mark):
+                return True
+            in_i = (self.table[i] == 0).any(axis=1)
+            at = np.where(in_i, i, j)
+            free = self.table[at] == 0
+            fits = free.any(axis=1)
+            put = one_each(at, fits)
+            self.table[at[put], free[put].argmax(axis=1)] = mark[put]
+            at = np.where(rng.integers(2, size=len(i)) == 0, i, j)
+            move, slot = one_each(at, ~fits), rng.integers(SLOTS, size=len(i))
+            move = move[(self.table[at[move]] != 0).all(axis=1)]
+            b, s = at[move], slot[move]
+            mark[move], self.table[b, s] = self.table[b, s], mark[move]
+            i[move] = j[move] = self.other(b, mark[move])
+            left = np.ones(len(mark), bool)
+            left[put] = False
+            mark, i, j = mark[left], i[left], j[left]
+        return not len(mark)
 
     def remove(self, k1, k2) -> None:
         """Keys must have been added before."""
-        for m, i, j in zip(*self.places(k1, k2)):
-            spot = next(((b, s) for b in (i, j) for s in range(SLOTS) if self.table[b, s] == m), None)
-            if spot:
-                self.table[spot] = 0
+        mark, i, j = self.places(k1, k2)
+        while len(mark):
+            at = np.where((self.table[i] == mark[:, None]).any(axis=1), i, j)
+            hit = self.table[at] == mark[:, None]
+            found = hit.any(axis=1)
+            out = one_each(at, found)
+            self.table[at[out], hit[out].argmax(axis=1)] = 0
+            left = found.copy()
+            left[out] = False
+            mark, i, j = mark[left], i[left], j[left]
 
     def has(self, k1, k2) -> np.ndarray:
         m, i, j = self.places(k1, k2)
@@ -193,7 +228,7 @@ def built_filters(repeated: DataFrame, shards: int) -> DataFrame:
 
 def build(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, **cols: str) -> LineIndex:
     """Index of a corpus (an insertion into an empty index, in bulk)."""
-    refs = stored(occurrences(docs, min_chars, **cols), "line_refs")
+    refs = occurrences(docs, min_chars, **cols)
     counts = stored(counted(refs), "line_counts")
     n = counts.filter(F.col("n_docs") >= min_docs).count()
     shards = 1 << max(0, int(np.ceil(np.log2(max(1, n) / SHARD_KEYS))))
@@ -242,8 +277,10 @@ def _with_changes(index: LineIndex, refs: DataFrame, touched: DataFrame) -> Line
 
 
 def insert(index: LineIndex, docs: DataFrame, min_chars: int = MIN_CHARS, **cols: str) -> LineIndex:
-    """The index with more documents."""
-    more = stored(occurrences(docs, min_chars, **cols), "line_refs")
+    """The index with more documents; a document that it holds gets more lines."""
+    more = occurrences(docs, min_chars, **cols)
+    held = index.refs.join(more.select("doc").distinct(), "doc", "left_semi")
+    more = stored(more.join(held, ["k1", "k2", "doc"], "left_anti"), "line_refs")
     keys = more.select("k1", "k2").distinct()
     touched = (index.counts.join(keys, ["k1", "k2"], "left_semi").unionByName(counted(more))
                .groupBy("k1", "k2").agg(F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc")))
@@ -263,26 +300,25 @@ def delete(index: LineIndex, doc_ids: DataFrame, id_col: str = "doc_id") -> Line
 # -------------------------------------------------------------------- apply
 
 def probed(index: LineIndex, refs: DataFrame) -> DataFrame:
-    """The refs whose key may be repeated, by the filters."""
-    size = index.filters.agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    if size > MAX_FILTER_BYTES:
-        return refs
-    spark = refs.sparkSession
-    sent = spark.sparkContext.broadcast({r["shard"]: (r["buckets"], bytes(r["data"])) for r in index.filters.collect()})
-    shards = index.shards
-
-    def run(batches):
-        filters = {s: CuckooFilter.loaded(b, d) for s, (b, d) in sent.value.items()}
-        for b in batches:
-            k1, k2 = b.column(0).to_numpy(), b.column(1).to_numpy()
-            shard, keep = k1 & (shards - 1), np.zeros(len(k1), bool)
-            for s in np.unique(shard):
-                if s in filters:
-                    at = np.flatnonzero(shard == s)
-                    keep[at] = filters[s].has(k1[at], k2[at])
-            yield b.filter(pa.array(keep))
+    """The refs whose key may be repeated, by the filters.  A shard's references
+    (a hot key may hold a third of all) are dealt into parts by their number, and
+    its filter goes to each of them."""
+    ship_package(refs.sparkSession)
+    placed = refs.select("k1", "k2", "doc", shard_of(index.shards).alias("shard"))
+    parts = stored(placed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / F.lit(PROBE_ROWS)).cast("int").alias("parts")), "line_parts")
+    by_shard = parts.agg(F.map_from_entries(F.collect_list(F.struct("shard", "parts"))).alias("by_shard"))   # a pair for SHARD_KEYS repeated keys
+    part = F.pmod(F.xxhash64("doc", "k2", "k1"), F.element_at("by_shard", F.col("shard"))).cast("int")
+    dealt = placed.crossJoin(F.broadcast(by_shard)).withColumn("part", part).drop("by_shard")                # one row
+    copies = index.filters.join(parts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "buckets", "data")
+
+    def run(left, right):
+        keep_only("linededup")
+        if not len(right):
+            return left.iloc[:0][["k1", "k2", "doc"]]
+        f = CuckooFilter.loaded(int(right["buckets"].iloc[0]), bytes(right["data"].iloc[0]))
+        return left.loc[f.has(left["k1"].to_numpy(np.int64), left["k2"].to_numpy(np.int64)), ["k1", "k2", "doc"]]
 
-    return map_arrow(refs.select("k1", "k2", "doc"), run, "k1 long, k2 long, doc long")
+    return dealt.groupBy("shard", "part").cogroup(copies.groupBy("shard", "part")).applyInPandas(run, "k1 long, k2 long, doc long")
 
 
 def drops(index: LineIndex, refs: DataFrame | None = None) -> DataFrame:
@@ -345,16 +381,17 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_OP4 = r"""
-WITH lines AS (
-  SELECT doc_id, i, l, translate(regexp_replace(l, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce(doc_id, 9223372036854775807) AS doc,
+                     string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (
+  SELECT row, doc_id, doc, i, l, translate(regexp_replace(l, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
                                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
-  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l,
-               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)),
-hot AS (SELECT k, max(doc_id) AS last FROM lines WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
-marked AS (SELECT lines.*, hot.k IS NOT NULL AND doc_id <> hot.last AS gone FROM lines LEFT JOIN hot USING (k))
+  FROM (SELECT row, doc_id, doc, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM docs)),
+hot AS (SELECT k, max(doc) AS last FROM lines WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc) >= 5),
+marked AS (SELECT lines.*, hot.k IS NOT NULL AND doc <> hot.last AS gone FROM lines LEFT JOIN hot USING (k))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
+FROM marked GROUP BY row, doc_id
 """
 
 QUERIES = {"op4_line_dedup": op4_line_dedup}
