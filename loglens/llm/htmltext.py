@@ -2,12 +2,19 @@
 
 A page is cut into flat blocks at block-level tags.  A block's features are its
 words and link density, those of the blocks before and after it, whether it is
-a heading, and two facts about the elements around it: inside article-like
+a heading, and facts about the elements around it: inside article-like
 elements, and the part of the page's words without links that lies outside the
-narrowest boilerplate element around the block (by tag, role or class and id
-words): near 0 for a wrapper of the whole page, near 1 for a small box.  A
-decision tree (Gini, grown on the driver from the blocks of the small labelled
-pages below) says which blocks are main text.
+boilerplate elements around the block: near 0 for a wrapper of the whole page,
+near 1 for a small box.  That part is taken twice: for elements that are
+boilerplate by tag, role or a plain name (``sidenav``, ``cookieBanner``), and
+for those whose name only hints at it (``legal``, ``form-field``,
+``has-sidebar``), which in an article mostly hold its text.  A decision tree
+(Gini, grown on the driver from the blocks of the small labelled pages below)
+says which blocks are main text.
+
+Reader comments are found by name, as an article within an article, or below a
+heading that says just "Comments" (four languages), up to the next heading of
+its rank or the end of the element that holds it.
 
 Inside a block character references are decoded, white space becomes one
 space, and ends are trimmed; kept blocks are joined by one newline.  Nothing
@@ -36,7 +43,7 @@ BLOCKS = frozenset("""address article aside blockquote body center dd details di
     caption head""".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements whose content is no text of the page.
-SKIPPED = frozenset("script style noscript template textarea title iframe svg math select button object canvas audio video noembed noframes xmp datalist".split())
+SKIPPED = frozenset("script style noscript template textarea title iframe svg select button object canvas audio video noembed noframes xmp datalist".split())
 #: Elements that are followed on the stack of open elements.
 HELD = frozenset("article aside blockquote details dialog div fieldset figure footer form header main menu nav ol search section table td ul li dl".split())
 #: Of those, the ones a new sibling closes.
@@ -46,45 +53,103 @@ BAD_TAGS = frozenset("aside dialog fieldset footer form menu nav search".split()
 HARD_TAGS = frozenset("aside dialog footer menu nav search".split())
 GOOD_TAGS = frozenset("article main".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
+#: Words of names that are boilerplate wherever they stand.
 BAD_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright
-    disclaimer discussion disqus footer form gdpr header legal login masthead menu modal nav navbar navigation newsletter notice notices pager
-    pagination popup promo related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget""".split())
+    disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo related replies reply
+    respond share sharing sidebar signup social sponsor sponsored subscribe toolbar""".split())
+#: Words of names that as often belong to the text.
+WEAK_WORDS = frozenset("disclaimer discussion form header legal login widget".split())
+#: Of the first, those of reader comments: they never wrap the main text.
+COMMENT_WORDS = frozenset("comment comments disqus replies reply respond".split())
 GOOD_WORDS = frozenset("article content entry main post story".split())
-NAME = re.compile(r"[a-z]+")
+#: First words that make a name tell of something else: 'has-sidebar', 'category-ads'.
+SOFT_STARTS = frozenset("category has hide no tag type with without".split())
+#: Words that are joined with the others to one: 'sidenav', 'relatedposts'.
+JOINED_WORDS = frozenset("""area articles bar block body bottom box btn button buttons column container global inner item left links list login outer page panel
+    posts right section side site stories text title top wrap wrapper""".split())
+KNOWN_WORDS = BAD_WORDS | WEAK_WORDS | GOOD_WORDS | JOINED_WORDS
+LONGEST = max(map(len, KNOWN_WORDS))
+#: Words of a name: runs of small letters, an upper case letter begins one.
+NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+#: Headings of reader comments.
+COMMENT_HEADING = re.compile(
+    r"\(?\d*\)? ?(?:reader |user )?(?:comments|replies|responses|kommentare|leserkommentare|commentaires|comentarios|leave a (?:comment|reply))"
+    r" ?:? ?\(?\d*\)?", re.I)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "heading", "inside", "boilerplate")
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "heading", "inside", "boilerplate", "hinted")
+#: How an element is boilerplate.
+PLAIN, HINTED, STRONG, HARD = range(4)
 
 
 class Block:
-    __slots__ = ("text", "words", "linked", "heading", "inside", "bad")
+    __slots__ = ("text", "words", "linked", "heading", "inside", "bad", "hinted")
 
     def __init__(self, text, words, linked, heading, inside, bad):
-        self.text, self.words, self.linked, self.heading, self.inside, self.bad = text, words, linked, heading, inside, bad
-
-
-def kind_of(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
-    """(article-like, boilerplate) of an element by its tag and names.  Names
-    of an article or main element don't undo its tag; the header of an
-    article belongs to it."""
-    good, bad = False, tag in BAD_TAGS or (tag == "header" and not inside)
+        self.text, self.words, self.linked, self.heading, self.inside, self.bad, self.hinted = text, words, linked, heading, inside, bad, 0.0
+
+
+def split_joined(word: str) -> list[str]:
+    """The known words that make up ``word``, or the word itself if it isn't
+    such a chain or is known; the fewest words win."""
+    if word in KNOWN_WORDS:
+        return [word]
+    best: list[tuple[int, int] | None] = [(0, 0)] + [None] * len(word)      # (number of words, start of the last)
+    for end in range(1, len(word) + 1):
+        for start in range(max(0, end - LONGEST), end):
+            if best[start] and word[start:end] in KNOWN_WORDS and (best[end] is None or best[start][0] + 1 < best[end][0]):
+                best[end] = best[start][0] + 1, start
+    if not best[-1]:
+        return [word]
+    out, end = [], len(word)
+    while end:
+        start = best[end][1]
+        out.append(word[start:end])
+        end = start
+    return out[::-1]
+
+
+@lru_cache(maxsize=4096)
+def name_kind(name: str) -> tuple[bool, int, bool]:
+    """(article-like, how it is boilerplate, header only) of one class or id."""
+    words = [w for part in NAME.findall(name) for w in split_joined(part.lower())]
+    found = set(words)
+    soft = bool(words) and words[0] in SOFT_STARTS
+    if found & BAD_WORDS:
+        how = HINTED if soft else HARD if found & COMMENT_WORDS else STRONG
+    else:
+        how = HINTED if found & WEAK_WORDS else PLAIN
+    return bool(found & GOOD_WORDS) and not soft, how, how == HINTED and found & WEAK_WORDS == {"header"} and not soft
+
+
+def kind_of(tag: str, attributes: str, inside: bool, in_article: bool = False) -> tuple[bool, int]:
+    """(article-like, how it is boilerplate) of an element by its tag and
+    names.  Names of an article or main element hint at most; the header of an
+    article belongs to it; an article in an article is a comment or a teaser."""
+    good = False
+    bad = HARD if tag in HARD_TAGS else STRONG if tag in BAD_TAGS or tag == "header" and not inside or tag == "article" and in_article else PLAIN
     if "=" in attributes:
+        named = PLAIN
         for m in ATTRIBUTE.finditer(attributes):
-            words = set(NAME.findall((m[2] or m[3] or m[4] or "").lower()))
+            value = m[2] or m[3] or m[4] or ""
             if m[1].lower() == "role":
-                good, bad = good or bool(words & {"main", "article"}), bad or bool(words & BAD_ROLES)
-            else:
-                own = words & GOOD_WORDS
-                bad = bad or bool((words - {"header"} if inside or own else words) & BAD_WORDS)
-                good = good or bool(own)
-    return tag in GOOD_TAGS or good and not bad, bad
+                words = set(value.lower().split())
+                good, bad = good or bool(words & {"main", "article"}), max(bad, STRONG if words & BAD_ROLES else PLAIN)
+                continue
+            kinds = [name_kind(name) for name in value.split()]
+            own = any(k[0] for k in kinds)
+            good = good or own
+            named = max([named, *(k[1] for k in kinds if not (k[2] and (inside or own)))])
+        bad = max(bad, min(named, HINTED) if tag in GOOD_TAGS else named)
+    return tag in GOOD_TAGS and bad < STRONG or good and not bad, bad
 
 
-def outside_parts(out: list[Block], parents: list[int], hard: list[bool]) -> None:
+def outside_parts(out: list[Block], parents: list[int], kinds: list[int]) -> None:
     """Turn ``bad`` of the blocks, the number of their narrowest boilerplate
-    element or -1, into the part of the page's words outside of it; 1 if most
-    of the text of articles lies outside, or the element never wraps any."""
+    element or -1, into the part of the page's words outside of such elements
+    (``hinted`` for those only hinted at); 1 if most of the text of articles
+    lies outside, or the element never wraps any."""
     plain = [b.words - b.linked for b in out]
     total, article = sum(plain), sum(n for n, b in zip(plain, out) if b.inside)
     words, inner = [0] * len(parents), [0] * len(parents)
@@ -96,13 +161,14 @@ def outside_parts(out: list[Block], parents: list[int], hard: list[bool]) -> Non
         if parents[e] >= 0:
             words[parents[e]] += words[e]
             inner[parents[e]] += inner[e]
-    part = []
+    parts = []                                      # (of plain boilerplate, of what is hinted at)
     for e, up in enumerate(parents):
-        own = 1.0 if hard[e] or not total or 2 * inner[e] < article else 1 - words[e] / total
-        part.append(max(own, part[up]) if up >= 0 else own)
+        own = 1.0 if kinds[e] == HARD or not total or 2 * inner[e] < article else 1 - words[e] / total
+        own = max(own, 0.001)                       # a box that holds everything is still marked
+        strong, hinted = parts[up] if up >= 0 else (0.0, 0.0)
+        parts.append((strong, max(own, hinted)) if kinds[e] == HINTED else (max(own, strong), hinted))
     for b in out:
-        # a box that holds everything is still marked
-        b.bad = max(part[b.bad], 0.001) if b.bad >= 0 else 0.0
+        b.bad, b.hinted = parts[b.bad] if b.bad >= 0 else (0.0, 0.0)
 
 
 def tag_end(page: str, start: int, no_quote_from: list[int]) -> int:
@@ -138,7 +204,10 @@ def blocks(page: str | None) -> list[Block]:
         return out
     held: list[tuple[str, bool, int]] = []      # open elements: tag, inside an article, narrowest boilerplate element
     parents: list[int] = []                     # of boilerplate elements: the next one around
-    hard: list[bool] = []
+    kinds: list[int] = []
+    comments: list[tuple[int, int, int, int]] = []   # heading of comments: rank, open elements at it, its number as an element, blocks with it
+    open_tags: dict[str, int] = {}              # number of open elements by tag
+    rank = 0                                    # of the heading at hand
     parts: list[str] = []
     linked_parts: list[str] = []
     heading, own_bad = False, -1
@@ -154,14 +223,19 @@ def blocks(page: str | None) -> list[Block]:
                 n = text.count(" ") + 1
                 linked = min(n, len(SPACE.sub(" ", " ".join(linked_parts)).split()))
                 top = held[-1] if held else ("", False, -1)
-                out.append(Block(text, n, linked, heading, top[1], own_bad if own_bad >= 0 else top[2]))
+                if heading and comments and rank <= comments[-1][0]:
+                    comments.pop()
+                if heading and not comments and COMMENT_HEADING.fullmatch(text):
+                    comments.append((rank, len(held), marked(HARD, top[2]), len(out) + 1))
+                bad = own_bad if own_bad >= 0 else top[2]
+                out.append(Block(text, n, linked, heading, top[1], comments[-1][2] if comments else bad))
         parts.clear()
         linked_parts.clear()
         heading, own_bad = False, -1
 
-    def marked(tag: str, around: int) -> int:
+    def marked(kind: int, around: int) -> int:
         parents.append(around)
-        hard.append(tag in HARD_TAGS)
+        kinds.append(kind)
         return len(parents) - 1
 
     def text(s: str):
@@ -222,22 +296,31 @@ def blocks(page: str | None) -> list[Block]:
             in_link = 0
             inside, bad = held[-1][1:] if held else (False, -1)
             if closing:
-                if tag in HELD and any(h[0] == tag for h in held):
-                    while held.pop()[0] != tag:
-                        pass
+                if tag in HELD and open_tags.get(tag):
+                    while True:
+                        gone = held.pop()[0]
+                        open_tags[gone] -= 1
+                        if gone == tag:
+                            break
+                    if comments and len(held) < comments[-1][1]:
+                        was, _, number, seen = comments.pop()
+                        if len(out) == seen:         # the element held just the heading
+                            comments.append((was, len(held), number, seen))
                 continue
-            good, own = kind_of(tag, page[m.end():at - 1], inside)
+            if tag in SELF_CLOSING and held and held[-1][0] == tag:
+                held.pop()
+                open_tags[tag] -= 1
+                inside, bad = held[-1][1:] if held else (False, -1)
+            good, own = kind_of(tag, page[m.end():at - 1], inside, bool(open_tags.get("article")))
             if tag in HELD:
-                if tag in SELF_CLOSING and held and held[-1][0] == tag:
-                    held.pop()
-                    inside, bad = held[-1][1:] if held else (False, -1)
-                    good, own = kind_of(tag, page[m.end():at - 1], inside)
-                held.append((tag, inside or good, marked(tag, bad) if own else bad))
+                open_tags[tag] = open_tags.get(tag, 0) + 1
+                held.append((tag, inside or good, marked(own, bad) if own else bad))
             else:
-                own_bad = marked(tag, bad) if own and tag not in ("body", "html") else -1
+                own_bad = marked(own, bad) if own and tag not in ("body", "html") else -1
                 heading = tag in HEADINGS
+                rank = int(tag[1]) if heading else 0
     flush()
-    outside_parts(out, parents, hard)
+    outside_parts(out, parents, kinds)
     return out
 
 
@@ -253,6 +336,7 @@ def features(page: list[Block]) -> np.ndarray:
     x[:, 6] = [b.heading for b in page]
     x[:, 7] = [b.inside for b in page]
     x[:, 8] = [b.bad for b in page]
+    x[:, 9] = [b.hinted for b in page]
     return x
 
 
@@ -297,12 +381,24 @@ def labelled_pages() -> list[tuple[str, list[int]]]:
             (f"<ul>{''.join(f'<li>{link(_words(n + 5))}</li>' for n in sizes)}</ul><p>{_words(30)}</p><p>{_words(50 + other)}</p>", [0 * n for n in sizes] + [1, 1]),
             (f"<p>{_words(15 + other)}</p>", [1]),
         ]
-        # names of boilerplate on what holds the article; lists of links in it
-        flagged = f"<h1>Some title</h1>{text}<ul>{''.join(f'<li>{link(_words(n + 3))}</li>' for n in (1, 4, 2, 6))}</ul>"
-        out += [(start + flagged + end, [1, *art, 0, 0, 0, 0]) for start, end in (
-            ("<article class='post has-sidebar'>", "</article>"), ("<main class='legal-content'>", "</main>"),
+        # names of boilerplate on what holds the article; lists of links belong to it
+        links = f"<ul>{''.join(f'<li>{link(_words(n + 3))}</li>' for n in (1, 4, 2, 6))}</ul>"
+        flagged = f"<h1>Some title</h1>{text}{links}"
+        out += [(start + flagged + end, [1, *art, 1, 1, 1, 1]) for start, end in (
+            ("<article>", "</article>"), ("<article class='post has-sidebar'>", "</article>"), ("<main class='legal-content'>", "</main>"),
             ("<form id='form1'><article>", "</article></form>"))]
         out += [
+            # boxes in an article whose name hints at something else: links decide
+            (f"<article>{text}<section class='legal'><h2>Law</h2>{note}</section><div class='form-field'>{note}</div>"
+             f"<div class='widget'>{menu}</div></article>", [*art, 1, 1, 1, 0, 0, 0]),
+            (f"<main>{text}<div class='discussion'>{note}{note}</div><ul class='no-nav'><li>{_words(other)}</li></ul></main>", [*art, 1, 1, 1]),
+            (f"<div class='legal'>{note}</div><article>{text}</article><div class='widget'>{note}</div>", [0, *art, 0]),
+            (f"<div class='sidenav'>{menu}</div><article>{text}<div class='relatedPosts'>{links}</div></article><div class='cookieBanner'>{note}</div>",
+             [0, 0, 0, *art, 0, 0, 0, 0, 0]),
+            # comments: longer than the text, without a name
+            (f"<article>{text}<section class='comments'>{note}{text}{text}</section></article>", [*art, 0, *[0] * 2 * len(art)]),
+            (f"<article>{text}<article>{note}</article></article>", [*art, 0]),
+            (f"<article>{text}<h2>Comments</h2><ol><li>{_words(other)}</li><li>{_words(30)}</li></ol></article>", [*art, 0, 0, 0]),
             (f"<div class='with-sidebar'>{menu}<p>{_words(45)}</p><p>{_words(60 + other)}</p><p>{_words(30)}</p></div>", [0, 0, 0, 1, 1, 1]),
             (f"<form id='form1'><div class='menu'>{menu}</div><article>{text}</article><div class='sidebar'>{note}</div></form>", [0, 0, 0, *art, 0]),
             (f"<p>{_words(60)}</p><p>{_words(80)}</p><div class='comments'><p>{_words(70)}</p><p>{_words(60)}</p><p>{_words(30 + other)}</p></div>", [1, 1, 0, 0, 0]),
