@@ -23,9 +23,9 @@ pair inside one component needn't be compared.
 
 Defined results: a text with fewer words than a shingle has one shingle, its
 whole sequence; a null, empty or blank text has none and links with nothing;
-a null id sorts last and is returned as null; rows with the same id count as
-one document that links with all that any of them links with; empty tables
-give empty results.
+a null id sorts last and is returned as null; in ``classes`` rows with the same
+id count as one document that links with all that any of them links with, while
+``deduplicated`` decides row by row; empty tables give empty results.
 """
 from __future__ import annotations
 
@@ -330,10 +330,27 @@ def dropped_ids(df: DataFrame, width: int = 5, percent: int = 80, id_col: str =
 
 
 def deduplicated(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` with one document of each group, the one with the least id."""
-    gone = stored(dropped_ids(df, width, percent, id_col, text_col), "minhash_dropped")
+    """``df`` with one row of each group of near duplicates, the one with the
+    least id (null last; any one of rows that share it).
+
+    Rows are told apart by id where each has its own.  If ids are null or
+    repeated, rows are stored with a number and told apart by that, so that a
+    row never goes because of another one under its id.  Rows whose text has no
+    word are in no group and all stay.
+    """
+    at_id, at_text = df.columns.index(id_col), df.columns.index(text_col)
     plain = df.toDF(*[f"__{i}" for i in range(len(df.columns))])
-    keyed = plain.withColumn("doc", id_or_last(f"__{df.columns.index(id_col)}"))
+    shared = plain.groupBy(f"__{at_id}").agg(F.count(F.lit(1)).alias("rows")).filter(f"rows > 1 OR __{at_id} IS NULL")
+    if is_empty(shared):
+        keyed = plain.withColumn("doc", F.col(f"__{at_id}").cast("long"))
+        gone = dropped_ids(df, width, percent, id_col, text_col)
+    else:
+        keyed = stored(plain.withColumn("doc", F.monotonically_increasing_id()), "minhash_rows")
+        ids = keyed.select("doc", id_or_last(f"__{at_id}").alias("id"))
+        comp = stored(classes(keyed, width, percent, "doc", f"__{at_text}").select("doc", "comp").join(ids, "doc"), "minhash_numbers")
+        first = comp.groupBy("comp").agg(F.min(F.struct("id", "doc")).alias("first"))
+        gone = comp.join(first, "comp").filter("doc <> first.doc").select("doc")
+    gone = stored(gone, "minhash_dropped")
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
     return keyed.join(gone, "doc", "left_anti").drop("doc").toDF(*df.columns)

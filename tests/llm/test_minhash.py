@@ -88,11 +88,27 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 140)}}
 
 
+def kept_rows(rows, width=5, percent=80):
+    """Of (id, text): sorted ids that stay, by row; null as LAST."""
+    groups = {}
+    for n, _, c in brute([(n, t) for n, (_, t) in enumerate(rows)], width, percent):
+        groups.setdefault(c, []).append(LAST if rows[n][0] is None else rows[n][0])
+    return sorted(min(g) for g in groups.values())
+
+
 def test_one_of_each_group_stays(edge_docs, edge_rows, no_docs):
     out = M.deduplicated(edge_docs)
     assert out.columns == edge_docs.columns
-    want = [(i, t) for (i, t, *_), in zip(edge_rows)]
-    comp = {i: c for i, _, c in brute(want, 5, 80)}
-    assert sorted((r[0] is None, r[0] or 0) for r in out.collect()) == sorted(
-        (i is None, i or 0) for i, _ in want if comp[LAST if i is None else i] == (LAST if i is None else i))
+    assert sorted(LAST if r[0] is None else r[0] for r in out.collect()) == kept_rows([r[:2] for r in edge_rows])
     assert M.deduplicated(no_docs).collect() == []
+
+
+def test_rows_under_one_id_are_told_apart(spark):
+    rng = random.Random(3)
+    a, b, c, d = (" ".join(f"w{rng.randrange(500)}" for _ in range(60)) for _ in range(4))
+    rows = [(1, a), (None, a), (None, b), (None, b), (None, c), (2, c), (2, d), (2, d), (3, None), (3, None), (None, "")]
+    out = sorted(((LAST if r[0] is None else r[0]), r[1] or "") for r in M.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert out == sorted([(1, a), (LAST, b), (2, c), (2, d), (3, ""), (3, ""), (LAST, "")])
+    unique = [(10 - i, t) for i, (_, t) in enumerate(rows)]
+    got = sorted(r[0] for r in M.deduplicated(spark.createDataFrame(unique, "doc_id long, text string")).collect())
+    assert got == kept_rows(unique)
