@@ -9,6 +9,8 @@ rows seen so far.
 * ``alert_stream``    anomaly records → sent alerts.  ``transformWithState`` holds, per
   detector, a map from second and class to the first anomaly, and a timer per
   second; when the watermark passes a second it is decided and forgotten.
+* ``alert_query``     anomaly records → outbox.  Each batch of sent alerts finds its
+  records in the anomaly table, within the seconds at hand, and is written by batch id.
 * ``outcome_stream``  workflow requests and results, joined outer under
   watermarks; a request without a result in time becomes an error.
 * ``window_query``    logs → sliding window counts.  Rows are counted once, per pane
@@ -19,6 +21,7 @@ rows seen so far.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from datetime import datetime, timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +32,7 @@ from ..functions import constants as C
 from ..functions.parse import zoned
 from ..functions.severity import severity
 from ..operators.features import from_panes, pane_counts
+from ..plans import alerts as AL
 from ..plans import incidents as IN
 from ..session import checkpointed, ship_package
 from ..sources.ingest import stored_rows, write_batch
@@ -118,10 +122,10 @@ class Cooldown(StatefulProcessor):
             self.waiting.removeKey((second, critical))
             if last is None or second - last >= (self.critical_gap if critical else self.gap):
                 last = second
-                out.append((anomaly_id, key[0], "critical" if critical else "other"))
+                out.append((anomaly_id, key[0], "critical" if critical else "other", second))
         if out:
             self.last.update((last,))
-            yield pd.DataFrame(out, columns=["anomaly_id", "detector_type", "class"])
+            yield pd.DataFrame(out, columns=["anomaly_id", "detector_type", "class", "second"])
 
     def close(self) -> None:
         pass
@@ -133,7 +137,7 @@ STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark
 
 def alert_stream(anomalies: DataFrame, gap: float = C.COOLDOWN_SECONDS, critical_gap: float = C.CRITICAL_COOLDOWN_SECONDS,
                  watermark: str = "5 minutes") -> DataFrame:
-    """(anomaly_id, detector_type, class) of the alerts to send, as the batch
+    """(anomaly_id, detector_type, class, second) of the alerts to send, as the batch
     cooldown decides them, for any order of arrival within the watermark.  Rows
     behind it, and rows without a time, raise no alert."""
     ship_package(anomalies.sparkSession)
@@ -142,10 +146,37 @@ def alert_stream(anomalies: DataFrame, gap: float = C.COOLDOWN_SECONDS, critical
     rows = (graded.select("anomaly_id", "detector_type", (F.col("severity") == "critical").alias("critical"), at.alias("at"))
             .withWatermark("at", watermark).withColumn("second", F.unix_seconds("at")))
     return rows.groupBy("detector_type").transformWithStateInPandas(
-        statefulProcessor=Cooldown(gap, critical_gap), outputStructType="anomaly_id long, detector_type string, class string",
+        statefulProcessor=Cooldown(gap, critical_gap), outputStructType="anomaly_id long, detector_type string, class string, second long",
         outputMode="Append", timeMode="EventTime")
 
 
+def alert_pass(sent: DataFrame, batch_id: int, records: Callable[[SparkSession], DataFrame], root: str) -> None:
+    """One batch of sent alerts: their records become rows of ``<root>/alerts``, one
+    per channel with message and payload.  A batch without alerts writes nothing;
+    a replayed one replaces its rows.  Copies of a record give one alert."""
+    spark = sent.sparkSession
+    sent = sent.select("anomaly_id", "detector_type", "second").persist()
+    try:
+        first, last = _bounds(sent, "second")
+        if first is None:
+            return
+        bound = lambda second: F.lit(str(datetime(1970, 1, 1) + timedelta(seconds=second))).cast("timestamp_ntz")
+        near = records(spark).where((F.col("timestamp") >= bound(first)) & (F.col("timestamp") < bound(last + 1)) & F.col("is_anomaly"))
+        rows = near.join(sent.select("anomaly_id", "detector_type").distinct(), ["anomaly_id", "detector_type"], "left_semi")
+        rows = rows.dropDuplicates(["anomaly_id", "detector_type"]).withColumn("severity", severity()).withColumn("sent", F.lit(True))
+        write_batch(AL.alert_outbox(rows).withColumn("dt", F.to_date("sent_at")), f"{root}/alerts", batch_id)
+    finally:
+        sent.unpersist()
+
+
+def alert_query(anomalies: DataFrame, records: Callable[[SparkSession], DataFrame], root: str, checkpoint: str,
+                trigger: dict | None = None, **cooldown):
+    """Start the alert pass over a stream of anomaly records; ``records`` gives the
+    anomaly table as it is when a batch runs, ``cooldown`` goes to :func:`alert_stream`."""
+    return (alert_stream(anomalies, **cooldown).writeStream.foreachBatch(lambda b, i: alert_pass(b, i, records, root)).outputMode("append")
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "60 seconds"})).start())
+
+
 # ---------------------------------------------------------- workflow outcomes
 
 def outcome_stream(requests: DataFrame, results: DataFrame, within: str = "10 minutes", watermark: str = "1 minute") -> DataFrame:

@@ -80,6 +80,35 @@ def test_alert_stream_equals_batch(spark, sf_small, tmp_path):
     assert got == want and len(want) > 20
 
 
+def test_alert_query_fills_the_outbox(spark, sf_small, tmp_path):
+    src, root, ckpt = (str(tmp_path / x) for x in ("src", "out", "c"))
+    gaps = {"gap": 40_000, "critical_gap": 9_000}
+    anomalies = TB.anomalies(spark, sf_small).where("timestamp < '2024-01-08'").persist()
+    want = AL.alert_outbox(AL.evaluate_alerts(anomalies, **gaps))
+    rows = lambda df: sorted(map(repr, df.select(want.columns).collect()))
+    stored = lambda: spark.read.parquet(f"{root}/alerts")
+    full = rows(want)
+    assert len(full) > 20 and want.select("channel").distinct().count() == 2
+    parts(anomalies, src, ["anomaly_id % 2 = 0", "anomaly_id % 2 = 1"])
+    ahead = anomalies.where("is_anomaly").limit(1).withColumn("detector_type", F.lit("other"))
+    for i in (1, 2):            # pass the rest: the watermark is known a batch later
+        ahead.withColumn("timestamp", F.lit(f"2024-03-0{i}").cast("timestamp_ntz")).coalesce(1).write.mode("append").parquet(src)
+    before = spark.conf.get(P.STATE_STORE[0], None)
+    spark.conf.set(*P.STATE_STORE)
+    try:
+        available(P.alert_query(one_by_one(spark, anomalies.schema, src), lambda s: anomalies, root, ckpt, {"availableNow": True}, watermark="10 days", **gaps))
+    finally:
+        spark.conf.unset(P.STATE_STORE[0]) if before is None else spark.conf.set(P.STATE_STORE[0], before)
+    assert rows(stored()) == full
+    # replays, copies of records and batches without alerts change nothing
+    batch = stored().first()["batch"]
+    sent = AL.evaluate_alerts(anomalies, **gaps).where("sent").select("anomaly_id", "detector_type", F.unix_seconds(F.col("timestamp").cast("timestamp")).alias("second"))
+    of_batch = sent.join(stored().where(F.col("batch") == batch), ["anomaly_id", "detector_type"], "left_semi")
+    P.alert_pass(of_batch.persist(), batch, lambda s: anomalies.unionByName(anomalies), root)
+    P.alert_pass(sent.limit(0), batch + 100, lambda s: anomalies, root)
+    assert rows(stored()) == full and stored().where(F.col("batch") == batch + 100).count() == 0
+
+
 def test_outcomes_of_streamed_results(spark, tmp_path):
     req, res, ckpt = (str(tmp_path / x) for x in ("req", "res", "c"))
     t = lambda m: f"2024-01-01 00:{m:02d}:00"
