@@ -71,8 +71,9 @@ def distance_profile(scored: DataFrame, cluster: str = "cluster", dist: str = "d
 def flag_anomalies(scored: DataFrame, profile: DataFrame, cluster: str = "cluster",
                    dist: str = "distance") -> DataFrame:
     """distance > cluster threshold (strict).  A cluster without a profile has
-    no threshold and is not flagged.  The profile has k rows; AQE broadcasts it."""
-    j = scored.join(profile.select(cluster, "threshold"), cluster, "left")
+    no threshold and is not flagged.  The profile has k rows and is broadcast: a
+    shuffle by cluster would put most of the rows into a few tasks."""
+    j = scored.join(F.broadcast(profile.select(cluster, "threshold")), cluster, "left")
     return j.withColumn("is_anomaly", F.coalesce(F.col(dist) > F.col("threshold"), F.lit(False)))
 
 
@@ -108,9 +109,10 @@ def kmeans_fit(df: DataFrame, features: str = "features", k: int = KMEANS_K, see
 
 def kmeans_assign(model, df: DataFrame) -> DataFrame:
     """``df`` (with ``features``, sparse) with the fitted model's ``cluster`` and the
-    distance to its centre, from an equi-join with the k-row centre table."""
+    distance to its centre, from a broadcast join with the k-row centre table (a
+    shuffle by cluster would put most vectors into a few tasks)."""
     centres = SP.centre_table(df.sparkSession, model.clusterCenters())
-    j = model.transform(df).join(centres, "cluster")
+    j = model.transform(df).join(F.broadcast(centres), "cluster")
     return j.withColumn("distance", SP.distance(SP.entries(F.col("features")), F.col("centre"), F.col("norm"))).drop("centre", "norm")
 
 

@@ -137,3 +137,15 @@ def test_user_encoder_in_batches(spark):
     rows = [(i, "a" * (i % 5) + "b") for i in range(30)] + [(30, None)]
     out = EM.encode_with(spark.createDataFrame(rows, "id int, text string"), "text", load, 2, batch=4).collect()
     assert {r.id: r.vec for r in out} == {i: [float(len(t or "")), float((t or "").count("a"))] for i, t in rows}
+
+
+def test_vectors_are_not_shuffled_by_cluster(spark):
+    rows = [(i, [float(i % 3), 1.0 + i % 2, 0.5 * i]) for i in range(60)]
+    df = spark.createDataFrame(rows, "i int, a array<double>").select("i", array_to_vector("a").alias("features"))
+    scored = CL.kmeans_assign(CL.kmeans_fit(df, k=3), df)
+    flagged = CL.flag_anomalies(scored, spark.createDataFrame([(0, 1.0), (1, 2.0)], "cluster int, threshold double"))
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "hashpartitioning" not in plan
+    limits = {0: 1.0, 1: 2.0}
+    got = flagged.collect()
+    assert len(got) == 60 and all(r.is_anomaly == (r.distance > limits.get(r.cluster, float("inf"))) for r in got)
