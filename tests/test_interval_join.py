@@ -1,3 +1,5 @@
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from loglens.operators import interval_join as IJ
@@ -63,3 +65,28 @@ def test_counts_of_first_events_against_brute_force(spark, monkeypatch):
         full = {p: sum(o - 90 <= t <= o + 20 for _, t, *_ in ev) for p, o in pr if o is not None}
         assert {p: t[1] for p, t in totals.items()} == {p: c for p, c in full.items() if c}
         assert all(min(t[0], n) == min(t[1], n) for t in totals.values())
+
+
+def test_context_is_counted_by_chunks_without_a_cube(spark):
+    ev = spark.createDataFrame([(i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i // 3), f"c{i % 150}", None if i % 7 else "x") for i in range(9000)],
+                               "id long, t timestamp_ntz, comp string, msg string")
+    pr = spark.createDataFrame([(i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=11 * i)) for i in range(290)], "p long, at timestamp_ntz")
+    where = IJ.positions(pr, ev, "at", "t", ["id"], 600, 60, 1000)
+    out = IJ.first_summary(where, {"comp": F.col("comp")}, {"id": F.col("id"), "msg": F.col("msg")}, 3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "sequence(" not in plan
+    got = {r._ps: r for r in out.collect()}
+    first = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp())
+    want = 0
+    for i in range(290):
+        ids = [j for j in range(max(0, 11 * i - 600) * 3, min(3000, 11 * i + 61) * 3) if j < 9000]
+        if not ids:
+            continue
+        want += 1
+        r, head = got[first + 11 * i], ids[:1000]
+        counts = {}
+        for j in head:
+            counts[f"c{j % 150}"] = counts.get(f"c{j % 150}", 0) + 1
+        assert (r._total, r._count, r.comp) == (len(ids), len(head), counts)
+        assert [(x.id, x.msg) for x in r._rows] == [(j, None if j % 7 else "x") for j in head[:3]]
+    assert len(got) == want
