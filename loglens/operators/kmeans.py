@@ -72,9 +72,14 @@ def sq_distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(axis=1)[:, None] + (c * c).sum(axis=1)[None, :] - 2.0 * (x @ c.T), 0.0)
 
 
+#: Places of a flat array that travel together.
+PART = 1 << 14
+
+
 def summed(df: DataFrame, vec: str, fn) -> np.ndarray:
-    """Sum of the flat arrays fn(vectors) over all rows: a task adds up its own,
-    Spark the tasks' by position."""
+    """Sum of the flat arrays fn(vectors) over all rows: a task adds up its own and
+    hands them on in parts of PART places, not one row a place; Spark brings equal
+    parts together."""
     def partial(it):
         total = None
         for pdf in it:
@@ -82,10 +87,18 @@ def summed(df: DataFrame, vec: str, fn) -> np.ndarray:
                 part = fn(matrix(pdf[vec].iloc[at:at + SP.CHUNK]))
                 total = part if total is None else total + part
         if total is not None:
-            yield pd.DataFrame({"i": np.arange(len(total), dtype="int64"), "v": total})
-
-    out = df.select(vec).mapInPandas(partial, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).toPandas()   # as long as fn's result
-    return out.sort_values("i")["v"].to_numpy()
+            for i in range(0, len(total), PART):
+                yield pd.DataFrame({"i": [i], "v": [total[i:i + PART].tobytes()]})
+
+    def added(i, parts):
+        total = np.frombuffer(parts["v"].iloc[0])
+        for v in parts["v"].iloc[1:]:
+            total = total + np.frombuffer(v)
+        return pd.DataFrame({"i": [i[0]], "v": [total.tobytes()]})
+
+    kind = "i long, v binary"
+    out = df.select(vec).mapInPandas(partial, kind).groupBy("i").applyInPandas(added, kind).toPandas()   # as long as fn's result
+    return np.concatenate([np.frombuffer(v) for v in out.sort_values("i")["v"]])
 
 
 def one_hot(labels: np.ndarray, k: int) -> np.ndarray:

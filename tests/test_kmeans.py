@@ -65,3 +65,10 @@ def test_equal_vectors_and_empty_input(spark):
     assert f.inertia == 0 and (f.centres == [1.0, 2.0]).all() and KM.silhouettes(same, "v", {3: f}) == {3: 0.0}
     with pytest.raises(ValueError):
         KM.fit(spark.createDataFrame([], "v array<double>"), "v", 3)
+
+
+def test_sums_travel_in_parts(spark, monkeypatch):
+    df = spark.range(200).selectExpr("array(double(id), 1D) v").repartition(6)
+    got = KM.summed(df, "v", lambda x: np.concatenate([x.sum(axis=0), np.full(2 * 16384, float(len(x)))]))
+    assert got[:2].tolist() == [19900.0, 200.0] and len(got) == 2 + 2 * 16384 and (got[2:] == 200.0).all()
+    assert KM.PART == 16384
