@@ -90,3 +90,28 @@ def test_context_is_counted_by_chunks_without_a_cube(spark):
         assert (r._total, r._count, r.comp) == (len(ids), len(head), counts)
         assert [(x.id, x.msg) for x in r._rows] == [(j, None if j % 7 else "x") for j in head[:3]]
     assert len(got) == want
+
+
+def test_rows_of_a_probe_lie_together_and_a_hot_second_is_shared(spark, monkeypatch, tmp_path):
+    for name, value in (("SHARE", 40), ("TASK_ROWS", 500), ("TASK_PROBES", 100)):
+        monkeypatch.setattr(IJ, name, value, raising=False)
+    start = dt.datetime(2024, 1, 1)
+    ev = spark.createDataFrame([(i, start + dt.timedelta(seconds=i * 7 % 901)) for i in range(2000)], "eid long, ets timestamp_ntz").repartition(7)
+    seconds = [450] * 300 + [13 * i for i in range(80)]
+    pr = spark.createDataFrame([(i, {"k": i}, start + dt.timedelta(seconds=s)) for i, s in enumerate(seconds)], "pid long, m map<string,long>, ts timestamp_ntz")
+    order = sorted((i * 7 % 901, i) for i in range(2000))
+    for n, k in ((30, 30), (30, 11), (5000, 5000)):
+        at = IJ.positions(pr, ev, "ts", "ets", ["eid"], 60, 20, n)
+        out = IJ.first_rows(at, k)
+        assert out.columns == ["pid", "m", "ts", "total", "eid", "ets", "rank"]
+        parts = out.select("pid", "eid", "rank", "total").rdd.glom().collect()
+        rows = [r for part in parts for r in part]
+        want = []
+        for pid, s in enumerate(seconds):
+            near = [e for t, e in order if s - 60 <= t <= s + 20]
+            want += [(pid, e, r + 1, len(near)) for r, e in enumerate(near[:k])]
+        assert sorted(map(tuple, rows)) == sorted(want)
+        # whole and oldest first
+        assert all((a.pid, a.rank + 1) == (b.pid, b.rank) or b.rank == 1 for part in parts for a, b in zip([None] + part, part) if a is not None)
+        assert sum(r.rank == 1 for r in rows) == len({r.pid for r in rows})
+        assert sum(any(r.pid < 300 for r in part) for part in parts) > 1
