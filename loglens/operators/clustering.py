@@ -118,7 +118,7 @@ def kmeans_assign(model, df: DataFrame) -> DataFrame:
 
 def k_search(df: DataFrame, vec: str, default_k: int = KMEANS_K, seed: int = SEED,
              max_k: int = 20) -> list[tuple[int, float]]:
-    """Euclidean silhouette per candidate k, only when n > 5 * default_k; k in
+    """Euclidean silhouette of all vectors per candidate k, only when n > 5 * default_k; k in
     3 .. min(max_k, n//5) - 1, each the best of ten starts.  ``vec`` is an array or a
     struct of :func:`sparse.entries`."""
     data = df.select(vec).persist()
@@ -127,7 +127,7 @@ def k_search(df: DataFrame, vec: str, default_k: int = KMEANS_K, seed: int = SEE
         ks = list(range(3, min(max_k, n // 5))) if n > default_k * 5 else []
         if not ks:
             return []
-        scores = KM.silhouettes(data, vec, KM.fit_each(data, vec, ks, seed=seed), seed=seed)
+        scores = KM.silhouettes(data, vec, KM.fit_each(data, vec, ks, seed=seed))
         return [(k, scores[k]) for k in ks]
     finally:
         data.unpersist()

@@ -5,11 +5,12 @@ assigns each vector to its nearest centre of every start and returns sums by
 start and cluster, which Spark adds up.  A start that has settled leaves the
 passes; the best inertia of a k is kept.
 
-Seeds come from a sample of SEED_ROWS vectors (lowest hash first) by k-means++.
-The silhouette takes SILHOUETTE_ROWS vectors (all, if there are no more): one
-pass sums the distances of each of them to *all* vectors by cluster, for every
-candidate k at once.  Vectors are arrays of one width without nulls, or sparse
-ones (``sparse.entries``), which a worker widens a few at a time.
+Seeds are those of k-means++ over all vectors, in the order of their hashes: up to
+SEED_ROWS of them on the driver, more by passes that make the same draws.  The
+silhouette is that of *all* vectors, from the distances of all pairs: blocks
+of vectors meet each other, and the distances of each vector are summed by
+cluster, for every candidate k at once.  Vectors are arrays of one width without
+nulls, or sparse ones (``sparse.entries``), which a worker widens a few at a time.
 """
 from __future__ import annotations
 
@@ -17,18 +18,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.constants import KMEANS_K, SEED
+from ..session import checkpointed
 from . import sparse as SP
 
 STARTS = 10
 MAX_ITER = 300
 #: Summed squares by which a settled start's centres move at most.
 TOL = 1e-4
+#: As many vectors the driver seeds itself.
 SEED_ROWS = 4000
-SILHOUETTE_ROWS = 2000
+#: Vectors of a block of the silhouette, and places of the vectors a task compares a block with.
+BLOCK_ROWS = 2000
+SIDE = 1 << 22
 
 
 @dataclass
@@ -48,9 +56,13 @@ def matrix(column: pd.Series) -> np.ndarray:
     return np.vstack(column.to_numpy()).astype(float)
 
 
+def by_hash(vec: str, seed: int) -> list:
+    return [F.xxhash64(F.lit(seed), vec), F.col(vec)]
+
+
 def sampled(df: DataFrame, vec: str, n: int, seed: int) -> np.ndarray:
     """At most n vectors, those of the lowest seeded hash."""
-    rows = df.select(vec).orderBy(F.xxhash64(F.lit(seed), vec), vec).limit(n).collect()
+    rows = df.select(vec).orderBy(*by_hash(vec, seed)).limit(n).collect()
     if rows and hasattr(rows[0][0], "idx"):
         return SP.widened(pd.Series([r[0].asDict() for r in rows]))
     return np.array([r[0] for r in rows], dtype=float)
@@ -72,6 +84,88 @@ def sq_distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(axis=1)[:, None] + (c * c).sum(axis=1)[None, :] - 2.0 * (x @ c.T), 0.0)
 
 
+def near(x: np.ndarray, seeds: list[np.ndarray]) -> np.ndarray:
+    """By start: squared distance of each vector to the nearest seed, 1 if there is none yet."""
+    return np.stack([sq_distances(x, c).min(axis=1) if len(c) else np.ones(len(x)) for c in seeds], axis=1)
+
+
+def chunks(it, vec: str):
+    """Matrices of a task's vectors, SP.CHUNK rows at a time."""
+    for pdf in it:
+        for at in range(0, len(pdf), SP.CHUNK):
+            yield matrix(pdf[vec].iloc[at:at + SP.CHUNK])
+
+
+def weights(df: DataFrame, vec: str, seeds: list[np.ndarray]) -> np.ndarray:
+    """Sums of :func:`near`, partitions × starts."""
+    def partial(it):
+        total = np.zeros(len(seeds))
+        for x in chunks(it, vec):
+            total += near(x, seeds).sum(axis=0)
+        yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "w": [total.tobytes()]})
+
+    out = df.select(vec).mapInPandas(partial, "part int, w binary").toPandas()      # a row a partition
+    sums = np.zeros((int(out["part"].max()) + 1, len(seeds)))
+    for part, w in zip(out["part"], out["w"]):
+        sums[part] = np.frombuffer(w)
+    return sums
+
+
+def at_weights(df: DataFrame, vec: str, seeds: list[np.ndarray], places: list[tuple[int, float]]) -> list[np.ndarray]:
+    """For every start the vector at a place: a partition and a part of its weight
+    there, the first vector with which the running sum of weights exceeds it."""
+    def found(it):
+        part = TaskContext.get().partitionId()
+        mine = [j for j, (p, _) in enumerate(places) if p == part]
+        open_, run, last = dict.fromkeys(mine), dict.fromkeys(mine, 0.0), {}
+        for x in chunks(it, vec):
+            live = list(open_)
+            if not live:
+                continue
+            w = near(x, [seeds[j] for j in live])
+            for j, own in zip(live, w.T):
+                c = run[j] + own.cumsum()
+                i = int(np.searchsorted(c, places[j][1], side="right"))
+                if i < len(x):
+                    del open_[j]
+                    yield pd.DataFrame({"start": [j], "x": [x[i].tobytes()]})
+                elif own.any():
+                    last[j] = x[np.flatnonzero(own)[-1]].tobytes()
+                run[j] = c[-1]
+        for j in open_:     # the sum was rounded
+            yield pd.DataFrame({"start": [j], "x": [last[j]]})
+
+    out = df.select(vec).mapInPandas(found, "start int, x binary").toPandas()       # a row a start
+    return [np.frombuffer(x) for x in out.sort_values("start")["x"]]
+
+
+def drawn(df: DataFrame, vec: str, keys: list[tuple[int, int]], seed: int) -> dict[tuple[int, int], np.ndarray]:
+    """Seeds of every (k, start) by :func:`spread` over all vectors in the order of
+    their hashes, all starts together: for each next seed one pass that weighs
+    the partitions and one that finds the vectors drawn."""
+    order = [*by_hash(vec, seed), F.col("at")]
+    data = df.select(vec).withColumn("at", F.monotonically_increasing_id())      # equal vectors need not stay together
+    data = checkpointed(data.repartitionByRange(*order).sortWithinPartitions(*order).select(vec))
+    rngs = {(k, s): np.random.default_rng((seed, k, s)) for k, s in keys}
+    none = np.zeros((0, 0))
+    sizes = weights(data, vec, [none])[:, 0]
+    seeds = dict.fromkeys(keys, none)
+    for t in range(max(k for k, _ in keys)):
+        live = [key for key in keys if key[0] > t]
+        sums = weights(data, vec, [seeds[key] for key in live]) if t else None
+        by, places = [], []
+        for j, key in enumerate(live):
+            even = not t or not sums[:, j].sum() > 0
+            ends = np.cumsum(sizes if even else sums[:, j])
+            at = float(rngs[key].integers(int(ends[-1]))) if even else rngs[key].random() * ends[-1]
+            part = min(int(np.searchsorted(ends, at, side="right")), int(np.searchsorted(ends, ends[-1])))
+            by.append(none if even else seeds[key])
+            places.append((part, at - (ends[part - 1] if part else 0.0)))
+        for key, x in zip(live, at_weights(data, vec, by, places)):
+            seeds[key] = np.vstack([seeds[key], x]) if t else x[None]
+    return seeds
+
+
 #: Places of a flat array that travel together.
 PART = 1 << 14
 
@@ -82,10 +176,9 @@ def summed(df: DataFrame, vec: str, fn) -> np.ndarray:
     parts together."""
     def partial(it):
         total = None
-        for pdf in it:
-            for at in range(0, len(pdf), SP.CHUNK):
-                part = fn(matrix(pdf[vec].iloc[at:at + SP.CHUNK]))
-                total = part if total is None else total + part
+        for x in chunks(it, vec):
+            part = fn(x)
+            total = part if total is None else total + part
         if total is not None:
             for i in range(0, len(total), PART):
                 yield pd.DataFrame({"i": [i], "v": [total[i:i + PART].tobytes()]})
@@ -134,10 +227,12 @@ def lloyd_pass(df: DataFrame, vec: str, starts: list[np.ndarray]) -> list[tuple[
 
 def fit_each(df: DataFrame, vec: str, ks: list[int], starts: int = STARTS, seed: int = SEED, max_iter: int = MAX_ITER) -> dict[int, Fit]:
     """The best of ``starts`` fits for each k, all of them advanced together."""
-    sample = sampled(df, vec, SEED_ROWS, seed)
-    if not len(sample):
+    first = sampled(df, vec, SEED_ROWS + 1, seed)
+    if not len(first):
         raise ValueError("no vectors to fit")
-    live = {(k, s): spread(sample, k, np.random.default_rng((seed, k, s))) for k in ks for s in range(starts)}
+    keys = [(k, s) for k in ks for s in range(starts)]
+    live = (drawn(df, vec, keys, seed) if len(first) > SEED_ROWS else
+            {(k, s): spread(first, k, np.random.default_rng((seed, k, s))) for k, s in keys})
     best: dict[int, Fit] = {}
     for turn in range(max_iter + 1):
         moved = lloyd_pass(df, vec, list(live.values()))
@@ -157,30 +252,90 @@ def fit(df: DataFrame, vec: str, k: int = KMEANS_K, starts: int = STARTS, seed:
     return fit_each(df, vec, [k], starts, seed, max_iter)[k]
 
 
-def silhouettes(df: DataFrame, vec: str, fits: dict[int, Fit], rows: int = SILHOUETTE_ROWS, seed: int = SEED) -> dict[int, float]:
-    """Mean silhouette (Euclidean distances) of the sampled vectors for each k; a
-    vector alone in its cluster counts 0, one cluster alone gives 0."""
-    sample = sampled(df, vec, rows, seed)
-    m, ks = len(sample), sorted(fits)
-
-    def step(x):
-        away = np.sqrt(sq_distances(sample, x))
-        out = []
-        for k in ks:
-            hot = one_hot(sq_distances(x, fits[k].centres).argmin(axis=1), k)
-            out += [(away @ hot).ravel(), hot.sum(axis=0)]
-        return np.concatenate(out)
-
-    flat, at, scores = summed(df, vec, step), 0, {}
-    for k in ks:
-        sums, counts = flat[at:at + m * k].reshape(m, k), flat[at + m * k:at + m * k + k]
-        at += m * k + k
-        own = sq_distances(sample, fits[k].centres).argmin(axis=1)
-        mine = counts[own]
-        a = sums[np.arange(m), own] / np.maximum(mine - 1, 1)
-        means = np.where(counts > 0, sums / np.maximum(counts, 1), np.inf)
-        means[np.arange(m), own] = np.inf
-        b = means.min(axis=1)
-        ok = (mine > 1) & np.isfinite(b) & (np.maximum(a, b) > 0)
-        scores[k] = float(np.where(ok, (np.where(ok, b, 0) - a) / np.where(ok, np.maximum(a, np.where(ok, b, 0)), 1), 0.0).mean())
-    return scores
+def wide(vecs: pa.Array) -> np.ndarray:
+    """:func:`matrix` of an Arrow array."""
+    if pa.types.is_struct(vecs.type):
+        return matrix(vecs.to_pandas())
+    return vecs.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(vecs), -1)
+
+
+def labelled_blocks(df: DataFrame, vec: str, rows: int, fits: list[Fit]) -> tuple[DataFrame, int, int]:
+    """(block, own, vecs) with the number of vectors and of their places: all vectors
+    in blocks of about ``rows``, one a partition; ``own`` has the cluster of each
+    vector in every fit (int32).  Blocks are files, so they stay the same if a task runs again."""
+    places = F.size(F.col(vec)["idx"] if isinstance(df.schema[vec].dataType, T.StructType) else F.col(vec))
+    n, places = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(places), F.lit(0))).first()
+
+    def packed(it):
+        got = [b.column(0) for b in it if b.num_rows]
+        if not got:
+            return
+        vecs = pa.concat_arrays(got)
+        own = np.vstack([np.stack([sq_distances(x, f.centres).argmin(axis=1) for f in fits], axis=1)
+                         for x in (wide(vecs[at:at + SP.CHUNK]) for at in range(0, len(vecs), SP.CHUNK))])
+        yield pa.RecordBatch.from_arrays([
+            pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([own.astype(np.int32).tobytes()], pa.binary()),
+            pa.ListArray.from_arrays(pa.array([0, len(vecs)], pa.int32()), vecs)], names=["block", "own", "vecs"])
+
+    kind = T.StructType().add("block", "long").add("own", "binary").add("vecs", T.ArrayType(df.schema[vec].dataType))
+    return checkpointed(df.select(vec).repartition(max(1, -(-n // rows))).mapInArrow(packed, kind)), n, places
+
+
+def silhouette(sums: np.ndarray, own: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Silhouette of each vector from its summed distances to the clusters, its own
+    cluster and the clusters' sizes."""
+    at, mine = np.arange(len(own)), counts[own]
+    a = sums[at, own] / np.maximum(mine - 1, 1)
+    means = np.where(counts > 0, sums / np.maximum(counts, 1), np.inf)
+    means[at, own] = np.inf
+    b = means.min(axis=1)
+    ok = (mine > 1) & np.isfinite(b) & (np.maximum(a, b) > 0)
+    return np.where(ok, (np.where(ok, b, 0) - a) / np.where(ok, np.maximum(a, np.where(ok, b, 0)), 1), 0.0)
+
+
+def silhouettes(df: DataFrame, vec: str, fits: dict[int, Fit], rows: int = BLOCK_ROWS) -> dict[int, float]:
+    """Mean silhouette (Euclidean distances) of all vectors for each k; a vector alone
+    in its cluster counts 0, one cluster alone gives 0.  ``rows`` is the size of the
+    blocks that meet, not a limit: the time grows with the square of the vectors,
+    what is shuffled (sums by vector and cluster, once a side) isn't made by pair."""
+    ks = sorted(fits)
+    ends = np.cumsum(ks)
+    first = ends - ks
+    blocks, n, places = labelled_blocks(df, vec, rows, [fits[k] for k in ks])
+    sides = blocks.coalesce(max(1, -(-places // SIDE))).select(F.col("own").alias("theirs"), F.col("vecs").alias("others"))
+
+    def owners(cell):
+        return np.frombuffer(cell, np.int32).reshape(-1, len(ks))
+
+    def row(block, own, sums, counts):
+        return pa.RecordBatch.from_pydict({"block": [block], "own": [own], "sums": [sums.tobytes()], "counts": [counts.tobytes()]})
+
+    def summed_up(it):
+        now, own, x, sums, counts = None, None, None, None, None
+        for batch in it:
+            for block, mine, vecs, theirs, others in zip(*batch.columns):
+                if block.as_py() != now:
+                    if now is not None:
+                        yield row(now, own, sums, counts)
+                    now, own, x = block.as_py(), mine.as_py(), wide(vecs.values)
+                    sums, counts = np.zeros((len(x), ends[-1])), np.zeros(ends[-1])
+                theirs = owners(theirs.as_py())
+                for at in range(0, len(theirs), SP.CHUNK):
+                    y, places = wide(others.values[at:at + SP.CHUNK]), theirs[at:at + SP.CHUNK] + first
+                    hot = np.zeros((len(y), ends[-1]))
+                    hot[np.arange(len(y))[:, None], places] = 1.0
+                    sums += np.sqrt(sq_distances(x, y)) @ hot
+                    counts += hot.sum(axis=0)
+        if now is not None:
+            yield row(now, own, sums, counts)
+
+    def scored(parts):
+        own = owners(parts["own"].iloc[0])
+        sums = sum(np.frombuffer(v) for v in parts["sums"]).reshape(len(own), -1)
+        counts = sum(np.frombuffer(v) for v in parts["counts"])
+        return pd.DataFrame({"k": ks, "s": [silhouette(sums[:, i:e], own[:, j], counts[i:e]).sum() for j, (i, e) in enumerate(zip(first, ends))]})
+
+    sums = (blocks.crossJoin(sides.hint("shuffle_replicate_nl"))      # as many rows as pairs of blocks
+            .mapInArrow(summed_up, "block long, own binary, sums binary, counts binary"))
+    out = sums.groupBy("block").applyInPandas(scored, "k int, s double").groupBy("k").agg(F.sum("s").alias("s")).orderBy("k").collect()
+    return {r.k: r.s / n for r in out}

@@ -72,3 +72,52 @@ def test_sums_travel_in_parts(spark, monkeypatch):
     got = KM.summed(df, "v", lambda x: np.concatenate([x.sum(axis=0), np.full(2 * 16384, float(len(x)))]))
     assert got[:2].tolist() == [19900.0, 200.0] and len(got) == 2 + 2 * 16384 and (got[2:] == 200.0).all()
     assert KM.PART == 16384
+
+
+def test_silhouette_takes_every_vector(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(2600, 2)) * [1.0, 3.0]
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "v array<double>").repartition(3).persist()
+    fits = {k: KM.Fit(x[:k], 0.0) for k in (3, 5)}
+    got = KM.silhouettes(df, "v", fits)     # more vectors than a block has
+    small = KM.silhouettes(df, "v", fits, rows=300)
+    away = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    for k, f in fits.items():
+        lab = ((x[:, None] - f.centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        hot = np.eye(k)[lab]
+        sums, n = away @ hot, hot.sum(axis=0)
+        a = sums[np.arange(len(x)), lab] / (n[lab] - 1)
+        b = np.where(hot > 0, np.inf, sums / n).min(axis=1)
+        want = ((b - a) / np.maximum(a, b)).mean()
+        assert abs(got[k] - want) < 1e-6 and abs(small[k] - want) < 1e-6
+
+
+def test_blocks_meet_side_by_side(spark, monkeypatch):
+    """Sums of one block from several sides are added up."""
+    x = np.random.default_rng(9).normal(size=(500, 4))
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "v array<double>").persist()
+    fits = {3: KM.Fit(x[:3], 0.0), 4: KM.Fit(x[3:7], 0.0)}
+    whole = KM.silhouettes(df, "v", fits, rows=500)
+    monkeypatch.setattr(KM, "SIDE", 400)
+    parts = KM.silhouettes(df, "v", fits, rows=90)
+    assert all(abs(whole[k] - parts[k]) < 1e-9 for k in fits)
+
+
+def test_seeds_are_drawn_from_every_vector(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    x = np.concatenate([rng.normal(size=(700, 3)), np.repeat(rng.normal(3.0, 1.0, (2, 3)), 50, axis=0)])
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "v array<double>").repartition(5).persist()
+    every = KM.sampled(df, "v", len(x), 42)
+    fits = KM.fit_each(df, "v", [3, 6], starts=3, max_iter=0)
+    monkeypatch.setattr(KM, "SEED_ROWS", 100)
+    keys = [(k, s) for k in (3, 6) for s in range(3)]
+    got = KM.drawn(df, "v", keys, 42)
+    assert all((got[key] == KM.spread(every, key[0], np.random.default_rng((42, *key)))).all() for key in keys)
+    cut = KM.fit_each(df, "v", [3, 6], starts=3, max_iter=0)
+    assert all((cut[k].centres == fits[k].centres).all() for k in fits)
+
+
+def test_seeds_of_few_distinct_vectors(spark):
+    df = spark.createDataFrame([([0.0, 1.0],)] * 70 + [([2.0, 2.0],)], "v array<double>").repartition(3)
+    for (k, _), c in KM.drawn(df, "v", [(1, 0), (2, 0), (4, 0)], 42).items():
+        assert c.shape == (k, 2) and len({tuple(v) for v in c}) == min(k, 2)
